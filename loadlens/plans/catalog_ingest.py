@@ -1 +1,149 @@
-"""Ingestion, publish and streaming queries (registered into the catalog)."""
+"""Ingestion and publish queries (registered into the catalog).
+
+The landing XML is derived from ``events`` by Spark and written under the
+shared checkpoint folder, so the scan, flatten and statistics grow with the
+table. Zone Z0 publishes hourly (PT60M) documents, Z1 quarter-hourly (PT15M),
+and Z2 alternates: hourly on odd days, quarter-hourly on even days.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loadlens.functions.expr import mean
+from loadlens.operators import analytics, clean as clean_ops, quality
+from loadlens.plans import ingest
+from loadlens.plans.catalog import EXACT, _hour_halves, clean_obs, marks_from, query, _assertions
+from loadlens.session import scratch_path
+from loadlens.sources import market_xml as mx
+from loadlens.sources import publish as pub
+from loadlens.sources import testdata as td
+
+# ------------------------------------------------------------------ landing documents
+
+
+def landing_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Grid points to publish as XML: hourly or 15-minute averages per zone-day rule."""
+    valid = clean_ops.valid_rows(td.obs(spark, sf))
+    q15 = (valid.groupBy(mx.floor_minutes(F.col("time_utc"), 15).alias("time_utc"),
+                         "country_code", "bidding_zone")
+           .agg(mean("load_mw", EXACT).alias("load_mw")))
+    hourly = clean_obs(spark, sf).select("time_utc", "country_code", "bidding_zone", "load_mw")
+    zone, t = F.col("bidding_zone"), F.col("time_utc")
+    rule = (F.when(zone == "Z0", "PT60M").when(zone == "Z1", "PT15M")
+            .when(F.dayofmonth(t) % 2 == 1, "PT60M").otherwise("PT15M"))
+    return (hourly.withColumn("resolution", rule).filter(F.col("resolution") == "PT60M")
+            .unionByName(q15.withColumn("resolution", rule).filter(F.col("resolution") == "PT15M")))
+
+
+def landing(spark: SparkSession, sf: str) -> str:
+    path = scratch_path(spark, "landing")
+    mx.write_documents(mx.to_documents(landing_points(spark, sf)), path)
+    return path
+
+
+def landed_series(spark: SparkSession, sf: str) -> DataFrame:
+    return mx.read_documents(spark, landing(spark, sf))
+
+
+@query("ingest_xml_points")
+def q_ingest_xml_points(spark, sf):
+    return mx.flatten_points(landed_series(spark, sf))
+
+
+@query("resolution_step")
+def q_resolution_step(spark, sf):
+    return mx.periods(landed_series(spark, sf)).select(
+        "country_code", "bidding_zone", "period_start", "resolution", "step_minutes")
+
+
+@query("resolutions_seen")
+def q_resolutions_seen(spark, sf):
+    return ingest.resolutions_seen(mx.periods(landed_series(spark, sf)))
+
+
+@query("run_stats")
+def q_run_stats(spark, sf):
+    series = landed_series(spark, sf)
+    return ingest.run_stats(mx.flatten_points(series), series, observe_name="ingest_stats")
+
+
+# ------------------------------------------------------------------ planning
+
+def _requests(spark, sf):
+    return ingest.request_window(ingest.default_requests(td.obs_hour(spark, sf)))
+
+
+@query("request_window")
+def q_request_window(spark, sf):
+    return _requests(spark, sf)
+
+
+@query("effective_window")
+def q_effective_window(spark, sf):
+    first, _ = _hour_halves(spark, sf)
+    return ingest.effective_window(_requests(spark, sf), marks_from(first))
+
+
+@query("noop_runs")
+def q_noop_runs(spark, sf):
+    windows = ingest.effective_window(_requests(spark, sf), marks_from(td.obs_hour(spark, sf)))
+    return ingest.noop_runs(
+        windows,
+        run_id=ingest.run_id_for("pipeline_name", "country_code", "bidding_zone", "effective_start_utc"),
+        now=F.lit("2025-06-01 00:00:00").cast("timestamp_ntz"))
+
+
+def orders_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Multi-year daily requests per zone, resumed from marks of the first half of orders."""
+    o = td.table(spark, sf, "orders", ["o_orderkey"])
+    n = o.agg(F.count(F.lit(1))).scalar()
+    series = td.orders_obs(spark, sf)
+    first = (td.table(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"])
+             .filter(F.col("o_orderkey") * 2 < n)
+             .select(F.col("o_orderdate").alias("time_utc"), F.col("o_orderpriority").alias("country_code"),
+                     F.col("o_orderstatus").alias("bidding_zone")))
+    windows = ingest.request_window(ingest.default_requests(series))
+    return ingest.effective_window(windows, marks_from(first), step=F.expr("INTERVAL 1 DAY"))
+
+
+@query("quarter_chunks")
+def q_quarter_chunks(spark, sf):
+    return ingest.quarter_chunks(orders_windows(spark, sf)).select(
+        "pipeline_name", "country_code", "bidding_zone", "effective_start_utc", "effective_end_utc",
+        "chunk_start_utc", "chunk_end_utc", "period_start", "period_end")
+
+
+# ------------------------------------------------------------------ publish
+
+@query("publish_select")
+def q_publish_select(spark, sf):
+    return pub.declared_select(clean_obs(spark, sf), "energy_load_clean", order=True)
+
+
+@query("publish_roundtrip")
+def q_publish_roundtrip(spark, sf):
+    path = scratch_path(spark, "publish")
+    daily = analytics.daily_summary(clean_obs(spark, sf), exact_scale=EXACT)
+    pub.publish(daily, "daily_load_summary", path, sort_within=["country_code", "bidding_zone", "load_date"])
+    return pub.read_table(spark, path)
+
+
+@query("export_ndjson")
+def q_export_ndjson(spark, sf):
+    path = scratch_path(spark, "ndjson")
+    pub.export_ndjson(pub.declared_select(analytics.anomalies(clean_obs(spark, sf), exact_scale=EXACT),
+                                          "hourly_load_anomalies"), path)
+    return spark.read.text(path)
+
+
+@query("stg_clean")
+def q_stg_clean(spark, sf):
+    return pub.stg_clean(pub.declared_select(clean_obs(spark, sf), "energy_load_clean"))
+
+
+@query("stg_assertions")
+def q_stg_assertions(spark, sf):
+    return pub.stg_assertions(pub.declared_select(_assertions(spark, sf, quality.TOLERANT), "dq_assertions"))
+

@@ -1,3 +1,109 @@
-"""Oracle SQL for the ingestion, publish and streaming queries."""
+"""Oracle SQL for the ingestion and publish queries."""
 
-from loadlens.plans.oracle import SQL  # noqa: F401
+from loadlens.plans.oracle import (CLEAN, HALF, HOURLY_QUALITY, OBS, OBS_HOUR, ORDERS_OBS, SQL,
+                                   TOLERANT, _avg, _marks, with_)
+
+Q15 = f"""q15 AS (
+  SELECT date_trunc('hour', time_utc) + to_minutes(CAST(minute(time_utc) // 15 * 15 AS BIGINT)) AS time_utc,
+         country_code, bidding_zone, {_avg('load_mw')} AS load_mw
+  FROM obs WHERE load_mw IS NOT NULL AND load_mw >= 0 GROUP BY 1, 2, 3)"""
+
+RULE = """CASE WHEN bidding_zone = 'Z0' THEN 'PT60M' WHEN bidding_zone = 'Z1' THEN 'PT15M'
+            WHEN day(time_utc) % 2 = 1 THEN 'PT60M' ELSE 'PT15M' END"""
+
+POINTS = f"""points AS (
+  SELECT time_utc, country_code, bidding_zone, load_mw, 'PT60M' AS resolution
+  FROM clean WHERE {RULE} = 'PT60M'
+  UNION ALL
+  SELECT time_utc, country_code, bidding_zone, load_mw, 'PT15M' AS resolution
+  FROM q15 WHERE {RULE} = 'PT15M')"""
+
+PERIODS = """periods AS (
+  SELECT DISTINCT country_code, bidding_zone, date_trunc('day', time_utc) AS period_start, resolution,
+         CASE resolution WHEN 'PT60M' THEN 60 ELSE 15 END AS step_minutes
+  FROM points)"""
+
+LANDED = [OBS, CLEAN, Q15, POINTS, PERIODS]
+
+SQL["ingest_xml_points"] = with_(*LANDED) + \
+    "SELECT time_utc, country_code, bidding_zone, load_mw FROM points"
+
+SQL["resolution_step"] = with_(*LANDED) + "SELECT * FROM periods"
+
+SQL["resolutions_seen"] = with_(*LANDED) + """
+SELECT country_code, bidding_zone,
+       nullif(array_to_string(list_sort(list_distinct(list(resolution))), ','), '') AS resolution_detected
+FROM periods GROUP BY 1, 2"""
+
+SQL["run_stats"] = with_(*LANDED) + """
+SELECT p.country_code, p.bidding_zone, p.rows_seen, p.min_event_time_utc, p.max_event_time_utc,
+       s.source_timeseries_count
+FROM (SELECT country_code, bidding_zone, COUNT(*) AS rows_seen, MIN(time_utc) AS min_event_time_utc,
+             MAX(time_utc) AS max_event_time_utc FROM points GROUP BY 1, 2) p
+JOIN (SELECT country_code, bidding_zone, COUNT(*) AS source_timeseries_count FROM periods GROUP BY 1, 2) s
+  USING (country_code, bidding_zone)"""
+
+REQUESTS = """requests AS (
+  SELECT country_code, bidding_zone, strftime(MIN(time_utc), '%Y-%m-%d') AS start_date,
+         strftime(MAX(time_utc), '%Y-%m-%d') AS end_date,
+         'energy_dss_batch_ingestion' AS pipeline_name
+  FROM {src} GROUP BY 1, 2),
+windows AS (
+  SELECT *, CAST(strptime(start_date, '%Y-%m-%d') AS TIMESTAMP) AS requested_start_utc,
+         CAST(strptime(end_date, '%Y-%m-%d') AS TIMESTAMP) + INTERVAL 23 HOUR AS requested_end_utc
+  FROM requests)"""
+
+EFFECTIVE = """effective AS (
+  SELECT w.*, m.last_ingested_at_utc,
+         greatest(w.requested_start_utc,
+                  coalesce(m.last_ingested_at_utc + INTERVAL {step}, w.requested_start_utc))
+           AS effective_start_utc,
+         w.requested_end_utc AS effective_end_utc
+  FROM windows w LEFT JOIN {marks} m USING (pipeline_name, country_code, bidding_zone))"""
+
+SQL["request_window"] = with_(OBS, OBS_HOUR, REQUESTS.format(src="obs_hour")) + "SELECT * FROM windows"
+
+SQL["effective_window"] = with_(OBS, OBS_HOUR, REQUESTS.format(src="obs_hour"), _marks("marks", HALF),
+                                EFFECTIVE.format(step="1 HOUR", marks="marks")) + "SELECT * FROM effective"
+
+SQL["noop_runs"] = with_(OBS, OBS_HOUR, REQUESTS.format(src="obs_hour"), _marks("marks", "TRUE"),
+                         EFFECTIVE.format(step="1 HOUR", marks="marks")) + """
+SELECT sha256(concat_ws('|', pipeline_name, country_code, bidding_zone,
+                        CAST(effective_start_utc AS VARCHAR))) AS run_id,
+       pipeline_name, 'entsoe_actual_total_load' AS source_name, country_code, bidding_zone,
+       effective_start_utc AS requested_start_utc, effective_end_utc AS requested_end_utc,
+       TIMESTAMP '2025-06-01 00:00:00' AS started_at_utc, TIMESTAMP '2025-06-01 00:00:00' AS finished_at_utc,
+       'success' AS status, 0 AS rows_seen, 0 AS rows_inserted,
+       CAST(NULL AS TIMESTAMP) AS min_event_time_utc, CAST(NULL AS TIMESTAMP) AS max_event_time_utc,
+       CAST(NULL AS VARCHAR) AS resolution_detected, 0 AS source_timeseries_count,
+       CAST(NULL AS VARCHAR) AS error_message, 1 AS event_seq
+FROM effective WHERE effective_start_utc > effective_end_utc"""
+
+ORDER_MARKS = """order_marks AS (
+  SELECT 'energy_dss_batch_ingestion' AS pipeline_name, o_orderpriority AS country_code,
+         o_orderstatus AS bidding_zone, MAX(o_orderdate) AS last_ingested_at_utc
+  FROM orders WHERE 2 * o_orderkey < (SELECT COUNT(*) FROM orders) GROUP BY 2, 3)"""
+
+SQL["quarter_chunks"] = with_(ORDERS_OBS, REQUESTS.format(src="orders_obs"), ORDER_MARKS,
+                              EFFECTIVE.format(step="1 DAY", marks="order_marks"), """quarters AS (
+  SELECT *, unnest(generate_series(date_trunc('quarter', effective_start_utc), effective_end_utc,
+                                   INTERVAL 3 MONTH)) AS quarter_start
+  FROM effective WHERE effective_start_utc <= effective_end_utc)""", """chunks AS (
+  SELECT pipeline_name, country_code, bidding_zone, effective_start_utc, effective_end_utc,
+         greatest(quarter_start, effective_start_utc) AS chunk_start_utc,
+         least(quarter_start + INTERVAL 3 MONTH - INTERVAL 1 HOUR, effective_end_utc) AS chunk_end_utc
+  FROM quarters)""") + """
+SELECT *, strftime(chunk_start_utc, '%Y%m%d%H%M') AS period_start,
+       strftime(chunk_end_utc + INTERVAL 1 HOUR, '%Y%m%d%H%M') AS period_end
+FROM chunks"""
+
+_DAILY = f"""
+SELECT country_code, bidding_zone, CAST(time_utc AS DATE) AS load_date,
+       {_avg('load_mw')} AS avg_load_mw, MAX(load_mw) AS peak_load_mw, MIN(load_mw) AS min_load_mw,
+       COUNT(*) AS hourly_points
+FROM clean GROUP BY 1, 2, 3"""
+
+SQL["publish_select"] = with_(OBS, CLEAN) + "SELECT * FROM clean ORDER BY time_utc"
+SQL["publish_roundtrip"] = with_(OBS, CLEAN) + _DAILY
+SQL["stg_clean"] = with_(OBS, CLEAN) + "SELECT * FROM clean"
+SQL["stg_assertions"] = with_(*HOURLY_QUALITY, TOLERANT) + "SELECT * FROM assertions"
