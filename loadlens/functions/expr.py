@@ -76,3 +76,28 @@ def epoch_span_steps(lo: Column, hi: Column, step_seconds: int) -> Column:
     """Whole number of steps in [lo, hi] counting both ends (round, then cast)."""
     secs = F.timestamp_diff("SECOND", lo, hi)
     return F.round(secs / F.lit(float(step_seconds)) + F.lit(1.0)).cast("bigint")
+
+
+def interval_text(seconds: Column) -> Column:
+    """Whole seconds as day-time interval text: '02:00:00', '1 day 01:00:00', '3 days …'."""
+    d = F.floor(seconds / 86400)
+    rem = seconds - d * 86400
+    hh = F.lpad(F.floor(rem / 3600).cast("string"), 2, "0")
+    mm = F.lpad(F.floor((rem % 3600) / 60).cast("string"), 2, "0")
+    ss = F.lpad((rem % 60).cast("string"), 2, "0")
+    days = (F.when(d == 1, F.lit("1 day "))
+            .when(d > 1, F.concat(d.cast("string"), F.lit(" days "))).otherwise(F.lit("")))
+    return F.concat(days, hh, F.lit(":"), mm, F.lit(":"), ss)
+
+
+_NTZ_EPOCH = "1970-01-01 00:00:00"
+
+
+def ntz_to_instant(c: Column) -> Column:
+    """Wall-clock NTZ -> TIMESTAMP at the same UTC instant, independent of session zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(_NTZ_EPOCH).cast("timestamp_ntz"), c))
+
+
+def instant_to_ntz(c: Column) -> Column:
+    """TIMESTAMP -> its UTC wall clock as NTZ, independent of session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_NTZ_EPOCH).cast("timestamp_ntz"))

@@ -296,5 +296,5 @@ def q_run_ledger_latest(spark, sf):
 
 def all_queries() -> dict[str, Query]:
     # Import modules whose queries register themselves.
-    from loadlens.plans import catalog_ingest  # noqa: F401
+    from loadlens.plans import catalog_ingest, catalog_stream  # noqa: F401
     return dict(REGISTRY)

@@ -107,3 +107,18 @@ SQL["publish_select"] = with_(OBS, CLEAN) + "SELECT * FROM clean ORDER BY time_u
 SQL["publish_roundtrip"] = with_(OBS, CLEAN) + _DAILY
 SQL["stg_clean"] = with_(OBS, CLEAN) + "SELECT * FROM clean"
 SQL["stg_assertions"] = with_(*HOURLY_QUALITY, TOLERANT) + "SELECT * FROM assertions"
+
+# ------------------------------------------------------------------ streaming (batch equivalents)
+
+SQL["stream_clean_hourly"] = with_(OBS, CLEAN) + "SELECT * FROM clean"
+SQL["stream_xml_points"] = SQL["ingest_xml_points"]
+SQL["stream_dedupe_keys"] = with_(OBS, OBS_HOUR) + \
+    "SELECT DISTINCT time_utc, country_code, bidding_zone FROM obs_hour"
+SQL["stream_time_gaps"] = "WITH " + OBS + """, lagged AS (
+  SELECT country_code, bidding_zone, time_utc,
+         LAG(time_utc) OVER (PARTITION BY country_code, bidding_zone ORDER BY time_utc) AS previous_time
+  FROM obs)
+SELECT country_code, bidding_zone, previous_time, time_utc,
+       (epoch_us(time_utc) - epoch_us(previous_time)) // 1000000 AS gap_seconds
+FROM lagged
+WHERE previous_time IS NOT NULL AND epoch_us(time_utc) - epoch_us(previous_time) > 3600000000"""
