@@ -98,7 +98,9 @@ STATE_SCHEMA = T.StructType([
 
 # Market document read schema (rowTag = TimeSeries). Names are local names;
 # read with ignoreNamespace so both default-namespace and prefixed documents work.
-POINT_SCHEMA = T.StructType([_f("position", T.IntegerType()), _f("quantity", T.DoubleType())])
+# Point values are read as text and parsed by the flatten step, which fails the
+# run on a malformed number (the XML reader's number parsing is lenient: "1x0" -> 1).
+POINT_SCHEMA = T.StructType([_f("position", T.StringType()), _f("quantity", T.StringType())])
 PERIOD_SCHEMA = T.StructType([
     _f("timeInterval", T.StructType([_f("start", T.StringType()), _f("end", T.StringType())])),
     _f("resolution", T.StringType()),

@@ -52,16 +52,27 @@ def periods(series: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(text, to: str, what: str):
+    """Parse trimmed text as ``to``; a non-empty value that does not parse fails the query."""
+    value = F.expr(f"try_cast(trim({text}) AS {to})")
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.concat(
+        F.lit(f"invalid {what}: "), F.expr(text))).cast(to))
+
+
 def flatten_points(series: DataFrame) -> DataFrame:
     """(time_utc, country_code, bidding_zone, load_mw) for every usable point.
 
     time = period start + (position - 1) * step. Points lacking a position or
-    a quantity are skipped.
+    a quantity (absent or empty) are skipped; a present but malformed number
+    fails the query, as the reference fails the run.
     """
     pts = periods(series).select(*ZONE_KEYS, "period_start", "step_minutes",
                                  F.explode("points").alias("pt"))
-    pos, qty = F.col("pt.position"), F.col("pt.quantity")
-    return pts.filter(pos.isNotNull() & qty.isNotNull()).select(
+    pos_t, qty_t = F.col("pt.position"), F.col("pt.quantity")
+    usable = pos_t.isNotNull() & (pos_t != "") & qty_t.isNotNull() & (qty_t != "")
+    pos = _parsed("pt.position", "int", "position")
+    qty = _parsed("pt.quantity", "double", "quantity")
+    return pts.filter(usable).select(
         F.timestamp_add("MINUTE", (pos - 1) * F.col("step_minutes"), F.col("period_start"))
         .alias("time_utc"),
         *ZONE_KEYS,
