@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.operators.combine import zip_rows
 from loadlens.schema import HOURLY, SeriesSpec
 
 WIDE_COLUMNS = [
@@ -45,18 +44,6 @@ def _avg(s: Column, n: Column) -> Column:
     return s.cast("double") / n
 
 
-def base_stats(cells: DataFrame, by: list[str]) -> DataFrame:
-    """G5 + T1 from the cells: global average, max, min and the peak hour."""
-    return cells.groupBy(*by).agg(
-        _avg(F.sum("_s"), F.sum("_n")).alias("avg_hourly_load_mw"),
-        F.max("_mx").alias("max_hourly_load_mw"),
-        F.min("_mn").alias("min_hourly_load_mw"),
-        F.min("_pk").alias("_peak"),
-        F.sum("_n").alias("_rows"),
-    ).select(*by, "avg_hourly_load_mw", "max_hourly_load_mw", "min_hourly_load_mw",
-             F.col("_peak.t").alias("peak_time_utc"), F.col("_peak.v").alias("peak_load_mw"), "_rows")
-
-
 def daily_extremes_from(cells: DataFrame, by: list[str]) -> DataFrame:
     """Daily average, then its maximum and minimum."""
     daily = cells.groupBy(*by, "_d").agg(_avg(F.sum("_s"), F.sum("_n")).alias("_davg"))
@@ -110,14 +97,43 @@ def system_metrics(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] |
                    exact_scale: int | None = None) -> DataFrame:
     """Q6: the wide metric row; zero rows when clean is empty.
 
-    ``by=[]`` mixes all zones as the reference does; pass the zone keys for
-    one row per zone.
+    One scan: clean → (date, hour) cells → one grouping-sets aggregate giving
+    the per-day, per-hour and overall levels together → one final row per
+    ``by`` group. ``by=[]`` mixes all zones as the reference does; pass the
+    zone keys for one row per zone.
     """
     by = by or []
     cells = hour_cells(clean, spec, by, exact_scale)
-    wide = zip_rows(base_stats(cells, by), daily_extremes_from(cells, by),
-                    seasonal_peaks_from(cells, by), curve_shape_from(cells, by), by=by)
-    return wide.filter(F.col("_rows") > 0).select(*by, *WIDE_COLUMNS)
+    m = F.month("_d")
+    levels = cells.groupingSets([[*by, "_d"], [*by, "_h"], [*by]], *by, "_d", "_h").agg(
+        F.sum("_s").alias("s"), F.sum("_n").alias("n"), F.max("_mx").alias("mx"),
+        F.min("_mn").alias("mn"), F.min("_pk").alias("pk"),
+        F.max(F.when(m.isin(*WINTER_MONTHS), F.col("_mx"))).alias("wmx"),
+        F.max(F.when(m.isin(*SUMMER_MONTHS), F.col("_mx"))).alias("smx"),
+        F.grouping("_d").alias("gd"), F.grouping("_h").alias("gh"))
+    day = (F.col("gd") == 0) & (F.col("gh") == 1)
+    hour = (F.col("gd") == 1) & (F.col("gh") == 0)
+    total = (F.col("gd") == 1) & (F.col("gh") == 1)
+    avg = _avg(F.col("s"), F.col("n"))
+
+    def at(level: Column, c: Column) -> Column:
+        return F.when(level, c)
+
+    wide = levels.groupBy(*by).agg(
+        F.max(at(total, avg)).alias("avg_hourly_load_mw"),
+        F.max(at(total, F.col("mx"))).alias("max_hourly_load_mw"),
+        F.max(at(total, F.col("mn"))).alias("min_hourly_load_mw"),
+        F.max(at(total, F.col("pk"))).alias("_peak"),
+        F.max(at(day, avg)).alias("max_avg_daily_load_mw"),
+        F.min(at(day, avg)).alias("min_avg_daily_load_mw"),
+        F.max(at(total, F.col("wmx"))).alias("winter_peak_load_mw"),
+        F.max(at(total, F.col("smx"))).alias("summer_peak_load_mw"),
+        *[F.max(at(hour & (F.col("_h") == h), avg)).alias(name) for name, h in SHAPE_HOURS.items()],
+        F.max(at(total, F.col("n"))).alias("_rows"),
+    )
+    return (wide.filter(F.col("_rows") > 0)
+            .withColumn("peak_time_utc", F.col("_peak.t")).withColumn("peak_load_mw", F.col("_peak.v"))
+            .select(*by, *WIDE_COLUMNS))
 
 
 def _text(c: Column, dtype: str, text_scale: int | None) -> Column:

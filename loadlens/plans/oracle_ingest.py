@@ -46,7 +46,7 @@ JOIN (SELECT country_code, bidding_zone, COUNT(*) AS source_timeseries_count FRO
 REQUESTS = """requests AS (
   SELECT country_code, bidding_zone, strftime(MIN(time_utc), '%Y-%m-%d') AS start_date,
          strftime(MAX(time_utc), '%Y-%m-%d') AS end_date,
-         'energy_dss_batch_ingestion' AS pipeline_name
+         'load_batch_ingestion' AS pipeline_name
   FROM {src} GROUP BY 1, 2),
 windows AS (
   SELECT *, CAST(strptime(start_date, '%Y-%m-%d') AS TIMESTAMP) AS requested_start_utc,
@@ -70,7 +70,7 @@ SQL["noop_runs"] = with_(OBS, OBS_HOUR, REQUESTS.format(src="obs_hour"), _marks(
                          EFFECTIVE.format(step="1 HOUR", marks="marks")) + """
 SELECT sha256(concat_ws('|', pipeline_name, country_code, bidding_zone,
                         CAST(effective_start_utc AS VARCHAR))) AS run_id,
-       pipeline_name, 'entsoe_actual_total_load' AS source_name, country_code, bidding_zone,
+       pipeline_name, 'actual_total_load' AS source_name, country_code, bidding_zone,
        effective_start_utc AS requested_start_utc, effective_end_utc AS requested_end_utc,
        TIMESTAMP '2025-06-01 00:00:00' AS started_at_utc, TIMESTAMP '2025-06-01 00:00:00' AS finished_at_utc,
        'success' AS status, 0 AS rows_seen, 0 AS rows_inserted,
@@ -80,7 +80,7 @@ SELECT sha256(concat_ws('|', pipeline_name, country_code, bidding_zone,
 FROM effective WHERE effective_start_utc > effective_end_utc"""
 
 ORDER_MARKS = """order_marks AS (
-  SELECT 'energy_dss_batch_ingestion' AS pipeline_name, o_orderpriority AS country_code,
+  SELECT 'load_batch_ingestion' AS pipeline_name, o_orderpriority AS country_code,
          o_orderstatus AS bidding_zone, MAX(o_orderdate) AS last_ingested_at_utc
   FROM orders WHERE 2 * o_orderkey < (SELECT COUNT(*) FROM orders) GROUP BY 2, 3)"""
 

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 # Fixed values the published outputs must reproduce.
 DEFAULT_SOURCE = "ENTSO-E"
-PIPELINE_NAME = "energy_dss_batch_ingestion"
-SOURCE_NAME = "entsoe_actual_total_load"
+PIPELINE_NAME = "load_batch_ingestion"
+SOURCE_NAME = "actual_total_load"
 RUN_STATUSES = ("running", "success", "failed")
 ERROR_MESSAGE_MAX = 2000
 
