@@ -101,3 +101,8 @@ def ntz_to_instant(c: Column) -> Column:
 def instant_to_ntz(c: Column) -> Column:
     """TIMESTAMP -> its UTC wall clock as NTZ, independent of session zone."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_NTZ_EPOCH).cast("timestamp_ntz"))
+
+
+def utc_now() -> Column:
+    """Current time as a UTC wall-clock TIMESTAMP_NTZ (whatever the session zone)."""
+    return instant_to_ntz(F.current_timestamp())

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.functions.expr import utc_now
 from loadlens.schema import (CLEAN_SCHEMA, ERROR_MESSAGE_MAX, RAW_SCHEMA, RUN_EVENT_SCHEMA,
                              RUN_LEDGER_SCHEMA, RUN_STATUSES, STATE_SCHEMA)
 
@@ -83,7 +84,7 @@ def state_upsert(marks: DataFrame, new_marks: DataFrame, now: Column | None = No
     ``new_marks`` holds (pipeline, country, zone, last_ingested_at_utc); rows
     with a null mark are ignored (D18: only runs that parsed rows move marks).
     """
-    now = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    now = now if now is not None else utc_now()
     fresh = (new_marks.filter(F.col("last_ingested_at_utc").isNotNull())
              .select(*MARK_KEYS, "last_ingested_at_utc", now.alias("updated_at_utc")))
     return upsert(marks.select(*STATE_SCHEMA.fieldNames()), fresh, MARK_KEYS)
@@ -131,7 +132,7 @@ def bootstrap(spark: SparkSession) -> dict[str, DataFrame]:
 
 def with_ingest_default(rows: DataFrame, now: Column | None = None) -> DataFrame:
     """Raw-table default: ``ingested_at`` is the write time when not given."""
-    now = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    now = now if now is not None else utc_now()
     if "ingested_at" not in rows.columns:
         rows = rows.withColumn("ingested_at", F.lit(None).cast("timestamp_ntz"))
     if "source" not in rows.columns:

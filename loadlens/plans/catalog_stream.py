@@ -44,7 +44,8 @@ def _replay(spark: SparkSession, source: DataFrame, name: str,
     edges = _slice_edges(spark, source)
     for a, b in zip(edges, edges[1:]):
         t = F.col("time_utc")
-        piece = source.filter((t >= F.lit(a).cast("timestamp_ntz")) & (t < F.lit(b).cast("timestamp_ntz")))
+        lo, hi = (F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz") for x in (a, b))  # zone-free literals
+        piece = source.filter((t >= lo) & (t < hi))
         write_slice(piece, src)
         start_query(src, ckpt)
     return src

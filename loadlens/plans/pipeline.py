@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.functions.expr import interval_text
+from loadlens.functions.expr import interval_text, utc_now
 from loadlens.operators import analytics, clean as clean_ops, mart, quality, tables
 from loadlens.plans import ingest as plan
 from loadlens.schema import (HOURLY, PIPELINE_NAME, RAW_SCHEMA, RUN_EVENT_SCHEMA, SOURCE_NAME,
@@ -111,7 +111,7 @@ def ingest(spark: SparkSession, requests: DataFrame, paths: IngestPaths,
     runs; on error close them as failed and re-raise (D17: appended rows stay).
     Returns the closed ledger events.
     """
-    now = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    now = now if now is not None else utc_now()
     marks = _read_or_empty(spark, paths.marks, STATE_SCHEMA)
     windows = plan.effective_window(
         plan.request_window(requests.withColumn("pipeline_name", F.lit(pipeline_name))), marks, step)
