@@ -48,24 +48,34 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
     return kept.select(*cols).unionByName(batch.select(*cols))
 
 
+MAX_PRUNE_VALUES = 10_000
+
+
 def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
                  partition_col: str = "month", time_col: str = "time_utc") -> DataFrame:
     """Persist an upsert into a Parquet table partitioned by month of ``time_col``.
 
     Only the months the batch touches are read and rewritten (dynamic partition
-    overwrite). The merged rows are checkpointed to the shared checkpoint folder
-    first, so the write never reads the files it is replacing.
+    overwrite). The touched months are counted first: up to
+    ``MAX_PRUNE_VALUES`` they prune the scan as literals; beyond that a plain
+    semi-join (planned by AQE) selects them. The merged rows are checkpointed
+    to the shared checkpoint folder before the write, so the write never reads
+    the files it replaces.
     """
     incoming = incoming.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
     writer_opts = {"partitionOverwriteMode": "dynamic"}
     try:
         current = spark.read.parquet(path)
-    except Exception:  # no table yet
+    except Exception:  # noqa: BLE001 - no table yet
         (incoming.write.mode("overwrite").options(**writer_opts)
          .partitionBy(partition_col).parquet(path))
         return spark.read.parquet(path)
     touched = incoming.select(partition_col).distinct()
-    existing = current.join(F.broadcast(touched), partition_col, "left_semi")
+    if touched.count() <= MAX_PRUNE_VALUES:
+        months = [r[0] for r in touched.collect()]
+        existing = current.filter(F.col(partition_col).isin(months))
+    else:
+        existing = current.join(touched, partition_col, "left_semi")
     merged = upsert(existing, incoming, keys).checkpoint(eager=True)
     merged.write.mode("overwrite").options(**writer_opts).partitionBy(partition_col).parquet(path)
     return spark.read.parquet(path)

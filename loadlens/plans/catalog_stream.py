@@ -75,13 +75,14 @@ def q_stream_time_gaps(spark, sf):
     """Online gap detection over raw observations."""
     obs = td.obs(spark, sf)
     sink = scratch_path(spark, "stream-gaps")
+    state = scratch_path(spark, "stream-gaps-state")
 
     def run(src: str, ckpt: str) -> None:
         stream = spark.readStream.schema(obs.schema).parquet(src)
-        st.run_available_now(st.gap_detector(stream), ckpt, sink=sink)
+        st.run_available_now(stream, ckpt, foreach_batch=st.gap_detector_sink(spark, state, sink))
 
     _replay(spark, obs, "gaps", _parquet_slice, run)
-    return spark.read.schema(st.GAP_SCHEMA).parquet(sink)
+    return spark.read.parquet(sink).select(*st.GAP_SCHEMA.fieldNames())
 
 
 @query("stream_dedupe_keys")

@@ -7,7 +7,7 @@ operators when data arrives in time order within the watermark:
 * X2 ``hourly_downsample``: watermark + 1-hour tumbling window per zone.
 * X3 ``dedupe_keys``: first row per (time, zone) within the watermark.
 * X4 ``upsert_sink``: ``foreachBatch`` writer that upserts each micro-batch.
-* X5 ``gap_detector``: per-zone last-time state, emits gaps as they close.
+* X5 ``gap_detector_sink``: per-zone last-time state table, gaps per micro-batch.
 
 Event time is wall-clock NTZ in the tables; watermarks need TIMESTAMP, so the
 stream converts at the source (``ntz_to_instant``) and back at the sink,
@@ -16,13 +16,11 @@ independent of the session time zone.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loadlens.functions.expr import instant_to_ntz, mean, ntz_to_instant
 from loadlens.operators import tables
@@ -86,47 +84,55 @@ GAP_SCHEMA = T.StructType([
     T.StructField("time_utc", T.TimestampNTZType()),
     T.StructField("gap_seconds", T.LongType()),
 ])
-_STATE_SCHEMA = T.StructType([T.StructField("last_us", T.LongType())])
-
-
-def _gap_fn(step_us: int):
-    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times = pd.concat([b["t_us"] for b in batches], ignore_index=True).sort_values(kind="stable")
-        prev = state.get[0] if state.exists else None
-        seq = times.to_numpy()
-        prevs = pd.Series(seq).shift(1)
-        if prev is not None and len(prevs):
-            prevs.iloc[0] = prev
-        diffs = pd.Series(seq) - prevs
-        mask = diffs > step_us
-        if len(seq):
-            last = int(seq[-1]) if prev is None else max(int(seq[-1]), int(prev))
-            state.update((last,))
-        if mask.any():
-            cur = pd.Series(seq)[mask].astype("int64")
-            pv = prevs[mask].astype("int64")
-            yield pd.DataFrame({
-                "country_code": key[0], "bidding_zone": key[1],
-                "previous_time": pd.to_datetime(pv, unit="us"),
-                "time_utc": pd.to_datetime(cur, unit="us"),
-                "gap_seconds": ((cur - pv) // 1_000_000).astype("int64"),
-            })
-    return fn
-
-
-def gap_detector(obs: DataFrame, spec: SeriesSpec = HOURLY) -> DataFrame:
-    """Consecutive-point gaps per zone, online, state = last time (microseconds).
-
-    State is kept as a long: timestamp state reads back zone-aware while the
-    rows are naive. Needs time-ordered arrival per zone (each micro-batch is
-    sorted inside; an earlier row arriving later is compared with the state).
-    Each group holds one zone's rows of one micro-batch, bounded by the trigger.
+
+
+def _latest_state(spark: SparkSession, state_path: str, batch_id: int, spec: SeriesSpec) -> DataFrame | None:
+    """Per-zone last time as left by the newest micro-batch before ``batch_id``."""
+    try:
+        versions = spark.read.parquet(state_path)
+    except Exception:  # noqa: BLE001 - no state yet
+        return None
+    older = versions.filter(F.col("v") < batch_id)
+    newest = older.agg(F.max("v").alias("_v"))
+    return (older.join(newest, older["v"] == newest["_v"], "left_semi")
+            .select(*spec.keys, spec.time))
+
+
+def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
+                      spec: SeriesSpec = HOURLY) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function emitting gaps between consecutive points per zone.
+
+    Each micro-batch is seeded with the previous batch's last time per zone
+    (a small state table, one row per zone), then the batch operator's
+    day-bucketed lag finds the gaps, so a hot zone is spread over many tasks.
+    Output and state are written under the batch id (dynamic overwrite), so a
+    retried batch replaces its own results: exactly-once for the sink.
+    Needs time-ordered arrival per zone across micro-batches.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    us = obs.select(*spec.keys, F.timestamp_diff("MICROSECOND", epoch, F.col(spec.time)).alias("t_us"))
-    return us.groupBy(*spec.keys).applyInPandasWithState(
-        _gap_fn(spec.step_seconds * 1_000_000), GAP_SCHEMA, _STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+    from loadlens.operators.quality import gap_micros, previous_time
+
+    step_us = spec.step_seconds * 1_000_000
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pts = batch.select(*spec.keys, spec.time).withColumn("_seed", F.lit(False)).persist()
+        prev = _latest_state(spark, state_path, batch_id, spec)
+        seeded = pts if prev is None else pts.unionByName(prev.withColumn("_seed", F.lit(True)))
+        lagged = previous_time(seeded, spec)
+        cur, p = F.col(spec.time), F.col("previous_time")
+        diff = gap_micros(p, cur)
+        gaps = (lagged.filter(~F.col("_seed") & p.isNotNull() & (diff > F.lit(step_us)))
+                .select(*spec.keys, "previous_time", spec.time,
+                        F.floor(diff / F.lit(1_000_000)).cast("bigint").alias("gap_seconds"))
+                .withColumn("batch_id", F.lit(batch_id)))
+        gaps.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("batch_id").parquet(out_path)
+        state = seeded.groupBy(*spec.keys).agg(F.max(spec.time).alias(spec.time)) \
+            .withColumn("v", F.lit(batch_id))
+        state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("v").parquet(state_path)
+        pts.unpersist()
+
+    return write
 
 
 def run_available_now(df: DataFrame, checkpoint: str, sink: str | None = None,
