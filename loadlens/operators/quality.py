@@ -139,19 +139,29 @@ def latest_success(ledger: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def reconciliation(clean: DataFrame, raw: DataFrame, ledger: DataFrame, spec: SeriesSpec = HOURLY,
-                   missing: DataFrame | None = None) -> DataFrame:
-    """Q1: one row of expected / actual / missing / duplicate counts and the last run."""
+                   missing: DataFrame | None = None, by_zone: bool = False) -> DataFrame:
+    """Q1: expected / actual / missing / duplicate counts and the last successful run.
+
+    Global (one row) as in the reference; ``by_zone=True`` gives one row per
+    zone with the zone's own span, counts and latest run (D5).
+    """
     missing = missing if missing is not None else missing_times(clean, spec)
+    by = list(spec.keys) if by_zone else []
     t = F.col(spec.time)
-    span = clean.agg(  # G13 + G9 in one pass over clean
+    span = clean.groupBy(*by).agg(  # G13 + G9 in one pass over clean
         epoch_span_steps(F.min(t), F.max(t), spec.step_seconds).alias("expected_hours"),
         F.count_distinct(t).alias("actual_hours"))
-    return zip_rows(
+    out = zip_rows(
         span,
-        count_row(missing, "missing_hours"),
-        count_row(duplicate_key_groups(raw, spec), "duplicate_rows"),
-        latest_success(ledger),
+        missing.groupBy(*by).agg(F.count(F.lit(1)).alias("missing_hours")),
+        duplicate_key_groups(raw, spec).groupBy(*by).agg(F.count(F.lit(1)).alias("duplicate_rows")),
+        latest_success(ledger, by=by),
+        by=by,
     )
+    if by_zone:
+        out = (out.withColumn("missing_hours", F.coalesce("missing_hours", F.lit(0)))
+               .withColumn("duplicate_rows", F.coalesce("duplicate_rows", F.lit(0))))
+    return out
 
 
 def pipeline_status(raw: DataFrame, clean: DataFrame, spec: SeriesSpec = HOURLY,

@@ -147,3 +147,19 @@ def q_stg_clean(spark, sf):
 def q_stg_assertions(spark, sf):
     return pub.stg_assertions(pub.declared_select(_assertions(spark, sf, quality.TOLERANT), "dq_assertions"))
 
+
+
+@query("zone_metrics_published")
+def q_zone_metrics_published(spark, sf):
+    """The zone-metrics job reading the published clean table through the connector path."""
+    src, out = scratch_path(spark, "clean-pub"), scratch_path(spark, "zone-metrics")
+    pub.publish(clean_obs(spark, sf), "energy_load_clean", src)
+    pub.zone_metrics_job(spark, src, out, exact_scale=EXACT)
+    return pub.read_table(spark, out)
+
+
+@query("reconciliation_by_zone")
+def q_reconciliation_by_zone(spark, sf):
+    from loadlens.plans.catalog import ledger
+    return quality.reconciliation(clean_obs(spark, sf), td.obs_hour(spark, sf), ledger(spark, sf),
+                                  by_zone=True)

@@ -1,6 +1,6 @@
 """Oracle SQL for the ingestion and publish queries."""
 
-from loadlens.plans.oracle import (CLEAN, HALF, HOURLY_QUALITY, OBS, OBS_HOUR, ORDERS_OBS, SQL,
+from loadlens.plans.oracle import (BOUNDS, CLEAN, DUPS, LEDGER, MISSING, SPINE, HALF, HOURLY_QUALITY, OBS, OBS_HOUR, ORDERS_OBS, SQL,
                                    TOLERANT, _avg, _marks, with_)
 
 Q15 = f"""q15 AS (
@@ -122,3 +122,28 @@ SELECT country_code, bidding_zone, previous_time, time_utc,
        (epoch_us(time_utc) - epoch_us(previous_time)) // 1000000 AS gap_seconds
 FROM lagged
 WHERE previous_time IS NOT NULL AND epoch_us(time_utc) - epoch_us(previous_time) > 3600000000"""
+
+SQL["zone_metrics_published"] = SQL["zone_metrics"]
+
+SQL["reconciliation_by_zone"] = with_(OBS, OBS_HOUR, CLEAN, BOUNDS.format(src="clean"),
+                                      SPINE.format(step="1 HOUR", col="expected_time"),
+                                      MISSING.format(src="clean"), DUPS, LEDGER, """span AS (
+  SELECT country_code, bidding_zone,
+         CAST(round(date_diff('second', MIN(time_utc), MAX(time_utc)) / 3600.0 + 1) AS BIGINT) AS expected_hours,
+         COUNT(DISTINCT time_utc) AS actual_hours
+  FROM clean GROUP BY 1, 2)""", """miss AS (
+  SELECT country_code, bidding_zone, COUNT(*) AS missing_hours FROM missing GROUP BY 1, 2)""", """dz AS (
+  SELECT country_code, bidding_zone, COUNT(*) AS duplicate_rows FROM dups GROUP BY 1, 2)""", """lz AS (
+  SELECT country_code, bidding_zone, run_id AS last_run_id, started_at_utc AS last_run_started_at,
+         finished_at_utc AS last_run_finished_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY country_code, bidding_zone
+                                     ORDER BY started_at_utc DESC, run_id DESC) AS rn
+        FROM ledger WHERE status = 'success') WHERE rn = 1)""", """zones AS (
+  SELECT country_code, bidding_zone FROM span UNION SELECT country_code, bidding_zone FROM miss
+  UNION SELECT country_code, bidding_zone FROM dz UNION SELECT country_code, bidding_zone FROM lz)""") + """
+SELECT z.country_code, z.bidding_zone, s.expected_hours, s.actual_hours,
+       coalesce(m.missing_hours, 0) AS missing_hours, coalesce(d.duplicate_rows, 0) AS duplicate_rows,
+       l.last_run_id, l.last_run_started_at, l.last_run_finished_at
+FROM zones z LEFT JOIN span s USING (country_code, bidding_zone)
+LEFT JOIN miss m USING (country_code, bidding_zone) LEFT JOIN dz d USING (country_code, bidding_zone)
+LEFT JOIN lz l USING (country_code, bidding_zone)"""

@@ -28,8 +28,10 @@ log = logging.getLogger(__name__)
 def build_layers(raw: DataFrame, ledger: DataFrame, clean: DataFrame | None = None,
                  spec: SeriesSpec = HOURLY, exact_scale: int | None = None,
                  profile: quality.AssertionProfile = quality.TOLERANT, persist: bool = True,
-                 register: bool = False) -> dict[str, DataFrame]:
+                 register: bool = False, marks: DataFrame | None = None) -> dict[str, DataFrame]:
     """Clean → DQ → analytics → mart, named as the published objects."""
+    if marks is None:
+        marks = raw.sparkSession.createDataFrame([], STATE_SCHEMA)
     if clean is None:
         clean = clean_ops.clean_series(raw, spec, exact_scale=exact_scale)
     if persist:
@@ -45,6 +47,7 @@ def build_layers(raw: DataFrame, ledger: DataFrame, clean: DataFrame | None = No
         "energy_load_raw": raw,
         "energy_load_clean": clean,
         "pipeline_runs": ledger,
+        "pipeline_state": marks,
         "dq_time_gaps": gaps.withColumn("gap_interval", interval_text(F.col("gap_seconds"))),
         "dq_missing_hours": missing,
         "dq_invalid_loads": invalid,
@@ -71,13 +74,15 @@ def publish_all(layers: dict[str, DataFrame], root: str, fmt: str = "parquet") -
 
 def run_pipeline(spark: SparkSession, raw_path: str, ledger_path: str, clean_path: str,
                  publish_root: str | None = None, spec: SeriesSpec = HOURLY,
-                 profile: quality.AssertionProfile = quality.TOLERANT) -> dict[str, DataFrame]:
+                 profile: quality.AssertionProfile = quality.TOLERANT,
+                 marks_path: str | None = None) -> dict[str, DataFrame]:
     """The flow: upsert clean from raw, build DQ/analytics/mart, gate, publish."""
     raw = spark.read.schema(RAW_SCHEMA).parquet(raw_path)
+    marks = _read_or_empty(spark, marks_path, STATE_SCHEMA) if marks_path else None
     ledger = tables.ledger_latest(spark.read.schema(RUN_EVENT_SCHEMA).parquet(ledger_path))
     fresh = clean_ops.clean_series(raw, spec)
     clean = tables.upsert_table(spark, fresh, clean_path, spec.key_time).drop("month")
-    layers = build_layers(raw, ledger, clean=clean, spec=spec, profile=profile)
+    layers = build_layers(raw, ledger, clean=clean, spec=spec, profile=profile, marks=marks)
     quality.dq_gate(layers["dq_assertions"])
     if publish_root:
         publish_all(layers, publish_root)
