@@ -36,6 +36,24 @@ def append_ignore(existing: DataFrame, incoming: DataFrame, keys: list[str],
     return batch.join(existing.select(*keys), keys, "left_anti")
 
 
+def rows_in_range(existing: DataFrame, batch: DataFrame, time_col: str = "time_utc",
+                  partition_col: str = "month") -> DataFrame:
+    """Existing rows that can collide with ``batch``: within its time bounds.
+
+    The two bounds are fetched as literals, so the filter reaches the Parquet
+    scan (month partitions pruned, row groups skipped by statistics) instead of
+    joining against the whole table.
+    """
+    lo, hi = batch.agg(F.min(time_col), F.max(time_col)).first()
+    if lo is None:
+        return existing.limit(0)
+    lo_s, hi_s = (F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz") for x in (lo, hi))
+    out = existing
+    if partition_col in existing.columns:
+        out = out.filter(F.col(partition_col).between(lo.strftime("%Y-%m"), hi.strftime("%Y-%m")))
+    return out.filter(F.col(time_col).between(lo_s, hi_s))
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
            order_col: str | None = None) -> DataFrame:
     """The table after an upsert; an incoming row replaces the stored row.

@@ -137,10 +137,11 @@ def ingest(spark: SparkSession, requests: DataFrame, paths: IngestPaths,
         kept_series = series.join(in_window.select(*plan.ZONE), plan.ZONE, "left_semi")
         stats = plan.run_stats(points, kept_series)
         resolutions = plan.resolutions_seen(mx.periods(kept_series))
-        existing = _read_or_empty(spark, paths.raw, RAW_SCHEMA)
+        existing = tables.rows_in_range(_read_or_empty(spark, paths.raw, RAW_SCHEMA), points)
         inserted = tables.append_ignore(
             existing, tables.with_ingest_default(points, now), ["time_utc", *plan.ZONE]).checkpoint(eager=True)
-        inserted.write.mode("append").parquet(paths.raw)
+        (inserted.withColumn("month", F.date_format("time_utc", "yyyy-MM"))
+         .write.mode("append").partitionBy("month").parquet(paths.raw))
         counts = inserted.groupBy(*plan.ZONE).agg(F.count(F.lit(1)).alias("rows_inserted"))
         new_marks = stats.select(F.lit(pipeline_name).alias("pipeline_name"), *plan.ZONE,
                                  F.col("max_event_time_utc").alias("last_ingested_at_utc"))
