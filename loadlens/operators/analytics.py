@@ -41,12 +41,16 @@ def _anomaly_rows(df: DataFrame, spec: SeriesSpec, high: float, low: float) -> D
 
 
 def anomalies(clean: DataFrame, spec: SeriesSpec = HOURLY, high: float = 1.10, low: float = 0.90,
-              exact_scale: int | None = None) -> DataFrame:
-    """P6/J1 window form: compare each point with its (keys, day) average.
+              exact_scale: int | None = None, form: str = "window") -> DataFrame:
+    """Compare each point with its (keys, day) average.
 
-    One scan and one shuffle on (keys, date); a window partition is one zone-day,
-    so its size is bounded by the grain, not by the zone's history.
+    ``form="window"``: one scan and one shuffle on (keys, date); a window
+    partition is one zone-day, bounded by the grain because clean is unique
+    per (time, keys). ``form="join"``: a partially aggregated baseline joined
+    back (AQE splits skewed partitions); use it for inputs with copies of a key.
     """
+    if form == "join":
+        return anomalies_vs_baseline(clean, daily_baseline(clean, spec, exact_scale), spec, high, low)
     dated = clean.withColumn("load_date", F.to_date(spec.time))
     w = Window.partitionBy(*spec.keys, "load_date")
     if exact_scale is None:

@@ -54,7 +54,9 @@ def time_gaps(clean: DataFrame, spec: SeriesSpec = HOURLY, bucket: str | None =
     Returns keys, previous_time, time, ``gap_interval`` (day-time interval) and
     ``gap_seconds`` (whole seconds, for engines whose interval text differs).
     """
-    lagged = previous_time(clean.select(*spec.keys, spec.time), spec, bucket)
+    # Copies of one time do not change the gaps; dropping them first (map-side)
+    # keeps a hot duplicated key from landing in one window partition.
+    lagged = previous_time(clean.select(*spec.keys, spec.time).distinct(), spec, bucket)
     cur, prev = F.col(spec.time), F.col("previous_time")
     diff = gap_micros(prev, cur)
     return (lagged.filter(prev.isNotNull() & (diff > F.lit(spec.step_seconds * _US)))
@@ -95,7 +97,7 @@ def expected_spine(clean: DataFrame, spec: SeriesSpec = HOURLY, chunk_steps: int
 def missing_times(clean: DataFrame, spec: SeriesSpec = HOURLY, chunk_steps: int = 256) -> DataFrame:
     """J2 + R1: spine points with no observation at exactly that time."""
     spine = expected_spine(clean, spec, chunk_steps, time_col=spec.time)
-    present = clean.select(*spec.keys, spec.time)
+    present = clean.select(*spec.keys, spec.time).distinct()
     return (spine.join(present, [*spec.keys, spec.time], "left_anti")
             .select(*spec.keys, F.col(spec.time).alias("missing_time")))
 

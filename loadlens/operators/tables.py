@@ -33,7 +33,8 @@ def append_ignore(existing: DataFrame, incoming: DataFrame, keys: list[str],
     rows inserted is the row count of the result (D9: not a driver counter).
     """
     batch = first_per_key(incoming, keys, order_col) if order_col else incoming.dropDuplicates(keys)
-    return batch.join(existing.select(*keys), keys, "left_anti")
+    # distinct keys: copies of one key in the stored table collapse map-side
+    return batch.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
 def rows_in_range(existing: DataFrame, batch: DataFrame, time_col: str = "time_utc",
@@ -62,7 +63,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
     """
     batch = first_per_key(incoming, keys, order_col, last=True) if order_col else incoming
     cols = existing.columns
-    kept = existing.join(batch.select(*keys), keys, "left_anti")
+    kept = existing.join(batch.select(*keys).distinct(), keys, "left_anti")
     return kept.select(*cols).unionByName(batch.select(*cols))
 
 

@@ -73,7 +73,12 @@ def dedupe_keys(obs: DataFrame, spec: SeriesSpec = HOURLY, watermark: str = "1 d
 def upsert_sink(spark: SparkSession, path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that upserts every micro-batch into a table."""
     def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001
-        tables.upsert_table(spark, batch, path, keys)
+        # the upsert reads the batch more than once; keep one evaluation of it
+        rows = batch.persist()
+        try:
+            tables.upsert_table(spark, rows, path, keys)
+        finally:
+            rows.unpersist()
     return write
 
 
