@@ -76,7 +76,8 @@ def upsert_sink(spark: SparkSession, path: str, keys: list[str]) -> Callable[[Da
         # the upsert reads the batch more than once; keep one evaluation of it
         rows = batch.persist()
         try:
-            tables.upsert_table(spark, rows, path, keys)
+            if not rows.isEmpty():  # watermark-only (no-data) batches change nothing
+                tables.upsert_table(spark, rows, path, keys)
         finally:
             rows.unpersist()
     return write
