@@ -54,3 +54,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/loadlens-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1,
+               target_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits are ``target_bytes``; the initial shuffle partition count
+    assumes a shuffle of ``shuffle_fraction`` of the input (projection and
+    partial aggregation shrink it) in ``target_bytes`` pieces, at least two per
+    core, and AQE coalesces what turns out smaller and splits skewed join
+    partitions. Broadcasts stay under a fixed threshold; nothing that grows
+    with the data is broadcast by hint.
+    """
+    shuffle = max(2 * total_cores, int(input_bytes * shuffle_fraction // target_bytes) + 1)
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
