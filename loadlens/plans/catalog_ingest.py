@@ -138,6 +138,15 @@ def q_export_ndjson(spark, sf):
     return spark.read.text(path)
 
 
+@query("export_ndjson_roundtrip")
+def q_export_ndjson_roundtrip(spark, sf):
+    """S11 values: the exported lines parsed back with the declared schema."""
+    path = scratch_path(spark, "ndjson")
+    pub.export_ndjson(pub.declared_select(analytics.anomalies(clean_obs(spark, sf), exact_scale=EXACT),
+                                          "hourly_load_anomalies"), path)
+    return pub.read_ndjson(spark, path, "hourly_load_anomalies")
+
+
 @query("stg_clean")
 def q_stg_clean(spark, sf):
     return pub.stg_clean(pub.declared_select(clean_obs(spark, sf), "energy_load_clean"))

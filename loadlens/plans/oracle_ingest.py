@@ -147,3 +147,5 @@ SELECT z.country_code, z.bidding_zone, s.expected_hours, s.actual_hours,
 FROM zones z LEFT JOIN span s USING (country_code, bidding_zone)
 LEFT JOIN miss m USING (country_code, bidding_zone) LEFT JOIN dz d USING (country_code, bidding_zone)
 LEFT JOIN lz l USING (country_code, bidding_zone)"""
+
+SQL["export_ndjson_roundtrip"] = SQL["anomalies"]

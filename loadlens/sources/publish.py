@@ -6,7 +6,7 @@ All writes run on executors; nothing is fetched to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,20 +40,38 @@ def publish(df: DataFrame, object_name: str, path: str, fmt: str = "parquet",
     out.write.mode("overwrite").format(fmt).options(**(options or {})).save(path)
 
 
+def iso_text(c: Column, dtype: T.DataType) -> Column:
+    """ISO-8601 text as Python's ``isoformat``: fraction only when non-zero,
+    ``+00:00`` offset for zoned timestamps (rendered in the session zone)."""
+    zone = "xxx" if isinstance(dtype, T.TimestampType) else ""
+    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss" + zone)
+    frac = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + zone)
+    return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(frac)
+
+
 def export_ndjson(df: DataFrame, path: str) -> None:
-    """Newline-delimited JSON with ISO-8601 times and decimals as floats."""
+    """Newline-delimited JSON with ISO-8601 times, nulls kept, decimals as floats."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = iso_text(c, f.dataType)
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))
-    (df.select(*cols).write.mode("overwrite")
-     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
-     .option("dateFormat", "yyyy-MM-dd")
-     .option("ignoreNullFields", "false")
-     .json(path))
+    df.select(*cols).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+NDJSON_READ_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+                       "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+                       "dateFormat": "yyyy-MM-dd", "mode": "FAILFAST"}
+
+
+def read_ndjson(spark: SparkSession, path: str, object_name: str) -> DataFrame:
+    """Read an S11 export back with the object's declared schema."""
+    return spark.read.schema(PUBLISH_SCHEMAS[object_name]).options(**NDJSON_READ_OPTIONS).json(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", options: dict | None = None,

@@ -73,3 +73,16 @@ def test_reconciliation_by_zone(spark, make_obs):
     out = {r["bidding_zone"]: (r["expected_hours"], r["actual_hours"], r["missing_hours"])
            for r in quality.reconciliation(clean.clean_series(raw), raw, ledger, by_zone=True).collect()}
     assert out == {"Z1": (4, 2, 2), "Z2": (1, 1, 0)}
+
+
+def test_ndjson_export_format(spark, make_obs, tmp_path):
+    import json
+    raw = make_obs([("2024-01-01 05:00:00", "SE", "Z1", 1.5, None, "2024-01-02 00:00:00.25")])
+    path = str(tmp_path / "nd")
+    pub.export_ndjson(pub.declared_select(raw, "energy_load_raw"), path)
+    lines = [r["value"] for r in spark.read.text(path).collect()]
+    rec = json.loads(lines[0])
+    assert rec == {"time_utc": "2024-01-01T05:00:00", "country_code": "SE", "bidding_zone": "Z1",
+                   "load_mw": 1.5, "source": None, "ingested_at": "2024-01-02T00:00:00.250000"}
+    back = pub.read_ndjson(spark, path, "energy_load_raw").first()
+    assert back["ingested_at"] == dt.datetime(2024, 1, 2, 0, 0, 0, 250000)
