@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions.expr import utc_now
+from loadlens.session import stage
 from loadlens.schema import (CLEAN_SCHEMA, ERROR_MESSAGE_MAX, RAW_SCHEMA, RUN_EVENT_SCHEMA,
                              RUN_LEDGER_SCHEMA, RUN_STATUSES, STATE_SCHEMA)
 
@@ -77,9 +78,9 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
     Only the months the batch touches are read and rewritten (dynamic partition
     overwrite). The touched months are counted first: up to
     ``MAX_PRUNE_VALUES`` they prune the scan as literals; beyond that a plain
-    semi-join (planned by AQE) selects them. The merged rows are checkpointed
-    to the shared checkpoint folder before the write, so the write never reads
-    the files it replaces.
+    semi-join (planned by AQE) selects them. The merged rows are staged in the
+    shared checkpoint folder before the write, so the write never reads the
+    files it replaces.
     """
     incoming = incoming.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
     writer_opts = {"partitionOverwriteMode": "dynamic"}
@@ -95,7 +96,7 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
         existing = current.filter(F.col(partition_col).isin(months))
     else:
         existing = current.join(touched, partition_col, "left_semi")
-    merged = upsert(existing, incoming, keys).checkpoint(eager=True)
+    merged = stage(upsert(existing, incoming, keys), "upsert-merged")
     merged.write.mode("overwrite").options(**writer_opts).partitionBy(partition_col).parquet(path)
     return spark.read.parquet(path)
 

@@ -172,3 +172,18 @@ def q_reconciliation_by_zone(spark, sf):
     from loadlens.plans.catalog import ledger
     return quality.reconciliation(clean_obs(spark, sf), td.obs_hour(spark, sf), ledger(spark, sf),
                                   by_zone=True)
+
+
+@query("ingest_incremental")
+def q_ingest_incremental(spark, sf):
+    """The incremental ingest job run twice over landed XML: first two weeks per zone,
+    then the whole range resuming from the marks. Returns the raw table."""
+    from loadlens.plans.pipeline import IngestPaths, ingest as ingest_job
+    root = scratch_path(spark, "ingest")
+    paths = IngestPaths(landing(spark, sf), f"{root}/raw", f"{root}/marks", f"{root}/ledger")
+    full = ingest.default_requests(td.obs(spark, sf)).drop("pipeline_name")
+    first = full.withColumn("end_date", F.date_format(F.date_add(F.to_date("start_date"), 14), "yyyy-MM-dd"))
+    step = F.expr("INTERVAL 15 MINUTES")
+    ingest_job(spark, first, paths, now=F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"), step=step)
+    ingest_job(spark, full, paths, now=F.lit("2025-01-02 00:00:00").cast("timestamp_ntz"), step=step)
+    return spark.read.parquet(paths.raw).drop("month")

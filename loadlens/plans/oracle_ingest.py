@@ -149,3 +149,11 @@ LEFT JOIN miss m USING (country_code, bidding_zone) LEFT JOIN dz d USING (countr
 LEFT JOIN lz l USING (country_code, bidding_zone)"""
 
 SQL["export_ndjson_roundtrip"] = SQL["anomalies"]
+
+SQL["ingest_incremental"] = with_(*LANDED, """zr AS (
+  SELECT country_code, bidding_zone, CAST(CAST(MIN(time_utc) AS DATE) AS TIMESTAMP) AS d0
+  FROM obs GROUP BY 1, 2)""") + """
+SELECT p.time_utc, p.country_code, p.bidding_zone, p.load_mw, CAST(NULL AS VARCHAR) AS source,
+       CASE WHEN p.time_utc < z.d0 + INTERVAL 15 DAY THEN TIMESTAMP '2025-01-01 00:00:00'
+            ELSE TIMESTAMP '2025-01-02 00:00:00' END AS ingested_at
+FROM points p JOIN zr z USING (country_code, bidding_zone)"""

@@ -20,6 +20,7 @@ from loadlens.plans import ingest as plan
 from loadlens.schema import (HOURLY, PIPELINE_NAME, RAW_SCHEMA, RUN_EVENT_SCHEMA, SOURCE_NAME,
                              STATE_SCHEMA, SeriesSpec)
 from loadlens.sources import market_xml as mx
+from loadlens.session import stage
 from loadlens.sources import publish as pub
 
 log = logging.getLogger(__name__)
@@ -120,8 +121,12 @@ def ingest(spark: SparkSession, requests: DataFrame, paths: IngestPaths,
     marks = _read_or_empty(spark, paths.marks, STATE_SCHEMA)
     windows = plan.effective_window(
         plan.request_window(requests.withColumn("pipeline_name", F.lit(pipeline_name))), marks, step)
-    windows = (windows.withColumn("run_id", F.expr("uuid()"))
-               .withColumn("started_at_utc", now)).checkpoint(eager=True)
+    # frozen before the marks are rewritten below (the plan reads the marks table);
+    # the run id is a hash of (request, start time), stable under recomputation
+    windows = stage(windows.withColumn("started_at_utc", now)
+                    .withColumn("run_id", plan.run_id_for("pipeline_name", *plan.ZONE, "effective_start_utc",
+                                                          "effective_end_utc", "started_at_utc")),
+                    "ingest-windows")
     opened = tables.run_event(windows, 0, source_name=F.lit(source_name),
                               requested_start_utc=F.col("effective_start_utc"),
                               requested_end_utc=F.col("effective_end_utc"), status=F.lit("running"))
@@ -129,23 +134,27 @@ def ingest(spark: SparkSession, requests: DataFrame, paths: IngestPaths,
     noop = plan.noop_runs(windows, run_id=F.col("run_id"), now=now, source_name=source_name)
     live = windows.filter(F.col("effective_start_utc") <= F.col("effective_end_utc"))
     try:
-        series = mx.read_documents(spark, paths.landing)
         in_window = live.select(*plan.ZONE, "effective_start_utc", "effective_end_utc")
+        # parse the documents once: points, statistics and resolutions all read this
+        series = stage(mx.read_documents(spark, paths.landing)
+                       .join(in_window.select(*plan.ZONE), plan.ZONE, "left_semi"), "ingest-series")
+        t = F.col("time_utc")
+        # the request covers [start, end + 1 hour): the end is exclusive one hour later
         points = (mx.flatten_points(series).join(in_window, plan.ZONE, "inner")
-                  .filter(F.col("time_utc").between(F.col("effective_start_utc"), F.col("effective_end_utc")))
-                  .drop("effective_start_utc", "effective_end_utc")).checkpoint(eager=True)
-        kept_series = series.join(in_window.select(*plan.ZONE), plan.ZONE, "left_semi")
-        stats = plan.run_stats(points, kept_series)
-        resolutions = plan.resolutions_seen(mx.periods(kept_series))
+                  .filter((t >= F.col("effective_start_utc"))
+                          & (t < F.timestamp_add("HOUR", F.lit(1), F.col("effective_end_utc"))))
+                  .drop("effective_start_utc", "effective_end_utc"))
+        stats = plan.run_stats(points, series)
+        resolutions = plan.resolutions_seen(mx.periods(series))
         existing = tables.rows_in_range(_read_or_empty(spark, paths.raw, RAW_SCHEMA), points)
-        inserted = tables.append_ignore(
-            existing, tables.with_ingest_default(points, now), ["time_utc", *plan.ZONE]).checkpoint(eager=True)
+        inserted = stage(tables.append_ignore(
+            existing, tables.with_ingest_default(points, now), ["time_utc", *plan.ZONE]), "ingest-inserted")
         (inserted.withColumn("month", F.date_format("time_utc", "yyyy-MM"))
          .write.mode("append").partitionBy("month").parquet(paths.raw))
         counts = inserted.groupBy(*plan.ZONE).agg(F.count(F.lit(1)).alias("rows_inserted"))
         new_marks = stats.select(F.lit(pipeline_name).alias("pipeline_name"), *plan.ZONE,
                                  F.col("max_event_time_utc").alias("last_ingested_at_utc"))
-        tables.state_upsert(marks, new_marks, now).checkpoint(eager=True) \
+        stage(tables.state_upsert(marks, new_marks, now), "ingest-marks") \
             .write.mode("overwrite").parquet(paths.marks)
         done = (live.join(stats, plan.ZONE, "left").join(counts, plan.ZONE, "left")
                 .join(resolutions, plan.ZONE, "left"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -79,3 +79,13 @@ def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:  # noqa: ARG001 - name documents the call site
+    """Cut lineage with an eager reliable checkpoint in the shared checkpoint folder.
+
+    One job computes the plan and writes the checkpoint files; later reads
+    start from those files, so a lost executor never forces recomputing (or
+    re-reading sources that the job has since rewritten).
+    """
+    return df.checkpoint(eager=True)
