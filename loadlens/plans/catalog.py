@@ -169,6 +169,12 @@ def q_assertions_strict(spark, sf):
     return _assertions(spark, sf, quality.STRICT)
 
 
+@query("assertions")
+def q_assertions(spark, sf):
+    """The assertions the flow builds and gates on (tolerant profile, D2)."""
+    return _assertions(spark, sf, quality.TOLERANT)
+
+
 @query("assertions_tolerant")
 def q_assertions_tolerant(spark, sf):
     return _assertions(spark, sf, quality.TOLERANT)
