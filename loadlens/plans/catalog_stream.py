@@ -51,6 +51,11 @@ def _replay(spark: SparkSession, source: DataFrame, name: str,
     return src
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """State-store partitions for the replay: the session's parallelism (small state)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _parquet_slice(piece: DataFrame, src: str) -> None:
     piece.write.mode("append").parquet(src)
 
@@ -64,7 +69,8 @@ def q_stream_clean_hourly(spark, sf):
     def run(src: str, ckpt: str) -> None:
         stream = spark.readStream.schema(obs.schema).parquet(src)
         st.run_available_now(st.hourly_downsample(stream, exact_scale=EXACT), ckpt,
-                             foreach_batch=st.upsert_sink(spark, table, HOURLY.key_time), mode="update")
+                             foreach_batch=st.upsert_sink(spark, table, HOURLY.key_time), mode="update",
+                             state_partitions=_state_partitions(spark))
 
     _replay(spark, obs, "clean", _parquet_slice, run)
     return spark.read.parquet(table).drop("month")
@@ -93,7 +99,8 @@ def q_stream_dedupe_keys(spark, sf):
 
     def run(src: str, ckpt: str) -> None:
         stream = spark.readStream.schema(oh.schema).parquet(src)
-        st.run_available_now(st.dedupe_keys(stream), ckpt, sink=sink)
+        st.run_available_now(st.dedupe_keys(stream), ckpt, sink=sink,
+                             state_partitions=_state_partitions(spark))
 
     _replay(spark, oh, "dedupe", _parquet_slice, run)
     return spark.read.parquet(sink).select(*HOURLY.key_time)

@@ -142,11 +142,25 @@ def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
 
 
 def run_available_now(df: DataFrame, checkpoint: str, sink: str | None = None,
-                      foreach_batch: Callable | None = None, mode: str = "append") -> None:
-    """Process everything that has arrived, then stop (one incremental run)."""
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if foreach_batch is not None:
-        q = w.foreachBatch(foreach_batch).start()
-    else:
-        q = w.format("parquet").option("path", sink).start()
-    q.awaitTermination()
+                      foreach_batch: Callable | None = None, mode: str = "append",
+                      state_partitions: int | None = None) -> None:
+    """Process everything that has arrived, then stop (one incremental run).
+
+    ``state_partitions`` fixes the shuffle/state-store partition count a new
+    query starts with (it is then kept in the checkpoint); size it to the
+    state, since adaptive execution does not resize stateful streaming stages.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:  # held until the run ends: the first batch is planned after start() returns
+        w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        if foreach_batch is not None:
+            q = w.foreachBatch(foreach_batch).start()
+        else:
+            q = w.format("parquet").option("path", sink).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
