@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Market resolution codes and their length in minutes.
-RESOLUTION_MINUTES = {"PT60M": 60, "PT15M": 15}
+from loadlens.fixed import RESOLUTION_MINUTES
 
 
 def to_ntz(c: Column) -> Column:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions.expr import exact_sum, mean, pct_deviation
+from loadlens.fixed import ANOMALY_HIGH_FACTOR, ANOMALY_LOW_FACTOR, HIGH_ANOMALY, LOW_ANOMALY
 from loadlens.schema import HOURLY, SeriesSpec
 
-HIGH, LOW = "HIGH_ANOMALY", "LOW_ANOMALY"
+HIGH, LOW = HIGH_ANOMALY, LOW_ANOMALY
 
 
 def daily_summary(clean: DataFrame, spec: SeriesSpec = HOURLY, exact_scale: int | None = None) -> DataFrame:
@@ -40,7 +41,8 @@ def _anomaly_rows(df: DataFrame, spec: SeriesSpec, high: float, low: float) -> D
                     _classify(load, base, high, low).alias("anomaly_type")))
 
 
-def anomalies(clean: DataFrame, spec: SeriesSpec = HOURLY, high: float = 1.10, low: float = 0.90,
+def anomalies(clean: DataFrame, spec: SeriesSpec = HOURLY, high: float = ANOMALY_HIGH_FACTOR,
+              low: float = ANOMALY_LOW_FACTOR,
               exact_scale: int | None = None, form: str = "window") -> DataFrame:
     """Compare each point with its (keys, day) average.
 
@@ -62,7 +64,7 @@ def anomalies(clean: DataFrame, spec: SeriesSpec = HOURLY, high: float = 1.10, l
 
 
 def anomalies_vs_baseline(clean: DataFrame, baseline: DataFrame, spec: SeriesSpec = HOURLY,
-                          high: float = 1.10, low: float = 0.90) -> DataFrame:
+                          high: float = ANOMALY_HIGH_FACTOR, low: float = ANOMALY_LOW_FACTOR) -> DataFrame:
     """J1 join form, for a precomputed (keys, load_date, daily_avg_load_mw) baseline."""
     dated = clean.withColumn("load_date", F.to_date(spec.time))
     joined = dated.join(baseline, [*spec.keys, "load_date"], "inner")

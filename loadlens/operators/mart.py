@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadlens.fixed import SHAPE_HOURS, SUMMER_MONTHS, WINTER_MONTHS
 from loadlens.schema import HOURLY, SeriesSpec
 
 WIDE_COLUMNS = [
@@ -18,10 +19,6 @@ WIDE_COLUMNS = [
     "peak_load_mw", "max_avg_daily_load_mw", "min_avg_daily_load_mw", "winter_peak_load_mw",
     "summer_peak_load_mw", "avg_midnight_load_mw", "avg_morning_load_mw", "avg_evening_load_mw",
 ]
-# Season months and the hours that describe the curve shape.
-WINTER_MONTHS = (12, 1, 2)
-SUMMER_MONTHS = (6, 7, 8)
-SHAPE_HOURS = {"avg_midnight_load_mw": 0, "avg_morning_load_mw": 6, "avg_evening_load_mw": 18}
 
 
 def hour_cells(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] | None = None,

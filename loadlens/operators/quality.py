@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loadlens.functions.expr import epoch_span_steps, floor_to
 from loadlens.operators.clean import invalid_rows
 from loadlens.operators.combine import count_row, zip_rows
+from loadlens import fixed as FX
 from loadlens.schema import HOURLY, SeriesSpec
 
 log = logging.getLogger(__name__)
@@ -168,7 +169,7 @@ def reconciliation(clean: DataFrame, raw: DataFrame, ledger: DataFrame, spec: Se
 
 def pipeline_status(raw: DataFrame, clean: DataFrame, spec: SeriesSpec = HOURLY,
                     missing: DataFrame | None = None, gaps: DataFrame | None = None,
-                    invalid: DataFrame | None = None, warn_over: int = 24) -> DataFrame:
+                    invalid: DataFrame | None = None, warn_over: int = FX.STATUS_WARN_OVER) -> DataFrame:
     """Q2: five counts and the status ladder (first match wins)."""
     missing = missing if missing is not None else missing_times(clean, spec)
     gaps = gaps if gaps is not None else time_gaps(clean, spec)
@@ -180,11 +181,11 @@ def pipeline_status(raw: DataFrame, clean: DataFrame, spec: SeriesSpec = HOURLY,
         clean_counts = zip_rows(count_row(clean, "clean_rows"), count_row(invalid, "invalid_loads"))
     counts = zip_rows(count_row(raw, "raw_rows"), clean_counts,
                       count_row(missing, "missing_hours"), count_row(gaps, "time_gaps"))
-    status = (F.when(F.col("clean_rows") == 0, "FAILED")
-              .when(F.col("invalid_loads") > 0, "FAILED")
-              .when(F.col("missing_hours") > warn_over, "WARNING")
-              .when(F.col("time_gaps") > warn_over, "WARNING")
-              .otherwise("HEALTHY"))
+    status = (F.when(F.col("clean_rows") == 0, FX.STATUS_FAILED)
+              .when(F.col("invalid_loads") > 0, FX.STATUS_FAILED)
+              .when(F.col("missing_hours") > warn_over, FX.STATUS_WARNING)
+              .when(F.col("time_gaps") > warn_over, FX.STATUS_WARNING)
+              .otherwise(FX.STATUS_HEALTHY))
     return counts.withColumn("pipeline_status", status)
 
 
@@ -198,11 +199,8 @@ class AssertionProfile:
     coverage_slack: int
 
 
-# The two assertion profiles and their rule texts.
-STRICT = AssertionProfile("=", 20, "expected_missing_hours = 20", 20)
-TOLERANT = AssertionProfile("<=", 50, "missing_hours <= 50", 50)
-DUPLICATE_RULE = "duplicate_rows = 0"
-COVERAGE_RULE = "actual_hours close to expected_hours"
+STRICT = AssertionProfile("=", FX.STRICT_LIMIT, FX.STRICT_MISSING_RULE, FX.STRICT_LIMIT)
+TOLERANT = AssertionProfile("<=", FX.TOLERANT_LIMIT, FX.TOLERANT_MISSING_RULE, FX.TOLERANT_LIMIT)
 
 
 def assertions(recon: DataFrame, profile: AssertionProfile = TOLERANT) -> DataFrame:
@@ -216,20 +214,20 @@ def assertions(recon: DataFrame, profile: AssertionProfile = TOLERANT) -> DataFr
 
     def row(name: str, ok: Column, observed: Column, rule: str) -> Column:
         return F.struct(F.lit(name).alias("assertion_name"),
-                        F.when(ok, "PASS").otherwise("FAIL").alias("status"),
+                        F.when(ok, FX.PASS).otherwise(FX.FAIL).alias("status"),
                         observed.cast("bigint").alias("observed_value"),
                         F.lit(rule).alias("rule"))
 
     return recon.select(F.inline(F.array(
-        row("missing_hours_check", missing_ok, m, profile.missing_rule),
-        row("duplicate_rows_check", d == 0, d, DUPLICATE_RULE),
-        row("data_coverage_check", a >= e - profile.coverage_slack, a, COVERAGE_RULE),
+        row(FX.MISSING_CHECK, missing_ok, m, profile.missing_rule),
+        row(FX.DUPLICATE_CHECK, d == 0, d, FX.DUPLICATE_RULE),
+        row(FX.COVERAGE_CHECK, a >= e - profile.coverage_slack, a, FX.COVERAGE_RULE),
     )))
 
 
 def failing_count(assertion_rows: DataFrame) -> DataFrame:
     """One row with the number of failing assertions."""
-    return assertion_rows.agg(F.count_if(F.col("status") == "FAIL").alias("fail_count"))
+    return assertion_rows.agg(F.count_if(F.col("status") == FX.FAIL).alias("fail_count"))
 
 
 class DataQualityError(RuntimeError):
@@ -241,7 +239,7 @@ def dq_gate(assertion_rows: DataFrame) -> int:
 
     Only the single count and the few failing assertion rows reach the driver.
     """
-    failing = assertion_rows.filter(F.col("status") == "FAIL")
+    failing = assertion_rows.filter(F.col("status") == FX.FAIL)
     n = failing_count(assertion_rows).first()["fail_count"]
     if n:
         for r in failing.limit(100).collect():
@@ -257,5 +255,5 @@ def not_null_checks(df: DataFrame, columns: list[str], model: str) -> DataFrame:
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
                  F.col(c).alias("null_rows"),
-                 F.when(F.col(c) == 0, "PASS").otherwise("FAIL").alias("status"))
+                 F.when(F.col(c) == 0, FX.PASS).otherwise(FX.FAIL).alias("status"))
         for c in columns])))

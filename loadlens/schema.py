@@ -11,12 +11,11 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
-# Fixed values the published outputs must reproduce.
-DEFAULT_SOURCE = "ENTSO-E"
+from loadlens.fixed import DEFAULT_SOURCE, ERROR_MESSAGE_MAX, RUN_STATUSES  # noqa: F401
+
+# Default labels of this package's own pipeline (parameters, not fixed values).
 PIPELINE_NAME = "load_batch_ingestion"
 SOURCE_NAME = "actual_total_load"
-RUN_STATUSES = ("running", "success", "failed")
-ERROR_MESSAGE_MAX = 2000
 
 
 @dataclass(frozen=True)

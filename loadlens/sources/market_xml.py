@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.functions.expr import floor_to, resolution_minutes
+from loadlens.fixed import START_FORMAT
 from loadlens.schema import TIMESERIES_SCHEMA
 
 ZONE_KEYS = ("country_code", "bidding_zone")
-START_FORMAT = "yyyy-MM-dd'T'HH:mm'Z'"
 DOCUMENT_ROOT = 'GL_MarketDocument xmlns="urn:loadlens:market:load:1"'
 
 
