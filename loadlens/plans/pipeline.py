@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.expr import interval_text, utc_now
 from loadlens.operators import analytics, clean as clean_ops, mart, quality, tables
+from loadlens.operators.combine import broadcast_if_small
 from loadlens.plans import ingest as plan
 from loadlens.schema import (HOURLY, PIPELINE_NAME, RAW_SCHEMA, RUN_EVENT_SCHEMA, SOURCE_NAME,
                              STATE_SCHEMA, SeriesSpec)
@@ -134,7 +135,9 @@ def ingest(spark: SparkSession, requests: DataFrame, paths: IngestPaths,
     noop = plan.noop_runs(windows, run_id=F.col("run_id"), now=now, source_name=source_name)
     live = windows.filter(F.col("effective_start_utc") <= F.col("effective_end_utc"))
     try:
-        in_window = live.select(*plan.ZONE, "effective_start_utc", "effective_end_utc")
+        # one row per requested zone: broadcast after a size check, so a hot
+        # zone's points are filtered where they are read, not in one join task
+        in_window = broadcast_if_small(live.select(*plan.ZONE, "effective_start_utc", "effective_end_utc"))
         # parse the documents once: points, statistics and resolutions all read this
         series = stage(mx.read_documents(spark, paths.landing)
                        .join(in_window.select(*plan.ZONE), plan.ZONE, "left_semi"), "ingest-series")
