@@ -96,11 +96,11 @@ def q_stream_dedupe_keys(spark, sf):
     """First row per (hour, zone) within the watermark; keys compared."""
     oh = td.obs_hour(spark, sf)
     sink = scratch_path(spark, "stream-dedupe")
+    state = scratch_path(spark, "stream-dedupe-state")
 
     def run(src: str, ckpt: str) -> None:
         stream = spark.readStream.schema(oh.schema).parquet(src)
-        st.run_available_now(st.dedupe_keys(stream), ckpt, sink=sink,
-                             state_partitions=_state_partitions(spark))
+        st.run_available_now(stream, ckpt, foreach_batch=st.dedupe_sink(spark, state, sink))
 
     _replay(spark, oh, "dedupe", _parquet_slice, run)
     return spark.read.parquet(sink).select(*HOURLY.key_time)

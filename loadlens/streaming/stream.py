@@ -5,7 +5,8 @@ operators when data arrives in time order within the watermark:
 
 * X1 ``xml_landing_stream``: landing folder → TimeSeries rows, incremental.
 * X2 ``hourly_downsample``: watermark + 1-hour tumbling window per zone.
-* X3 ``dedupe_keys``: first row per (time, zone) within the watermark.
+* X3 ``dedupe_keys`` (built-in) and ``dedupe_sink`` (hot-key safe): first row per
+  (time, zone) within the watermark.
 * X4 ``upsert_sink``: ``foreachBatch`` writer that upserts each micro-batch.
 * X5 ``gap_detector_sink``: per-zone last-time state table, gaps per micro-batch.
 
@@ -16,6 +17,7 @@ independent of the session time zone.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +72,45 @@ def dedupe_keys(obs: DataFrame, spec: SeriesSpec = HOURLY, watermark: str = "1 d
     return timed.dropDuplicatesWithinWatermark(spec.key_time).drop(EVENT_TIME)
 
 
+def dedupe_sink(spark: SparkSession, state_path: str, out_path: str, spec: SeriesSpec = HOURLY,
+                watermark_seconds: int = 86400, order_col: str | None = None
+                ) -> Callable[[DataFrame, int], None]:
+    """X3 for hot keys: ``foreachBatch`` keeping the first row per (time, keys).
+
+    ``dropDuplicatesWithinWatermark`` shuffles every copy of a key to that
+    key's state partition, so a key with a third of the rows is one task.
+    Here each micro-batch is first de-duplicated by a partial aggregate
+    (copies collapse map-side), then anti-joined with the keys already seen
+    within the watermark (a state table versioned by batch id, like X5).
+    """
+    keys = spec.key_time
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
+        try:
+            first = (tables.first_per_key(rows, keys, order_col) if order_col
+                     else rows.dropDuplicates(keys))
+            seen = _latest_state(spark, state_path, batch_id, spec)
+            fresh = first if seen is None else first.join(seen.distinct(), keys, "left_anti")
+            fresh = fresh.persist()
+            (fresh.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
+            known = fresh.select(*spec.keys, spec.time)
+            if seen is not None:
+                known = known.unionByName(seen)
+            horizon = known.agg(F.max(spec.time)).first()[0]
+            if horizon is not None:
+                cut = F.lit((horizon - _dt.timedelta(seconds=watermark_seconds)).isoformat(sep=" "))
+                known = known.filter(F.col(spec.time) >= cut.cast("timestamp_ntz"))
+            (known.withColumn("v", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(state_path))
+            fresh.unpersist()
+        finally:
+            rows.unpersist()
+
+    return write
+
+
 def upsert_sink(spark: SparkSession, path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that upserts every micro-batch into a table."""
     def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001
