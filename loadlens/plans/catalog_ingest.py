@@ -147,6 +147,17 @@ def q_export_ndjson_roundtrip(spark, sf):
     return pub.read_ndjson(spark, path, "hourly_load_anomalies")
 
 
+@query("time_gaps_published")
+def q_time_gaps_published(spark, sf):
+    """The published gaps object (interval as text) over the multi-year daily series."""
+    from loadlens.functions.expr import interval_text
+    from loadlens.plans.catalog import daily_obs
+    from loadlens.schema import DAILY
+    gaps = quality.time_gaps(daily_obs(spark, sf), DAILY)
+    return pub.declared_select(gaps.withColumn("gap_interval", interval_text(F.col("gap_seconds"))),
+                               "dq_time_gaps")
+
+
 @query("stg_clean")
 def q_stg_clean(spark, sf):
     return pub.stg_clean(pub.declared_select(clean_obs(spark, sf), "energy_load_clean"))

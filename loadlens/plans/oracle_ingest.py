@@ -1,6 +1,6 @@
 """Oracle SQL for the ingestion and publish queries."""
 
-from loadlens.plans.oracle import (BOUNDS, CLEAN, DUPS, LEDGER, MISSING, SPINE, HALF, HOURLY_QUALITY, OBS, OBS_HOUR, ORDERS_OBS, SQL,
+from loadlens.plans.oracle import (BOUNDS, CLEAN, DAILY_OBS, DUPS, GAPS, LEDGER, MISSING, SPINE, HALF, HOURLY_QUALITY, OBS, OBS_HOUR, ORDERS_OBS, SQL,
                                    TOLERANT, _avg, _marks, with_)
 
 Q15 = f"""q15 AS (
@@ -157,3 +157,13 @@ SELECT p.time_utc, p.country_code, p.bidding_zone, p.load_mw, CAST(NULL AS VARCH
        CASE WHEN p.time_utc < z.d0 + INTERVAL 15 DAY THEN TIMESTAMP '2025-01-01 00:00:00'
             ELSE TIMESTAMP '2025-01-02 00:00:00' END AS ingested_at
 FROM points p JOIN zr z USING (country_code, bidding_zone)"""
+
+SQL["time_gaps_published"] = with_(ORDERS_OBS, DAILY_OBS, GAPS.format(src="daily_obs", step="1 DAY")) + """
+SELECT country_code, bidding_zone, previous_time, time_utc,
+       CASE WHEN gap_seconds // 86400 = 1 THEN '1 day '
+            WHEN gap_seconds // 86400 > 1 THEN CAST(gap_seconds // 86400 AS VARCHAR) || ' days '
+            ELSE '' END
+       || lpad(CAST((gap_seconds % 86400) // 3600 AS VARCHAR), 2, '0') || ':'
+       || lpad(CAST((gap_seconds % 3600) // 60 AS VARCHAR), 2, '0') || ':'
+       || lpad(CAST(gap_seconds % 60 AS VARCHAR), 2, '0') AS gap_interval
+FROM gaps"""
