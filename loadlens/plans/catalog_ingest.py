@@ -198,3 +198,22 @@ def q_ingest_incremental(spark, sf):
     ingest_job(spark, first, paths, now=F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"), step=step)
     ingest_job(spark, full, paths, now=F.lit("2025-01-02 00:00:00").cast("timestamp_ntz"), step=step)
     return spark.read.parquet(paths.raw).drop("month")
+
+
+@query("published_objects")
+def q_published_objects(spark, sf):
+    """S14 + S10: build every layer from the mapped tables, publish all 15 objects with
+    their declared schemas, read them back and count rows per object."""
+    from functools import reduce
+
+    from loadlens.plans.catalog import ledger
+    from loadlens.plans.pipeline import build_layers, publish_all
+    from loadlens.schema import PUBLISH_SCHEMAS
+    root = scratch_path(spark, "published")
+    layers = build_layers(td.obs(spark, sf), ledger(spark, sf), exact_scale=EXACT)
+    publish_all(layers, root)
+    counts = [pub.read_table(spark, f"{root}/{name}").agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(name).alias("object_name"), "row_count") for name in PUBLISH_SCHEMAS]
+    for df in layers.values():
+        df.unpersist()
+    return reduce(lambda a, b: a.unionByName(b), counts)
