@@ -45,8 +45,19 @@ def clean_series(raw: DataFrame, spec: SeriesSpec = HOURLY, grain: str | None =
             spec.ingested_at,
         )
     bucket = floor_to(F.col(spec.time), grain).alias(spec.time)
-    return valid.groupBy(bucket, *spec.keys).agg(
+    key = [spec.time, *spec.keys]
+    # Numeric aggregates run as a hash aggregate. A string max would turn the
+    # whole aggregate into a sort aggregate, so the source label is aggregated
+    # apart, over rows that have one (none when ingestion leaves it empty: the
+    # pushed IsNotNull filter then skips every row group), and joined back.
+    numeric = valid.groupBy(bucket, *spec.keys).agg(
         mean(spec.value, exact_scale).alias(spec.value),
-        F.coalesce(F.max(spec.source), F.lit(default_source)).alias(spec.source),
         F.max(spec.ingested_at).alias(spec.ingested_at),
     )
+    labels = (valid.filter(F.col(spec.source).isNotNull())
+              .groupBy(bucket, *spec.keys).agg(F.max(spec.source).alias(spec.source)))
+    return numeric.join(labels, key, "left").select(
+        *key, spec.value,
+        F.coalesce(F.col(spec.source), F.lit(default_source)).alias(spec.source),
+        spec.ingested_at,
+    )
