@@ -83,10 +83,14 @@ def expected_spine(clean: DataFrame, spec: SeriesSpec = HOURLY, chunk_steps: int
     step_us = spec.step_seconds * _US
     bounds = series_bounds(clean, spec).filter(F.col("min_time").isNotNull())
     n_steps = F.expr(f"timestampdiff(MICROSECOND, min_time, max_time) div {step_us}")
+    # An explicit partition count: adaptive execution would size this shuffle by
+    # the chunk rows (tiny) and merge them into a few tasks, while each chunk row
+    # becomes up to ``chunk_steps`` spine rows after the explode.
+    parts = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (bounds.withColumn("_k", n_steps)
               .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                      F.expr(f"_k div {chunk_steps}"))))
-              .repartition(*spec.keys, "_c"))
+              .repartition(parts, *spec.keys, "_c"))
     lo = F.col("_c") * chunk_steps
     hi = F.least(lo + (chunk_steps - 1), F.col("_k"))
     steps = chunks.withColumn("_i", F.explode(F.sequence(lo, hi)))
