@@ -36,13 +36,18 @@ def previous_time(df: DataFrame, spec: SeriesSpec = HOURLY, bucket: str | None =
     t = df.withColumn("_bkt", floor_to(F.col(spec.time), unit))
     inner = t.withColumn(
         "_lag", F.lag(spec.time).over(Window.partitionBy(*spec.keys, "_bkt").orderBy(spec.time)))
-    summary = (t.groupBy(*spec.keys, "_bkt").agg(F.max(spec.time).alias("_bmax"))
+    cols = [*spec.keys, "_bkt"]
+    summary = (t.groupBy(*cols).agg(F.max(spec.time).alias("_bmax"))
                .withColumn("_prev_bmax",
                            F.lag("_bmax").over(Window.partitionBy(*spec.keys).orderBy("_bkt")))
-               .select(*spec.keys, "_bkt", "_prev_bmax"))
-    joined = inner.join(summary, [*spec.keys, "_bkt"], "left")
+               .select(*[F.col(c).alias(f"_s_{c}") for c in cols], "_prev_bmax"))
+    # Null-safe keys: null keys form a group as in PARTITION BY, and no IsNotNull
+    # filter is inferred into the summary side, so both sides share one scan of
+    # the input (the exchange below the summary is reused).
+    cond = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in cols]
+    joined = inner.join(summary, cond, "left")
     return (joined.withColumn("previous_time", F.coalesce(F.col("_lag"), F.col("_prev_bmax")))
-            .drop("_bkt", "_lag", "_prev_bmax"))
+            .drop("_bkt", "_lag", "_prev_bmax", *[f"_s_{c}" for c in cols]))
 
 
 def gap_micros(prev: Column, cur: Column) -> Column:
