@@ -102,8 +102,7 @@ def dedupe_sink(spark: SparkSession, state_path: str, out_path: str, spec: Serie
             if horizon is not None:
                 cut = F.lit((horizon - _dt.timedelta(seconds=watermark_seconds)).isoformat(sep=" "))
                 known = known.filter(F.col(spec.time) >= cut.cast("timestamp_ntz"))
-            (known.withColumn("v", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(state_path))
+            _write_state(known, state_path, batch_id)
             fresh.unpersist()
         finally:
             rows.unpersist()
@@ -134,17 +133,28 @@ GAP_SCHEMA = T.StructType([
 
 
 def _latest_state(spark: SparkSession, state_path: str, batch_id: int, spec: SeriesSpec) -> DataFrame | None:
-    """Per-zone last time as left by the newest micro-batch before ``batch_id``."""
+    """State left by micro-batch ``batch_id - 1`` (None before the first batch).
+
+    State lives in two alternating slots (``batch_id % 2``) tagged with the
+    batch id that wrote them: storage stays bounded, and a retried batch still
+    finds its predecessor's slot intact.
+    """
+    if batch_id == 0:
+        return None
     try:
-        versions = spark.read.parquet(state_path)
+        slots = spark.read.parquet(state_path)
     except Exception:  # noqa: BLE001 - no state yet
         return None
-    older = versions.filter(F.col("v") < batch_id)
-    newest = older.agg(F.max("v").alias("_v"))
-    return (older.join(newest, older["v"] == newest["_v"], "left_semi")
+    return (slots.filter((F.col("slot") == (batch_id - 1) % 2) & (F.col("v") == batch_id - 1))
             .select(*spec.keys, spec.time))
 
 
+def _write_state(state: DataFrame, state_path: str, batch_id: int) -> None:
+    (state.withColumn("v", F.lit(batch_id)).withColumn("slot", F.lit(batch_id % 2))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("slot").parquet(state_path))
+
+
 def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
                       spec: SeriesSpec = HOURLY) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function emitting gaps between consecutive points per zone.
@@ -152,8 +162,9 @@ def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
     Each micro-batch is seeded with the previous batch's last time per zone
     (a small state table, one row per zone), then the batch operator's
     day-bucketed lag finds the gaps, so a hot zone is spread over many tasks.
-    Output and state are written under the batch id (dynamic overwrite), so a
-    retried batch replaces its own results: exactly-once for the sink.
+    Output is written under the batch id and state into an alternating slot
+    (dynamic overwrite), so a retried batch replaces its own results:
+    exactly-once for the sink, with at most two state versions kept.
     Needs time-ordered arrival per zone across micro-batches.
     """
     from loadlens.operators.quality import gap_micros, previous_time
@@ -173,10 +184,7 @@ def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
                 .withColumn("batch_id", F.lit(batch_id)))
         gaps.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("batch_id").parquet(out_path)
-        state = seeded.groupBy(*spec.keys).agg(F.max(spec.time).alias(spec.time)) \
-            .withColumn("v", F.lit(batch_id))
-        state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("v").parquet(state_path)
+        _write_state(seeded.groupBy(*spec.keys).agg(F.max(spec.time).alias(spec.time)), state_path, batch_id)
         pts.unpersist()
 
     return write
