@@ -156,7 +156,8 @@ def _write_state(state: DataFrame, state_path: str, batch_id: int) -> None:
 
 
 def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
-                      spec: SeriesSpec = HOURLY) -> Callable[[DataFrame, int], None]:
+                      spec: SeriesSpec = HOURLY, late_path: str | None = None
+                      ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function emitting gaps between consecutive points per zone.
 
     Each micro-batch is seeded with the previous batch's last time per zone
@@ -165,15 +166,29 @@ def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
     Output is written under the batch id and state into an alternating slot
     (dynamic overwrite), so a retried batch replaces its own results:
     exactly-once for the sink, with at most two state versions kept.
-    Needs time-ordered arrival per zone across micro-batches.
+    Gaps are emitted as data arrives, so rows must arrive in time order per
+    zone across micro-batches: a row older than its zone's state is late; it
+    is left out of the gaps (it would fake one) and, with ``late_path``, kept
+    there for inspection.
     """
+    from loadlens.operators.combine import broadcast_if_small
     from loadlens.operators.quality import gap_micros, previous_time
 
     step_us = spec.step_seconds * 1_000_000
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        pts = batch.select(*spec.keys, spec.time).withColumn("_seed", F.lit(False)).persist()
+        pts = batch_pts = batch.select(*spec.keys, spec.time).withColumn("_seed", F.lit(False)).persist()
         prev = _latest_state(spark, state_path, batch_id, spec)
+        if prev is not None:
+            # one state row per zone: broadcast after a size check, not a shuffle by zone
+            last = broadcast_if_small(prev.withColumnRenamed(spec.time, "_last"))
+            marked = pts.join(last, list(spec.keys), "left").withColumn(
+                "_late", F.coalesce(F.col(spec.time) < F.col("_last"), F.lit(False)))
+            if late_path is not None:
+                (marked.filter("_late").select(*spec.keys, spec.time).withColumn("batch_id", F.lit(batch_id))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(late_path))
+            pts = marked.filter(~F.col("_late")).select(*spec.keys, spec.time, "_seed")
         seeded = pts if prev is None else pts.unionByName(prev.withColumn("_seed", F.lit(True)))
         lagged = previous_time(seeded, spec)
         cur, p = F.col(spec.time), F.col("previous_time")
@@ -185,7 +200,7 @@ def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
         gaps.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("batch_id").parquet(out_path)
         _write_state(seeded.groupBy(*spec.keys).agg(F.max(spec.time).alias(spec.time)), state_path, batch_id)
-        pts.unpersist()
+        batch_pts.unpersist()
 
     return write
 

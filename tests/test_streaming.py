@@ -54,3 +54,20 @@ def test_gap_sink_and_downsample(spark, make_obs, tmp_path):
     assert rows(spark.read.parquet(table), "time_utc", "load_mw") == [
         (ts("2024-01-01 00:00:00"), 1.5), (ts("2024-01-01 05:00:00"), 6.0), (ts("2024-01-01 06:00:00"), 4.0),
         (ts("2024-01-01 09:00:00"), 5.0)]
+
+
+def test_gap_sink_diverts_late_rows(spark, make_obs, tmp_path):
+    src, ckpt = str(tmp_path / "src"), str(tmp_path / "ckpt")
+    gaps, state, late = str(tmp_path / "gaps"), str(tmp_path / "state"), str(tmp_path / "late")
+    b1 = [("2024-01-01 00:00:00", "SE", "Z1", 1.0), ("2024-01-01 10:00:00", "SE", "Z1", 1.0)]
+    b2 = [("2024-01-01 04:00:00", "SE", "Z1", 1.0), ("2024-01-01 11:00:00", "SE", "Z1", 1.0),
+          ("2024-01-01 13:00:00", "SE", "Z1", 1.0)]
+    schema = make_obs(b1).schema
+    for b in (b1, b2):
+        make_obs(b).write.mode("append").parquet(src)
+        st.run_available_now(spark.readStream.schema(schema).parquet(src), ckpt,
+                             foreach_batch=st.gap_detector_sink(spark, state, gaps, late_path=late))
+    assert rows(spark.read.parquet(gaps), "previous_time", "time_utc") == [
+        (ts("2024-01-01 00:00:00"), ts("2024-01-01 10:00:00")),
+        (ts("2024-01-01 11:00:00"), ts("2024-01-01 13:00:00"))]
+    assert rows(spark.read.parquet(late), "time_utc") == [(ts("2024-01-01 04:00:00"),)]
