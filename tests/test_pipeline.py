@@ -86,3 +86,18 @@ def test_ndjson_export_format(spark, make_obs, tmp_path):
                    "load_mw": 1.5, "source": None, "ingested_at": "2024-01-02T00:00:00.250000"}
     back = pub.read_ndjson(spark, path, "energy_load_raw").first()
     assert back["ingested_at"] == dt.datetime(2024, 1, 2, 0, 0, 0, 250000)
+
+
+def test_dbt_models_views_and_tables(spark, make_obs, tmp_path):
+    from loadlens.operators import clean
+    raw = make_obs([("2024-01-01 00:00:00", "SE", "Z1", 2.0), ("2024-01-01 01:00:00", "SE", "Z1", 4.0)])
+    c = clean.clean_series(raw)
+    ledger = tables.ledger_latest(spark.createDataFrame([], RUN_EVENT_SCHEMA))
+    asrt = quality.assertions(quality.reconciliation(c, raw, ledger))
+    models = pipeline.build_dbt_models(spark, c, asrt, str(tmp_path / "dbt"))
+    assert spark.sql("SELECT avg_load_mw FROM fct_energy_daily_summary").first()[0] == 3.0
+    assert spark.sql("SELECT count(*) FROM fct_energy_hourly_profile").first()[0] == 2
+    assert spark.sql("SELECT count(*) FROM stg_dq_assertions").first()[0] == 3
+    assert spark.read.parquet(str(tmp_path / "dbt" / "fct_energy_daily_summary")).count() == 1
+    nn = quality.not_null_checks(models["fct_energy_hourly_profile"], ["hour_of_day"], "fct_energy_hourly_profile")
+    assert nn.first()["status"] == "PASS"
