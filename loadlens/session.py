@@ -74,6 +74,8 @@ def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # size coalesced partitions by the advisory size, not by maximum task count
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),

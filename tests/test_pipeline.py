@@ -101,3 +101,12 @@ def test_dbt_models_views_and_tables(spark, make_obs, tmp_path):
     assert spark.read.parquet(str(tmp_path / "dbt" / "fct_energy_daily_summary")).count() == 1
     nn = quality.not_null_checks(models["fct_energy_hourly_profile"], ["hour_of_day"], "fct_energy_hourly_profile")
     assert nn.first()["status"] == "PASS"
+
+
+def test_scale_conf_sizes_partitions():
+    from loadlens.session import scale_conf
+    conf = scale_conf(100 * 2**40, 8000)  # 100 TB on 1,000 executors x 8 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 40961
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = scale_conf(10 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
