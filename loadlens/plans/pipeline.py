@@ -185,6 +185,7 @@ def ingest(spark: SparkSession, requests: DataFrame, paths: IngestPaths,
         inserted = stage(tables.append_ignore(
             existing, tables.with_ingest_default(points, now), ["time_utc", *plan.ZONE]), "ingest-inserted")
         (inserted.withColumn("month", F.date_format("time_utc", "yyyy-MM"))
+         .sortWithinPartitions(*plan.ZONE, "time_utc")
          .write.mode("append").partitionBy("month").parquet(paths.raw))
         counts = inserted.groupBy(*plan.ZONE).agg(F.count(F.lit(1)).alias("rows_inserted"))
         new_marks = stats.select(F.lit(pipeline_name).alias("pipeline_name"), *plan.ZONE,
