@@ -107,6 +107,17 @@ def resolutions_seen(period_rows: DataFrame) -> DataFrame:
         .alias("resolution_detected"))
 
 
+def resume_steps(ledger: DataFrame) -> DataFrame:
+    """Per (pipeline, zone) the step to resume by: the finest resolution of the
+    zone's latest successful run (15 minutes when it saw PT15M, else one hour)."""
+    last = (ledger.filter(F.col("status") == "success")
+            .groupBy("pipeline_name", *ZONE)
+            .agg(F.max_by("resolution_detected", F.struct("started_at_utc", "run_id")).alias("_res")))
+    step = (F.when(F.coalesce(F.col("_res"), F.lit("")).contains("PT15M"), F.expr("INTERVAL 15 MINUTES"))
+            .otherwise(F.expr("INTERVAL 1 HOUR")))
+    return last.select("pipeline_name", *ZONE, step.alias("resume_step"))
+
+
 def run_id_for(*cols: str) -> Column:
     """A deterministic run id from the request (for reproducible runs and tests)."""
     return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256)

@@ -145,15 +145,21 @@ def ingest(spark: SparkSession, requests: DataFrame, paths: IngestPaths,
            pipeline_name: str = PIPELINE_NAME, source_name: str = SOURCE_NAME) -> DataFrame:
     """Incremental load of landed market XML for many zones at once.
 
-    Order as in the reference: open runs, close no-op runs, scan and flatten,
+    Without ``step``, a zone resumes one resolution after its mark, the
+    resolution being the one its last successful run saw (D8; one hour when
+    unknown). Order as in the reference: open runs, close no-op runs, scan and flatten,
     append with conflicts ignored, move marks from rows *parsed* (D18), close
     runs; on error close them as failed and re-raise (D17: appended rows stay).
     Returns the closed ledger events.
     """
     now = now if now is not None else utc_now()
     marks = _read_or_empty(spark, paths.marks, STATE_SCHEMA)
-    windows = plan.effective_window(
-        plan.request_window(requests.withColumn("pipeline_name", F.lit(pipeline_name))), marks, step)
+    requested = plan.request_window(requests.withColumn("pipeline_name", F.lit(pipeline_name)))
+    if step is None:  # D8: resume by the resolution the zone's last successful run saw
+        ledger_now = tables.ledger_latest(_read_or_empty(spark, paths.ledger, RUN_EVENT_SCHEMA))
+        requested = requested.join(plan.resume_steps(ledger_now), ["pipeline_name", *plan.ZONE], "left")
+        step = F.coalesce(F.col("resume_step"), F.expr("INTERVAL 1 HOUR"))
+    windows = plan.effective_window(requested, marks, step)
     # frozen before the marks are rewritten below (the plan reads the marks table);
     # the run id is a hash of (request, start time), stable under recomputation
     windows = stage(windows.withColumn("started_at_utc", now)

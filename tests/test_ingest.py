@@ -180,3 +180,23 @@ def test_ingest_job_failure_marks_run_failed(spark, tmp_path):
         ingest_job(spark, req, paths)
     last = spark.read.parquet(paths.ledger).filter("event_seq = 1").first()
     assert last["status"] == "failed" and "Unsupported resolution" in last["error_message"]
+
+
+def test_ingest_resumes_by_resolution_seen(spark, tmp_path):
+    """Quarter-hour data ending 23:45 resumes at 00:00, not 00:45."""
+    pts = "".join(f"<Point><position>{p}</position><quantity>{p}</quantity></Point>" for p in range(1, 193))
+    body = f"""<TimeSeries><mRID>q</mRID><Period>
+        <timeInterval><start>2024-03-01T00:00Z</start></timeInterval>
+        <resolution>PT15M</resolution>{pts}</Period></TimeSeries>"""
+    root = str(tmp_path / "landing")
+    _write(root, "country_code=SE/bidding_zone=Z1", "a.xml", NS_DOC.format(body=body))
+    paths = IngestPaths(root, str(tmp_path / "raw"), str(tmp_path / "marks"), str(tmp_path / "ledger"))
+    schema = "country_code string, bidding_zone string, start_date string, end_date string"
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    first = ingest_job(spark, spark.createDataFrame([("SE", "Z1", "2024-03-01", "2024-03-01")], schema),
+                       paths, now=now).first()
+    assert first["rows_inserted"] == 96 and first["max_event_time_utc"] == ts("2024-03-01 23:45:00")
+    second = ingest_job(spark, spark.createDataFrame([("SE", "Z1", "2024-03-01", "2024-03-02")], schema),
+                        paths, now=F.lit("2025-01-02 00:00:00").cast("timestamp_ntz")).first()
+    assert second["requested_start_utc"] == ts("2024-03-02 00:00:00") and second["rows_inserted"] == 96
+    assert spark.read.parquet(paths.raw).count() == 192
