@@ -76,8 +76,8 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
     """Persist an upsert into a Parquet table partitioned by month of ``time_col``.
 
     Only the months the batch touches are read and rewritten (dynamic partition
-    overwrite). The touched months are counted first: up to
-    ``MAX_PRUNE_VALUES`` they prune the scan as literals; beyond that a plain
+    overwrite). At most ``MAX_PRUNE_VALUES + 1`` touched months are fetched:
+    up to the limit they prune the scan as literals; beyond it a plain
     semi-join (planned by AQE) selects them. The merged rows are staged in the
     shared checkpoint folder before the write, so the write never reads the
     files it replaces.
@@ -94,8 +94,8 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
          .partitionBy(partition_col).parquet(path))
         return spark.read.parquet(path)
     touched = incoming.select(partition_col).distinct()
-    if touched.count() <= MAX_PRUNE_VALUES:
-        months = [r[0] for r in touched.collect()]
+    months = [r[0] for r in touched.limit(MAX_PRUNE_VALUES + 1).collect()]  # one job: fetch and size check
+    if len(months) <= MAX_PRUNE_VALUES:
         existing = current.filter(F.col(partition_col).isin(months))
     else:
         existing = current.join(touched, partition_col, "left_semi")
