@@ -126,10 +126,12 @@ def state_upsert(marks: DataFrame, new_marks: DataFrame, now: Column | None = No
 
 # ---------------------------------------------------------------- run ledger
 
-def run_event(df: DataFrame, event_seq: int, **cols: Column) -> DataFrame:
+def run_event(df: DataFrame, event_seq: int | Column, **cols: Column) -> DataFrame:
     """Shape rows into ledger events; unspecified columns take their defaults.
 
-    The status domain is checked on write with ``raise_error``.
+    ``event_seq`` orders a run's events (a number, or a column when one frame
+    carries several kinds of event). The status domain is checked on write
+    with ``raise_error``.
     """
     defaults = {"rows_seen": F.lit(0), "rows_inserted": F.lit(0)}
     out = []
@@ -141,7 +143,8 @@ def run_event(df: DataFrame, event_seq: int, **cols: Column) -> DataFrame:
             c = F.when(c.isin(*RUN_STATUSES), c).otherwise(
                 F.raise_error(F.concat(F.lit("invalid run status: "), F.coalesce(c, F.lit("null")))))
         out.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*out, F.lit(event_seq).alias("event_seq"))
+    seq = event_seq if isinstance(event_seq, Column) else F.lit(event_seq)
+    return df.select(*out, seq.cast("int").alias("event_seq"))
 
 
 def ledger_latest(events: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions.expr import floor_to
@@ -39,23 +39,29 @@ def daily_obs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_ledger_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Open event for every run; close event for runs that ended."""
+    """Open event for every run; close event for runs that ended (one scan of events)."""
     base = td.runs_events(spark, sf, PIPELINE_NAME, SOURCE_NAME)
-    opened = tables.run_event(base, 0, status=F.lit("running"))
-    ended = base.filter(F.col("final_status") != "running")
-    closed = tables.run_event(
-        ended, 1,
-        status=F.col("final_status"),
-        finished_at_utc=F.timestamp_add("SECOND", F.col("secs"), F.col("started_at_utc")),
-        rows_seen=F.col("n_rows"),
-        rows_inserted=F.when(F.col("final_status") == "success", F.col("n_rows")).otherwise(0),
-        min_event_time_utc=F.col("requested_start_utc"),
-        max_event_time_utc=floor_to(F.col("started_at_utc"), "hour"),
-        resolution_detected=F.lit("PT60M"),
-        source_timeseries_count=F.lit(1),
-        error_message=F.when(F.col("final_status") == "failed", F.col("props")),
+    ended = F.col("final_status") != "running"
+    both = base.withColumn("_seq", F.explode(
+        F.when(ended, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    close = F.col("_seq") == 1
+
+    def on_close(c: Column, otherwise=None) -> Column:
+        return F.when(close, c) if otherwise is None else F.when(close, c).otherwise(otherwise)
+
+    return tables.run_event(
+        both, F.col("_seq"),
+        status=on_close(F.col("final_status"), F.lit("running")),
+        finished_at_utc=on_close(F.timestamp_add("SECOND", F.col("secs"), F.col("started_at_utc"))),
+        rows_seen=on_close(F.col("n_rows"), F.lit(0)),
+        rows_inserted=on_close(F.when(F.col("final_status") == "success", F.col("n_rows")).otherwise(0),
+                               F.lit(0)),
+        min_event_time_utc=on_close(F.col("requested_start_utc")),
+        max_event_time_utc=on_close(floor_to(F.col("started_at_utc"), "hour")),
+        resolution_detected=on_close(F.lit("PT60M")),
+        source_timeseries_count=on_close(F.lit(1)),
+        error_message=on_close(F.when(F.col("final_status") == "failed", F.col("props"))),
     )
-    return opened.unionByName(closed)
 
 
 def ledger(spark: SparkSession, sf: str) -> DataFrame:
