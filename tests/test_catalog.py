@@ -50,6 +50,8 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
     got = [tuple(_norm(x) for x in r) for r in df.collect()]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan  # no cross joins, no all-pairs
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(got) > 0
