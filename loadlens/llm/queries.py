@@ -7,6 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.llm.token_count import token_counts
+from loadlens.llm.token_output import read_documents, write_tokens
+from loadlens.llm.topk import integer_codes, top_k, usable
+from loadlens.session import scratch_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -21,15 +26,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def token_digest(spark: SparkSession, out: str) -> DataFrame:
+    return read_documents(spark, out).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every 50th vector against all others."""
-    from loadlens.llm.topk import integer_codes, top_k, usable
     rows = table(spark, sf_dir, "embeddings").where(usable("embedding")).select(
         "vec_id", integer_codes("embedding").alias("codes"))
     return top_k(rows, F.col("vec_id") % 50 == 0, 5)
 
 
+@query
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as directly addressable codes in files, then per document what the files hold."""
+    out = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), out, vocabulary(), 2)
+    return token_digest(spark, out)
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over 2048 tokens."""
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary()).withColumn(
+        "over_limit", F.col("n_tokens") > 2048)
+
+
 SQL["op2_exact_topk"] = """
 WITH codes AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
