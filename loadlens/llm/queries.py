@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.llm.simhash import hex_digits, near_duplicates
 from loadlens.llm.token_count import token_counts
 from loadlens.llm.token_output import read_documents, write_tokens
 from loadlens.llm.topk import integer_codes, top_k, usable
@@ -59,6 +60,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "over_limit", F.col("n_tokens") > 2048)
 
 
+@query
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; links at 3 or fewer differing bits."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, limit=3).select(
+        "doc_id", hex_digits().alias("fingerprint"), "component_id")
+
+
 SQL["op2_exact_topk"] = """
 WITH codes AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
