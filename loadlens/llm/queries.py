@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.llm.mixing import mix
+from loadlens.llm.sharding import read_shards, record_size, write_shards
 from loadlens.llm.simhash import hex_digits, near_duplicates
 from loadlens.llm.token_count import token_counts
 from loadlens.llm.token_output import read_documents, write_tokens
@@ -60,6 +62,26 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "over_limit", F.col("n_tokens") > 2048)
 
 
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents by source weight takes from each."""
+    return mix(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shuffled shards of equal row counts, as the shard files hold them."""
+    docs, out = table(spark, sf_dir, "documents"), scratch_path(spark, "shards")
+    write_shards(docs, out, shards=24)
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    row_type = f"struct<{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in docs.schema.fields)}>"
+    return read_shards(spark, out, row_type).select(
+        F.col("row.doc_id").alias("doc_id"), record_size("row.text").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; links at 3 or fewer differing bits."""
@@ -80,3 +102,34 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
+
+SQL["op5_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         md5('mix-0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+  FROM documents),
+s AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM s),
+w AS (SELECT *, CAST([3, 1, 2][(sid - 1) % 3 + 1] AS DOUBLE) AS w, 2 * CAST(source_size AS DOUBLE) AS most FROM r),
+l AS (
+  SELECT *, (1.5::DOUBLE * CAST((SELECT sum(source_size) FROM w) AS DOUBLE) - coalesce(sum(most) OVER o, 0))
+            / ((SELECT sum(w) FROM w) - coalesce(sum(w) OVER o, 0)) AS level
+  FROM w WINDOW o AS (ORDER BY most / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT sid, source, source_size, least(most, (SELECT max(level) FROM l) * w) AS target FROM l),
+q AS (
+  SELECT d.*, t.sid, t.source_size, t.target,
+         sum(size) OVER (PARTITION BY sid ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS words
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (
+  SELECT *, CAST(copy * source_size + words AS DOUBLE) / target AS finish
+  FROM q CROSS JOIN (SELECT unnest([0, 1]) AS copy) WHERE size > 0),
+g AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, key, sid, copy ROWS UNBOUNDED PRECEDING) AS upto FROM e),
+k AS (
+  SELECT doc_id, key, source_size, size, words, CAST(sum(CASE WHEN CAST(upto AS DOUBLE)
+         <= 1.5::DOUBLE * CAST((SELECT sum(size) FROM d) AS DOUBLE) THEN 1 ELSE 0 END) AS INTEGER) AS copies
+  FROM g GROUP BY ALL)
+SELECT q.doc_id, CAST(q.size AS BIGINT) AS size, CAST(q.source_size AS BIGINT) AS source_size, q.target,
+       CAST(q.size * coalesce(k.copies, 0) AS BIGINT) AS taken, coalesce(k.copies, 0) AS copies
+FROM q LEFT JOIN k ON q.key = k.key AND q.source_size = k.source_size AND q.words = k.words AND q.size = k.size AND q.size > 0
+"""
