@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.llm.common import crc_fold
 from loadlens.llm.mixing import mix
 from loadlens.llm.sharding import read_shards, record_size, write_shards
 from loadlens.llm.simhash import hex_digits, near_duplicates
 from loadlens.llm.token_count import token_counts
 from loadlens.llm.token_output import read_documents, write_tokens
+from loadlens.llm.toxicity import densities, learn
 from loadlens.llm.topk import integer_codes, top_k, usable
 from loadlens.session import scratch_path
 
@@ -39,6 +41,19 @@ def token_digest(spark: SparkSession, out: str) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    """Learnt from all labelled documents but those held out (crc32 of the id modulo 3 is 1)."""
+    return learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"), 3) != 1)
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by the learnt lexicon."""
+    scored = densities(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (crc_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_words", "n_matches", "density")
+
+
 @query
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every 50th vector against all others."""
