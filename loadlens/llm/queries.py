@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.llm import langid
 from loadlens.llm.common import crc_fold
 from loadlens.llm.mixing import mix
 from loadlens.llm.sharding import read_shards, record_size, write_shards
@@ -97,6 +98,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learnt from all but those held out (crc32 of the id modulo 4 is 2)."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs, crc_fold(F.col("doc_id"), 4) != 2)
+    return langid.languages(docs, model).select(
+        "doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 @query
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; links at 3 or fewer differing bits."""
