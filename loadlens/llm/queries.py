@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadlens.llm import langid
 from loadlens.llm.common import crc_fold
+from loadlens.llm.decontaminate import contaminated
 from loadlens.llm.mixing import mix
 from loadlens.llm.sharding import read_shards, record_size, write_shards
 from loadlens.llm.simhash import hex_digits, near_duplicates
@@ -107,6 +108,13 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, re-parameterised or not, with the item."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "n_windows", "n_found", "containment", "new_values")
+
+
 @query
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; links at 3 or fewer differing bits."""
