@@ -13,6 +13,7 @@ from loadlens.llm.decontaminate import contaminated
 from loadlens.llm.mixing import mix
 from loadlens.llm.sharding import read_shards, record_size, write_shards
 from loadlens.llm.simhash import hex_digits, near_duplicates
+from loadlens.llm.styletree import main_text
 from loadlens.llm.token_count import token_counts
 from loadlens.llm.token_output import read_documents, write_tokens
 from loadlens.llm.toxicity import densities, learn
@@ -122,6 +123,12 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", hex_digits().alias("fingerprint"), "component_id")
 
 
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 SQL["op2_exact_topk"] = """
 WITH codes AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c

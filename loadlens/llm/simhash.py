@@ -57,16 +57,18 @@ def simhash(data: bytes, words: int = 3) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 row_key: Column | None = None) -> DataFrame:
+    """``<id_col>, row_key, fp`` (the 64 bits as a signed long) of every row."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([simhash(t.as_py(), words) for t in batch.column(1)], np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            fps = np.array([simhash(t.as_py(), words) for t in batch.column(2)], np.uint64)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["id", "row_key", "fp"])
 
-    plain = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    key = F.lit(0).cast("long") if row_key is None else row_key
+    plain = docs.select(F.col(id_col).alias("id"), key.alias("row_key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     kind = plain.schema["id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(run, f"id {kind}, row_key long, fp long").withColumnRenamed("id", id_col)
 
 
 # ------------------------------------------------------------------ trie self-join
@@ -225,14 +227,18 @@ def _find_some(parent: np.ndarray, *places: np.ndarray) -> None:
 
 # ------------------------------------------------------------------ classes
 
-def near_duplicates(docs: DataFrame, words: int = 3, limit: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``<id_col>, fp, component_id`` of every row; component_id is the smallest id reachable over links."""
-    marked = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
+def near_duplicates(docs: DataFrame, words: int = 3, limit: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                    row_key: Column | None = None) -> DataFrame:
+    """``<id_col>, row_key, fp, component_id`` of every row; component_id is the smallest id reachable over links.
+
+    ``row_key``, a long, comes along as it is (0 if not given).
+    """
+    marked = stored(fingerprints(docs, words, id_col, text_col, row_key), "fingerprints")
     first = stored(marked.groupBy("fp").agg(F.min(id_col).alias("first")), "distinct-fingerprints")
     roots = components(links(first.select("fp"), limit)).withColumnsRenamed({"node": "fp"})
     rooted = first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+    return marked.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "row_key", "fp", "component_id")
 
 
 def hex_digits(fp: str = "fp") -> Column:
