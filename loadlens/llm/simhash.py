@@ -103,8 +103,9 @@ def links(fps: DataFrame, limit: int = 3) -> DataFrame:
     pairs = pairs.repartition(shuffle_width(spark), "j", "key", "p", "q")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches))
-        if len(rows):
+        held = list(batches)  # a task's share of the keys; a large key is in many tasks
+        if held:
+            rows = pa.Table.from_batches(held)
             a, b = _join_tries(*(rows[c].to_numpy() for c in ("j", "key", "p", "q", "side", "fp")), limit)
             yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -113,6 +114,8 @@ def links(fps: DataFrame, limit: int = 3) -> DataFrame:
 
 def _join_tries(j, key, p, q, side, fp, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of all tries of a task; rows of a trie share j, key, p and q."""
+    if not len(fp):
+        return fp, fp
     bits = fp.view(np.uint64)
     order = np.lexsort((bits, side, q, p, key, j))
     j, key, p, q, side, bits = (x[order] for x in (j, key, p, q, side, bits))
