@@ -17,8 +17,8 @@ found are checked window by window. Nothing else of a document is shuffled.
 Cases: null and empty texts have no windows; an item of fewer than ``WINDOW`` words
 is one window of all its words, and only a document of exactly those words has it;
 windows with fewer than ``LITERALS`` words that are not placeholders say nothing and
-are left out (an item of none but such cannot be found); items that are null are left
-out, repeated item ids are checked each; repeated document rows give their pair once;
+are left out (an item of none but such cannot be found); items without text are left out,
+items without id are returned as null, repeated item ids are checked each; repeated document rows give their pair once;
 without items, or on an empty table, there are no rows; a null doc_id is returned as
 such; only ids and texts are read, so other columns may have any name.
 """
@@ -123,22 +123,24 @@ def _slot_values(places: np.ndarray, slots: np.ndarray, parts: list[bytes]) -> l
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id, item_row, n_windows, w, at, values`` for every telling window of every item."""
+    """``item_id, item_row, n_windows, w, at, values`` for every telling window of every item.
+
+    ``item_row`` is xxhash64 of id and text, so that items of no or of one id stay apart.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Templates()
         for batch in batches:
             rows = []
-            for item, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for item, key, cell in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 hashes, places, slots, parts = made.windows(cell)
-                key = xxhash.xxh64_intdigest(cell, 7) >> 1
                 rows += [{"item_id": item, "item_row": key, "n_windows": len(places), "w": w, "at": at, "values": v} for w, at, v in
                          zip(hashes.view(np.int64).tolist(), places.tolist(), _slot_values(places, slots, parts), strict=True)]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("item_id", kind_arrow), ("item_row", pa.int64()), ("n_windows", pa.int32()), ("w", pa.int64()), ("at", pa.int32()),
+                ("item_id", pa.int64()), ("item_row", pa.int64()), ("n_windows", pa.int32()), ("w", pa.int64()), ("at", pa.int32()),
                 ("values", pa.list_(pa.string()))]))
 
-    plain = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
-    kind_arrow = pa.int64()
+    plain = items.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).cast("binary").alias("t"))
     return plain.mapInArrow(run, "item_id long, item_row long, n_windows int, w long, at int, values array<string>")
 
 
@@ -175,11 +177,11 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     spark = docs.sparkSession
     windows = stored(item_windows(items), "benchmark-windows")
     spread = windows.groupBy("w").agg(F.count(F.lit(1)).alias("common"))
-    ranked = windows.join(spread, "w").groupBy("item_id", "item_row", "n_windows").agg(
+    ranked = windows.join(spread, "w").groupBy("item_row", "n_windows").agg(
         F.array_sort(F.collect_set(F.struct("common", "w"))).alias("ws"))  # the windows of one item
     missed = F.floor(F.col("n_windows") * F.lit(1 - SHARE) + F.lit(1e-9)).cast("int")
-    anchors = stored(ranked.select("item_id", "item_row", F.explode(F.slice("ws", F.lit(1), missed + 1)).alias("x")).select(
-        "item_id", "item_row", F.col("x.w").alias("w")), "benchmark-anchors")
+    anchors = stored(ranked.select("item_row", F.explode(F.slice("ws", F.lit(1), missed + 1)).alias("x")).select(
+        "item_row", F.col("x.w").alias("w")), "benchmark-anchors")
     first, every = (spark.sparkContext.broadcast(_bloom(x.select("w").distinct())) for x in (anchors, windows))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,10 +204,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     keyed = docs.select(F.xxhash64(id_col, text_col).alias("row_key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     hits = stored(keyed.mapInArrow(run, "row_key long, leads array<long>, ws array<long>, ats array<long>, values array<array<string>>")
                   .dropDuplicates(["row_key"]), "benchmark-hits")
-    pairs = hits.select("row_key", F.explode("leads").alias("w")).join(anchors, "w").select("row_key", "item_id", "item_row").distinct()
-    whole = windows.groupBy("item_id", "item_row").agg(
-        F.first("n_windows").alias("n_windows"), F.collect_list(F.struct("w", "at", "values")).alias("item"))  # one item's windows
-    both = pairs.join(hits.drop("leads"), "row_key").join(whole, ["item_id", "item_row"])
+    pairs = hits.select("row_key", F.explode("leads").alias("w")).join(anchors, "w").select("row_key", "item_row").distinct()
+    whole = windows.groupBy("item_row").agg(
+        F.first("item_id").alias("item_id"), F.first("n_windows").alias("n_windows"), F.collect_set(F.struct("w", "at", "values")).alias("item"))  # one item's windows
+    both = pairs.join(hits.drop("leads"), "row_key").join(whole, "item_row")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,7 +6,7 @@ Spark counts the layouts (sequences of children) and the contents (own text) of
 occurrences, per host and over all hosts. The entropy of these counts, over the
 largest it could have, is the node's presentation or content importance: what always
 looks or reads alike says nothing. A branch's importance mixes its own presentation
-with that of its children, and blocks of branches under ``LEAST`` are removed. Where
+with that of its children; a branch that is under ``LEAST`` with all below it is removed. Where
 a host shows a node seldom, the tree of all hosts decides; else the lower of the two.
 
 Roles are importances known beforehand: elements and class names for menus, headers,
@@ -223,12 +223,14 @@ def importances(counts: DataFrame, by_host: bool) -> DataFrame:
         F.max(F.when(F.col("kind") == 1, F.col("e"))).alias("content"))
 
 
-def branch_importance(nodes: dict[int, tuple[int, float, float | None]]) -> dict[int, float]:
-    """Composite importance of the branches of one tree; ``nodes`` maps path to (parent, presentation, content)."""
+def branch_importance(nodes: dict[int, tuple[int, float, float | None]]) -> tuple[dict[int, float], set[int]]:
+    """Composite importance of the branches of one tree, and those to remove: where it is low
+    in the branch and in all below it. ``nodes`` maps path to (parent, presentation, content)."""
     below: dict[int, list[int]] = {}
     for path, (parent, _, _) in nodes.items():
         below.setdefault(parent, []).append(path)
     out: dict[int, float] = {}
+    low: set[int] = set()
     todo = [(p, False) for p, (parent, _, _) in nodes.items() if parent not in nodes]
     while todo:
         path, ready = todo.pop()
@@ -241,7 +243,9 @@ def branch_importance(nodes: dict[int, tuple[int, float, float | None]]) -> dict
         parts = [out[c] for c in children] + ([content] if content is not None else [])
         weight = GAMMA ** len(parts) if parts else 0.0
         out[path] = (1 - weight) * presentation + weight * sum(parts) / len(parts) if parts else presentation
-    return out
+        if out[path] < LEAST and all(c in low for c in children):
+            low.add(path)
+    return out, low
 
 
 def removed_nodes(counts: DataFrame) -> DataFrame:
@@ -262,7 +266,7 @@ def removed_nodes(counts: DataFrame) -> DataFrame:
             rows = []
             for host, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 tree = {n["path"]: (n["parent"], n["presentation"], n["content"]) for n in nodes}
-                rows.append([p for p, v in branch_importance(tree).items() if v < LEAST])
+                rows.append(sorted(branch_importance(tree)[1]))
             yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["host", "removed"])
 
     return trees.mapInArrow(run, "host string, removed array<long>").where(F.size("removed") > 0)
