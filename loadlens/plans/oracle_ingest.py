@@ -1,6 +1,6 @@
 """Oracle SQL for the ingestion and publish queries."""
 
-from loadlens.plans.oracle import (BOUNDS, CLEAN, DAILY_OBS, DUPS, GAPS, LEDGER, MISSING, SPINE, WIDE, HALF, HOURLY_QUALITY, OBS, OBS_HOUR, ORDERS_OBS, SQL,
+from loadlens.plans.oracle import (BAND, BOUNDS, CLEAN, DAILY_OBS, DUPS, GAPS, LEDGER, MISSING, SPINE, WIDE, HALF, HOURLY_QUALITY, OBS, OBS_HOUR, ORDERS_OBS, SQL,
                                    TOLERANT, _avg, _marks, with_)
 
 Q15 = f"""q15 AS (
@@ -170,7 +170,7 @@ FROM gaps"""
 
 SQL["published_objects"] = with_(OBS, OBS_HOUR, CLEAN, BOUNDS.format(src="clean"),
                                  SPINE.format(step="1 HOUR", col="expected_time"), MISSING.format(src="clean"),
-                                 GAPS.format(src="clean", step="1 HOUR"), LEDGER, WIDE) + """
+                                 GAPS.format(src="clean", step="1 HOUR"), LEDGER, WIDE, BAND) + """
 SELECT 'energy_load_raw' AS object_name, COUNT(*) AS row_count FROM obs
 UNION ALL SELECT 'energy_load_clean', COUNT(*) FROM clean
 UNION ALL SELECT 'pipeline_runs', COUNT(*) FROM ledger
@@ -183,12 +183,7 @@ UNION ALL SELECT 'dq_reconciliation_summary', 1
 UNION ALL SELECT 'dq_assertions', 3
 UNION ALL SELECT 'daily_load_summary', COUNT(*) FROM (SELECT DISTINCT country_code, bidding_zone,
                                                          CAST(time_utc AS DATE) FROM clean)
-UNION ALL SELECT 'hourly_load_anomalies', COUNT(*) FROM (
-  SELECT r.* FROM clean r JOIN (SELECT country_code, bidding_zone, CAST(time_utc AS DATE) AS d,
-                                       CAST(SUM(CAST(load_mw AS DECIMAL(18,6))) AS DOUBLE) / COUNT(load_mw) AS a
-                                FROM clean GROUP BY 1, 2, 3) b
-    ON r.country_code = b.country_code AND r.bidding_zone = b.bidding_zone AND CAST(r.time_utc AS DATE) = b.d
-  WHERE r.load_mw > b.a * 1.10 OR r.load_mw < b.a * 0.90)
+UNION ALL SELECT 'hourly_load_anomalies', COUNT(label) FROM labelled
 UNION ALL SELECT 'daily_load_curve_profile', COUNT(*) FROM (SELECT DISTINCT country_code, bidding_zone,
                                                                extract(hour FROM time_utc) FROM clean)
 UNION ALL SELECT 'mart_energy_system_metrics', COUNT(*) FROM wide
