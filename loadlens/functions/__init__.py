@@ -2,10 +2,10 @@
 
 from loadlens.functions.expr import (  # noqa: F401
     epoch_span_steps,
+    exact_sum,
     floor_to,
+    interval_text,
     mean,
     pct_deviation,
     resolution_minutes,
-    resolution_step,
-    to_ntz,
 )

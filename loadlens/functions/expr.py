@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from loadlens.fixed import RESOLUTION_MINUTES
 
 
-def to_ntz(c: Column) -> Column:
-    return c.cast("timestamp_ntz")
-
-
 def floor_to(c: Column, unit: str) -> Column:
     """Truncate a wall-clock (TIMESTAMP_NTZ) value to ``unit``, staying NTZ.
 
@@ -48,8 +44,21 @@ def mean(c: Column | str, exact_scale: int | None = None) -> Column:
     return exact_sum(c, exact_scale).cast("double") / F.count(c)
 
 
+def exact_value(c: Column, exact_scale: int = 6) -> Column:
+    """The value as DECIMAL(18, scale).
+
+    A value that does not fit (1e12 or more at scale 6, or not finite) fails the
+    query, with ANSI mode on or off; it is never left out of a sum.
+    """
+    kind = f"decimal(18,{exact_scale})"
+    fits = c.try_cast(kind)
+    return F.when(c.isNull() | fits.isNotNull(), fits).otherwise(F.raise_error(F.concat(
+        F.lit(f"value does not fit {kind}: "), c.cast("string"))).cast(kind))
+
+
 def exact_sum(c: Column, exact_scale: int = 6) -> Column:
-    return F.sum(c.cast(f"decimal(18,{exact_scale})"))
+    """Sum over DECIMAL(18, scale): exact, so independent of the order of merging."""
+    return F.sum(exact_value(c, exact_scale))
 
 
 def resolution_minutes(code: Column) -> Column:
@@ -62,10 +71,6 @@ def resolution_minutes(code: Column) -> Column:
         F.raise_error(F.concat(F.lit("Unsupported resolution "), code)).cast("int"))
 
 
-def resolution_step(code: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), resolution_minutes(code), F.lit(0))
-
-
 def pct_deviation(x: Column, base: Column, places: int = 2) -> Column:
     """round((x - base) / base * 100, places); null when base is zero."""
     return F.round(F.try_divide(x - base, base) * F.lit(100.0), places)
@@ -77,8 +82,12 @@ def epoch_span_steps(lo: Column, hi: Column, step_seconds: int) -> Column:
     return F.round(secs / F.lit(float(step_seconds)) + F.lit(1.0)).cast("bigint")
 
 
-def interval_text(seconds: Column) -> Column:
-    """Whole seconds as day-time interval text: '02:00:00', '1 day 01:00:00', '3 days …'."""
+def interval_text(seconds: Column, micros: Column | None = None) -> Column:
+    """Day-time interval text: '02:00:00', '1 day 01:00:00', '3 days …'.
+
+    ``micros``, the part of a second, is shown if it is not zero, without
+    trailing zeros: '00:00:01.5'.
+    """
     d = F.floor(seconds / 86400)
     rem = seconds - d * 86400
     hh = F.lpad(F.floor(rem / 3600).cast("string"), 2, "0")
@@ -86,7 +95,11 @@ def interval_text(seconds: Column) -> Column:
     ss = F.lpad((rem % 60).cast("string"), 2, "0")
     days = (F.when(d == 1, F.lit("1 day "))
             .when(d > 1, F.concat(d.cast("string"), F.lit(" days "))).otherwise(F.lit("")))
-    return F.concat(days, hh, F.lit(":"), mm, F.lit(":"), ss)
+    whole = F.concat(days, hh, F.lit(":"), mm, F.lit(":"), ss)
+    if micros is None:
+        return whole
+    part = F.regexp_replace(F.lpad(micros.cast("string"), 6, "0"), "0+$", "")
+    return F.when(micros == 0, whole).otherwise(F.concat(whole, F.lit("."), part))
 
 
 _NTZ_EPOCH = "1970-01-01 00:00:00"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.functions.expr import floor_to, mean
+from loadlens.functions.expr import exact_sum, floor_to
 from loadlens.schema import DEFAULT_SOURCE, HOURLY, SeriesSpec
 
 
@@ -46,18 +46,19 @@ def clean_series(raw: DataFrame, spec: SeriesSpec = HOURLY, grain: str | None =
         )
     bucket = floor_to(F.col(spec.time), grain).alias(spec.time)
     key = [spec.time, *spec.keys]
-    # Numeric aggregates run as a hash aggregate. A string max would turn the
-    # whole aggregate into a sort aggregate, so the source label is aggregated
-    # apart, over rows that have one (none when ingestion leaves it empty: the
-    # pushed IsNotNull filter then skips every row group), and joined back.
-    numeric = valid.groupBy(bucket, *spec.keys).agg(
-        mean(spec.value, exact_scale).alias(spec.value),
-        F.max(spec.ingested_at).alias(spec.ingested_at),
-    )
-    labels = (valid.filter(F.col(spec.source).isNotNull())
-              .groupBy(bucket, *spec.keys).agg(F.max(spec.source).alias(spec.source)))
-    return numeric.join(labels, key, "left").select(
-        *key, spec.value,
-        F.coalesce(F.col(spec.source), F.lit(default_source)).alias(spec.source),
+    # One scan, two hash aggregates. A string max would turn the large aggregate
+    # into a sort aggregate, so the label is a grouping key there (one label for
+    # a bucket as a rule) and its maximum is taken over the few rows that leave it.
+    # Sums and counts of the labels add up to those of the bucket.
+    value = F.col(spec.value)
+    total = F.sum(value) if exact_scale is None else exact_sum(value, exact_scale)
+    by_label = valid.groupBy(bucket, *spec.keys, F.col(spec.source).alias("_label")).agg(
+        total.alias("_sum"), F.count(value).alias("_n"), F.max(spec.ingested_at).alias(spec.ingested_at))
+    merged = by_label.groupBy(*key).agg(
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.max(spec.ingested_at).alias(spec.ingested_at),
+        F.max("_label").alias("_label"))
+    return merged.select(
+        *key, (F.col("_sum").cast("double") / F.col("_n")).alias(spec.value),
+        F.coalesce(F.col("_label"), F.lit(default_source)).alias(spec.source),
         spec.ingested_at,
     )

@@ -35,13 +35,3 @@ def zip_rows(*frames: DataFrame, by: list[str] | None = None) -> DataFrame:
 def count_row(df: DataFrame, name: str) -> DataFrame:
     """A one-row frame with the row count of ``df`` under ``name``."""
     return df.agg(F.count(F.lit(1)).alias(name))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after checking its size; beyond ``max_rows`` leave the
-    join to AQE (sort-merge with skewed partitions split).
-
-    Meant for plan-sized tables (one row per zone or request), where the count
-    itself is cheap.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df

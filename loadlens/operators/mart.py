@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.fixed import SHAPE_HOURS, SUMMER_MONTHS, WINTER_MONTHS
+from loadlens.functions.expr import exact_value
+from loadlens.operators.combine import zip_rows
 from loadlens.schema import HOURLY, SeriesSpec
 
 WIDE_COLUMNS = [
@@ -23,18 +25,13 @@ WIDE_COLUMNS = [
 
 def hour_cells(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] | None = None,
                exact_scale: int | None = None) -> DataFrame:
-    """Partial aggregate per (by, date, hour): sum, count, max, min, peak candidate.
-
-    The peak candidate is the minimum of struct(-load, time, keys, load): the
-    highest load, ties to the earliest time, then country, then zone (D7).
-    """
+    """Partial aggregate per (by, date, hour): sum, count, max and min, all numeric,
+    so every level above clean is a hash aggregate."""
     by = by or []
     v = F.col(spec.value)
-    s = v.cast(f"decimal(18,{exact_scale})") if exact_scale is not None else v
+    s = exact_value(v, exact_scale) if exact_scale is not None else v
     return clean.groupBy(*by, F.to_date(spec.time).alias("_d"), F.hour(spec.time).alias("_h")).agg(
-        F.sum(s).alias("_s"), F.count(v).alias("_n"), F.max(v).alias("_mx"), F.min(v).alias("_mn"),
-        F.min(F.struct((-v).alias("neg"), F.col(spec.time).alias("t"),
-                       *[F.col(k) for k in spec.keys], v.alias("v"))).alias("_pk"))
+        F.sum(s).alias("_s"), F.count(v).alias("_n"), F.max(v).alias("_mx"), F.min(v).alias("_mn"))
 
 
 def _avg(s: Column, n: Column) -> Column:
@@ -64,13 +61,22 @@ def curve_shape_from(cells: DataFrame, by: list[str]) -> DataFrame:
 
 
 def peak_hour(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] | None = None) -> DataFrame:
-    """The single highest-load point (0 rows on empty input)."""
+    """The single highest-load point (0 rows on empty input, D16).
+
+    Ties go to the earliest time, then country, then zone (D7); NaN is the highest
+    load, as it is for the maximum. Without ``by`` every task keeps one row; per
+    group the points at the group's maximum are picked first.
+    """
     by = by or []
-    v = F.col(spec.value)
-    pk = clean.groupBy(*by).agg(F.min(F.struct((-v).alias("neg"), F.col(spec.time).alias("t"),
-                                                *[F.col(k) for k in spec.keys], v.alias("v"))).alias("_pk"))
-    return pk.filter(F.col("_pk").isNotNull()).select(
-        *by, F.col("_pk.t").alias("peak_time_utc"), F.col("_pk.v").alias("peak_load_mw"))
+    v, found = F.col(spec.value), clean.filter(F.col(spec.value).isNotNull())
+    order = [F.col(spec.time), *[F.col(k) for k in spec.keys]]
+    if not by:
+        top = found.orderBy(v.desc(), *order).limit(1)
+        return top.select(F.col(spec.time).alias("peak_time_utc"), v.alias("peak_load_mw"))
+    highest = found.groupBy(*by).agg(F.max(v).alias("peak_load_mw")).withColumnsRenamed({c: f"_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    at = found.join(highest, [*same, v == F.col("peak_load_mw")])
+    return at.groupBy(*by, "peak_load_mw").agg(F.min(spec.time).alias("peak_time_utc")).select(*by, "peak_time_utc", "peak_load_mw")
 
 
 def daily_extremes(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] | None = None,
@@ -94,9 +100,9 @@ def system_metrics(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] |
                    exact_scale: int | None = None) -> DataFrame:
     """Q6: the wide metric row; zero rows when clean is empty.
 
-    One scan: clean → (date, hour) cells → one grouping-sets aggregate giving
-    the per-day, per-hour and overall levels together → one final row per
-    ``by`` group. ``by=[]`` mixes all zones as the reference does; pass the
+    Clean → (date, hour) cells → one grouping-sets aggregate giving the per-day,
+    per-hour and overall levels together → one final row per ``by`` group, with
+    the peak from a scan of its own (a top-1, no struct in the large aggregate). ``by=[]`` mixes all zones as the reference does; pass the
     zone keys for one row per zone.
     """
     by = by or []
@@ -104,7 +110,7 @@ def system_metrics(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] |
     m = F.month("_d")
     levels = cells.groupingSets([[*by, "_d"], [*by, "_h"], [*by]], *by, "_d", "_h").agg(
         F.sum("_s").alias("s"), F.sum("_n").alias("n"), F.max("_mx").alias("mx"),
-        F.min("_mn").alias("mn"), F.min("_pk").alias("pk"),
+        F.min("_mn").alias("mn"),
         F.max(F.when(m.isin(*WINTER_MONTHS), F.col("_mx"))).alias("wmx"),
         F.max(F.when(m.isin(*SUMMER_MONTHS), F.col("_mx"))).alias("smx"),
         F.grouping("_d").alias("gd"), F.grouping("_h").alias("gh"))
@@ -120,7 +126,6 @@ def system_metrics(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] |
         F.max(at(total, avg)).alias("avg_hourly_load_mw"),
         F.max(at(total, F.col("mx"))).alias("max_hourly_load_mw"),
         F.max(at(total, F.col("mn"))).alias("min_hourly_load_mw"),
-        F.max(at(total, F.col("pk"))).alias("_peak"),
         F.max(at(day, avg)).alias("max_avg_daily_load_mw"),
         F.min(at(day, avg)).alias("min_avg_daily_load_mw"),
         F.max(at(total, F.col("wmx"))).alias("winter_peak_load_mw"),
@@ -128,9 +133,9 @@ def system_metrics(clean: DataFrame, spec: SeriesSpec = HOURLY, by: list[str] |
         *[F.max(at(hour & (F.col("_h") == h), avg)).alias(name) for name, h in SHAPE_HOURS.items()],
         F.max(at(total, F.col("n"))).alias("_rows"),
     )
-    return (wide.filter(F.col("_rows") > 0)
-            .withColumn("peak_time_utc", F.col("_peak.t")).withColumn("peak_load_mw", F.col("_peak.v"))
-            .select(*by, *WIDE_COLUMNS))
+    # one row per group on either side: a union and a maximum instead of a join
+    both = zip_rows(wide.filter(F.col("_rows") > 0), peak_hour(clean, spec, by), by=by)
+    return both.filter(F.col("_rows") > 0).select(*by, *WIDE_COLUMNS)
 
 
 def _text(c: Column, dtype: str, text_scale: int | None) -> Column:

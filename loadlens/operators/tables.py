@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions.expr import utc_now
-from loadlens.session import stage
+from loadlens.session import read_or_empty, staged
 from loadlens.schema import (CLEAN_SCHEMA, ERROR_MESSAGE_MAX, RAW_SCHEMA, RUN_EVENT_SCHEMA,
                              RUN_LEDGER_SCHEMA, RUN_STATUSES, STATE_SCHEMA)
 
@@ -39,70 +39,70 @@ def append_ignore(existing: DataFrame, incoming: DataFrame, keys: list[str],
 
 
 def rows_in_range(existing: DataFrame, batch: DataFrame, time_col: str = "time_utc",
-                  partition_col: str = "month") -> DataFrame:
-    """Existing rows that can collide with ``batch``: within its time bounds.
+                  partition_col: str = "month", zone: tuple[str, ...] = ("country_code", "bidding_zone")) -> DataFrame:
+    """Existing rows that can collide with ``batch``: in the months its zones touch.
 
-    The two bounds are fetched as literals, so the filter reaches the Parquet
-    scan (month partitions pruned, row groups skipped by statistics) instead of
-    joining against the whole table.
+    The join is on the partition column, so Spark prunes the scan to the touched
+    months at run time, however far apart they are; one zone that loads old data
+    does not make the others' history be read.
     """
-    lo, hi = batch.agg(F.min(time_col), F.max(time_col)).first()
-    if lo is None:
-        return existing.limit(0)
-    lo_s, hi_s = (F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz") for x in (lo, hi))
     out = existing
-    if partition_col in existing.columns:
-        out = out.filter(F.col(partition_col).between(lo.strftime("%Y-%m"), hi.strftime("%Y-%m")))
-    return out.filter(F.col(time_col).between(lo_s, hi_s))
+    if partition_col not in out.columns:
+        out = out.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
+    touched = batch.select(F.date_format(time_col, "yyyy-MM").alias(partition_col), *zone).distinct()
+    return out.join(touched, [partition_col, *zone], "left_semi")
+
+
+def last_per_key(df: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
+    """One row per key: the one of largest ``order_col``, or else of largest values."""
+    payload = [c for c in df.columns if c not in keys]
+    if order_col:
+        return first_per_key(df, keys, order_col, last=True)
+    return df.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_row")).select(*keys, "_row.*")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
            order_col: str | None = None) -> DataFrame:
     """The table after an upsert; an incoming row replaces the stored row.
 
-    With ``order_col`` duplicates inside the batch keep the largest value.
+    Of rows that repeat a key inside the batch the one with the largest
+    ``order_col`` is kept, without it the one with the largest values.
     """
-    batch = first_per_key(incoming, keys, order_col, last=True) if order_col else incoming
+    batch = last_per_key(incoming, keys, order_col)
     cols = existing.columns
-    kept = existing.join(batch.select(*keys).distinct(), keys, "left_anti")
+    kept = existing.join(batch.select(*keys), keys, "left_anti")
     return kept.select(*cols).unionByName(batch.select(*cols))
 
 
-MAX_PRUNE_VALUES = 10_000
-
-
 def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
-                 partition_col: str = "month", time_col: str = "time_utc") -> DataFrame:
+                 partition_col: str = "month", time_col: str = "time_utc",
+                 order_col: str | None = None) -> DataFrame:
     """Persist an upsert into a Parquet table partitioned by month of ``time_col``.
 
     Only the months the batch touches are read and rewritten (dynamic partition
-    overwrite). At most ``MAX_PRUNE_VALUES + 1`` touched months are fetched:
-    up to the limit they prune the scan as literals; beyond it a plain
-    semi-join (planned by AQE) selects them. The merged rows are staged in the
-    shared checkpoint folder before the write, so the write never reads the
-    files it replaces.
+    overwrite): their bounds prune the scan as literals, and a semi-join selects
+    them. The merged rows are staged in the shared folder first, so the write
+    never reads the files it replaces; the staged files go afterwards. A table
+    that exists and cannot be read fails the call before anything is written.
     """
     incoming = incoming.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
+    schema = incoming.drop(order_col).schema if order_col else incoming.schema
     # within each file, rows sorted by (zone keys, time): row-group statistics then
     # let later zone/time filters skip data (the reference's (zone, time) index)
     layout = [k for k in keys if k != time_col] + [time_col]
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        (incoming.sortWithinPartitions(*layout).write.mode("overwrite").options(**writer_opts)
-         .partitionBy(partition_col).parquet(path))
-        return spark.read.parquet(path)
-    touched = incoming.select(partition_col).distinct()
-    months = [r[0] for r in touched.limit(MAX_PRUNE_VALUES + 1).collect()]  # one job: fetch and size check
-    if len(months) <= MAX_PRUNE_VALUES:
-        existing = current.filter(F.col(partition_col).isin(months))
-    else:
-        existing = current.join(touched, partition_col, "left_semi")
-    merged = stage(upsert(existing, incoming, keys), "upsert-merged")
-    (merged.sortWithinPartitions(*layout).write.mode("overwrite").options(**writer_opts)
-     .partitionBy(partition_col).parquet(path))
-    return spark.read.parquet(path)
+    with staged(incoming, "upsert-batch") as batch:
+        lo, hi = batch.agg(F.min(partition_col), F.max(partition_col)).first()
+        if lo is None:  # nothing to write but the table itself
+            return read_or_empty(spark, path, schema)
+        touched = batch.select(partition_col).distinct()
+        existing = (read_or_empty(spark, path, schema)
+                    .filter(F.col(partition_col).between(lo, hi))
+                    .join(touched, partition_col, "left_semi").select(*schema.fieldNames()))
+        with staged(upsert(existing, batch, keys, order_col), "upsert-merged") as merged:
+            (merged.sortWithinPartitions(*layout)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(partition_col).parquet(path))
+    return spark.read.schema(schema).parquet(path)
 
 
 # ---------------------------------------------------------------- high-water marks

@@ -193,15 +193,18 @@ def q_dq_gate(spark, sf):
 
 @query("not_null_checks")
 def q_not_null_checks(spark, sf):
+    from loadlens.session import stage
     from loadlens.sources.publish import stg_assertions, stg_clean
-    c = quality.not_null_checks(stg_clean(clean_obs(spark, sf)),
+    clean = stage(clean_obs(spark, sf), "clean")  # read by all four models, computed once
+    recon = quality.reconciliation(clean, td.obs_hour(spark, sf), ledger(spark, sf))
+    c = quality.not_null_checks(stg_clean(clean),
                                 ["time_utc", "country_code", "bidding_zone", "load_mw"],
                                 "stg_energy_load_clean")
-    a = quality.not_null_checks(stg_assertions(_assertions(spark, sf, quality.TOLERANT)),
+    a = quality.not_null_checks(stg_assertions(quality.assertions(recon, quality.TOLERANT)),
                                 ["assertion_name", "status"], "stg_dq_assertions")
-    d = quality.not_null_checks(analytics.daily_summary(clean_obs(spark, sf), exact_scale=EXACT),
+    d = quality.not_null_checks(analytics.daily_summary(clean, exact_scale=EXACT),
                                 ["load_date"], "fct_energy_daily_summary")
-    h = quality.not_null_checks(analytics.curve_profile(clean_obs(spark, sf), exact_scale=EXACT),
+    h = quality.not_null_checks(analytics.curve_profile(clean, exact_scale=EXACT),
                                 ["hour_of_day"], "fct_energy_hourly_profile")
     return c.unionByName(a).unionByName(d).unionByName(h)
 

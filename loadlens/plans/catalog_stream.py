@@ -88,22 +88,22 @@ def q_stream_time_gaps(spark, sf):
         st.run_available_now(stream, ckpt, foreach_batch=st.gap_detector_sink(spark, state, sink))
 
     _replay(spark, obs, "gaps", _parquet_slice, run)
-    return spark.read.parquet(sink).select(*st.GAP_SCHEMA.fieldNames())
+    return st.settled_gaps(spark, sink)
 
 
 @query("stream_dedupe_keys")
 def q_stream_dedupe_keys(spark, sf):
-    """First row per (hour, zone) within the watermark; keys compared."""
+    """First row per (hour, zone) within the watermark, by event id."""
     oh = td.obs_hour(spark, sf)
     sink = scratch_path(spark, "stream-dedupe")
     state = scratch_path(spark, "stream-dedupe-state")
 
     def run(src: str, ckpt: str) -> None:
         stream = spark.readStream.schema(oh.schema).parquet(src)
-        st.run_available_now(stream, ckpt, foreach_batch=st.dedupe_sink(spark, state, sink))
+        st.run_available_now(stream, ckpt, foreach_batch=st.dedupe_sink(spark, state, sink, order_col="event_id"))
 
     _replay(spark, oh, "dedupe", _parquet_slice, run)
-    return spark.read.parquet(sink).select(*HOURLY.key_time)
+    return spark.read.parquet(sink).select(*HOURLY.key_time, "load_mw", "event_id")
 
 
 @query("stream_xml_points")

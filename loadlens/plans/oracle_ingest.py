@@ -113,7 +113,8 @@ SQL["stg_assertions"] = with_(*HOURLY_QUALITY, TOLERANT) + "SELECT * FROM assert
 SQL["stream_clean_hourly"] = with_(OBS, CLEAN) + "SELECT * FROM clean"
 SQL["stream_xml_points"] = SQL["ingest_xml_points"]
 SQL["stream_dedupe_keys"] = with_(OBS, OBS_HOUR) + \
-    "SELECT DISTINCT time_utc, country_code, bidding_zone FROM obs_hour"
+    """SELECT time_utc, country_code, bidding_zone, arg_min(load_mw, event_id) AS load_mw, min(event_id) AS event_id
+FROM obs_hour GROUP BY ALL"""
 SQL["stream_time_gaps"] = "WITH " + OBS + """, lagged AS (
   SELECT country_code, bidding_zone, time_utc,
          LAG(time_utc) OVER (PARTITION BY country_code, bidding_zone ORDER BY time_utc) AS previous_time

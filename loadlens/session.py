@@ -9,16 +9,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "loadlens", extra: dict | None = None) -> SparkSession:
+    """A session with the package's settings.
+
+    Without ``master`` the one that spark-submit or the cluster sets applies
+    (or Spark's own default); driver memory is left to them as well.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     builder = (
-        SparkSession.builder.master(master).appName(app_name)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -27,7 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -38,13 +49,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder, setting a local one only if unset.
+
+    A machine-local folder serves a local master only: on a cluster the other
+    machines could not read it, so there the setting must be given.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all machines of {sc.master} share")
         configured = tempfile.mkdtemp(prefix="loadlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -91,3 +108,85 @@ def stage(df: DataFrame, name: str) -> DataFrame:  # noqa: ARG001 - name documen
     re-reading sources that the job has since rewritten).
     """
     return df.checkpoint(eager=True)
+
+
+def _hadoop_path(spark: SparkSession, path: str) -> tuple:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file exists; any error but its absence is raised."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds."""
+    fs, p = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package wrote."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored table, or an empty one if nothing was ever written there.
+
+    Only absence counts as empty. A table that exists and cannot be read fails
+    the query, so that nothing is ever rebuilt from half of it.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as files in the shared scratch folder, for the time of the block."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
+# ---------------------------------------------------------------- versioned tables
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a table, in order (a version without its marker is not one)."""
+    if not path_exists(spark, path):
+        return []
+    numbers = sorted(int(n[2:]) for n in child_names(spark, path) if n.startswith("v=") and n[2:].isdigit())
+    return [n for n in numbers if path_exists(spark, f"{path}/v={n}/_SUCCESS")]
+
+
+def write_version(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None) -> None:
+    """Replace a table by writing its next version beside the current one.
+
+    Readers see the old version until the new one is complete, so a crash in
+    the write leaves the table as it was. The version before the last is removed.
+    """
+    spark = df.sparkSession
+    done = _versions(spark, path)
+    number = (done[-1] if done else 0) + 1
+    df.write.mode("overwrite").format(fmt).options(**(options or {})).save(f"{path}/v={number}")
+    for old in done[:-1]:
+        delete_path(spark, f"{path}/v={old}")
+
+
+def version_path(spark: SparkSession, path: str) -> str | None:
+    """Folder of the last complete version; None if there is none."""
+    done = _versions(spark, path)
+    return f"{path}/v={done[-1]}" if done else None
+
+
+def read_version(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The last complete version of a table, or an empty one before the first."""
+    last = version_path(spark, path)
+    return spark.createDataFrame([], schema) if last is None else spark.read.schema(schema).parquet(last)

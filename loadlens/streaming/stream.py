@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from loadlens.functions.expr import instant_to_ntz, mean, ntz_to_instant
 from loadlens.operators import tables
 from loadlens.schema import DEFAULT_SOURCE, HOURLY, TIMESERIES_SCHEMA, SeriesSpec
+from loadlens.session import path_exists, read_or_empty
 from loadlens.sources.market_xml import ZONE_KEYS
 
 EVENT_TIME = "event_time"
@@ -139,16 +140,18 @@ def _latest_state(spark: SparkSession, state_path: str, batch_id: int, spec: Ser
     batch id that wrote them: storage stays bounded, and a retried batch still
     finds its predecessor's slot intact.
     """
-    if batch_id == 0:
-        return None
-    try:
-        slots = spark.read.parquet(state_path)
-    except Exception:  # noqa: BLE001 - no state yet
-        return None
+    if batch_id == 0 or not path_exists(spark, state_path):
+        return None  # any other failure to read the state is raised
+    slots = spark.read.schema(_state_schema(spec)).parquet(state_path)
     return (slots.filter((F.col("slot") == (batch_id - 1) % 2) & (F.col("v") == batch_id - 1))
             .select(*spec.keys, spec.time))
 
 
+def _state_schema(spec: SeriesSpec) -> T.StructType:
+    return T.StructType([*[T.StructField(k, T.StringType()) for k in spec.keys], T.StructField(spec.time, T.TimestampNTZType()),
+                         T.StructField("v", T.IntegerType()), T.StructField("slot", T.IntegerType())])
+
+
 def _write_state(state: DataFrame, state_path: str, batch_id: int) -> None:
     (state.withColumn("v", F.lit(batch_id)).withColumn("slot", F.lit(batch_id % 2))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -166,28 +169,28 @@ def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
     Output is written under the batch id and state into an alternating slot
     (dynamic overwrite), so a retried batch replaces its own results:
     exactly-once for the sink, with at most two state versions kept.
-    Gaps are emitted as data arrives, so rows must arrive in time order per
-    zone across micro-batches: a row older than its zone's state is late; it
-    is left out of the gaps (it would fake one) and, with ``late_path``, kept
-    there for inspection.
+    Gaps are emitted as data arrives. A row older than its zone's state is late:
+    it cannot be placed by the state alone, so it is kept and counted under
+    ``late_path`` (``<out_path>-late`` if not given), and :func:`settled_gaps`
+    cuts the gaps already emitted by it.
     """
-    from loadlens.operators.combine import broadcast_if_small
     from loadlens.operators.quality import gap_micros, previous_time
 
     step_us = spec.step_seconds * 1_000_000
+    late_path = late_path or late_rows_path(out_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         pts = batch_pts = batch.select(*spec.keys, spec.time).withColumn("_seed", F.lit(False)).persist()
         prev = _latest_state(spark, state_path, batch_id, spec)
         if prev is not None:
-            # one state row per zone: broadcast after a size check, not a shuffle by zone
-            last = broadcast_if_small(prev.withColumnRenamed(spec.time, "_last"))
+            # one state row per zone: adaptive execution broadcasts it by its size in
+            # bytes, and splits a hot zone's partition of the points where it does not
+            last = prev.withColumnRenamed(spec.time, "_last")
             marked = pts.join(last, list(spec.keys), "left").withColumn(
                 "_late", F.coalesce(F.col(spec.time) < F.col("_last"), F.lit(False)))
-            if late_path is not None:
-                (marked.filter("_late").select(*spec.keys, spec.time).withColumn("batch_id", F.lit(batch_id))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(late_path))
+            (marked.filter("_late").select(*spec.keys, spec.time).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(late_path))
             pts = marked.filter(~F.col("_late")).select(*spec.keys, spec.time, "_seed")
         seeded = pts if prev is None else pts.unionByName(prev.withColumn("_seed", F.lit(True)))
         lagged = previous_time(seeded, spec)
@@ -205,11 +208,52 @@ def gap_detector_sink(spark: SparkSession, state_path: str, out_path: str,
     return write
 
 
+def late_rows_path(out_path: str) -> str:
+    return f"{out_path.rstrip('/')}-late"
+
+
+def late_rows(spark: SparkSession, out_path: str, spec: SeriesSpec = HOURLY, late_path: str | None = None) -> DataFrame:
+    """Rows that came after later ones of their zone (keys and time); count them to see how many."""
+    schema = T.StructType([f for f in _state_schema(spec).fields if f.name not in ("v", "slot")])
+    return read_or_empty(spark, late_path or late_rows_path(out_path), schema).select(*spec.keys, spec.time)
+
+
+def settled_gaps(spark: SparkSession, out_path: str, spec: SeriesSpec = HOURLY, late_path: str | None = None) -> DataFrame:
+    """X5 output in the light of late rows: a gap with late points inside is cut by them.
+
+    Equal to the batch gaps over all rows that have arrived, in whatever order. Late
+    points meet the gaps of their zone by day (a gap covers the days it spans), so no
+    zone is joined as a whole; points that hit no gap change nothing.
+    """
+    from loadlens.functions.expr import floor_to
+    from loadlens.operators.quality import gap_micros, previous_time
+
+    keys, t, prev = list(spec.keys), F.col(spec.time), F.col("previous_time")
+    gaps = read_or_empty(spark, out_path, GAP_SCHEMA).select(*GAP_SCHEMA.fieldNames())
+    late = late_rows(spark, out_path, spec, late_path).distinct().select(
+        *[F.col(k).alias(f"_{k}") for k in keys], t.alias("_late"), floor_to(t, "day").alias("_late_day"))
+    days = gaps.withColumn("_day", F.explode(F.sequence(floor_to(prev, "day"), floor_to(t, "day"), F.expr("INTERVAL 1 DAY"))))
+    hit = days.join(late, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_day") == F.col("_late_day")]).filter(
+        (F.col("_late") > prev) & (F.col("_late") < t)).select(*keys, "previous_time", spec.time, F.col("_late").alias("_at"))
+    same = [F.col(f"g.{c}").eqNullSafe(F.col(f"h.{c}")) for c in (*keys, "previous_time", spec.time)]
+    whole = gaps.alias("g").join(hit.select(*keys, "previous_time", spec.time).distinct().alias("h"), same, "left_anti")
+    ends = hit.select(*keys, F.explode(F.array("previous_time", "_at", spec.time)).alias("_t"), prev.alias("_from"))
+    points = ends.select(*keys, F.col("_from"), F.col("_t").alias(spec.time)).distinct()
+    inner = SeriesSpec(spec.time, (*spec.keys, "_from"), spec.value, spec.source, spec.ingested_at, spec.step, spec.step_seconds)
+    lagged = previous_time(points, inner)
+    diff = gap_micros(prev, t)
+    cut = lagged.filter(prev.isNotNull() & (diff > F.lit(spec.step_seconds * 1_000_000))).select(
+        *keys, "previous_time", spec.time, F.floor(diff / F.lit(1_000_000)).cast("bigint").alias("gap_seconds"))
+    return whole.unionByName(cut)
+
+
 def run_available_now(df: DataFrame, checkpoint: str, sink: str | None = None,
                       foreach_batch: Callable | None = None, mode: str = "append",
-                      state_partitions: int | None = None) -> None:
+                      state_partitions: int | None = None) -> dict[str, int]:
     """Process everything that has arrived, then stop (one incremental run).
 
+    Returns ``rows`` read and ``late_rows``, those that a watermark left out.
+
     ``state_partitions`` fixes the shuffle/state-store partition count a new
     query starts with (it is then kept in the checkpoint); size it to the
     state, since adaptive execution does not resize stateful streaming stages.
@@ -226,5 +270,8 @@ def run_available_now(df: DataFrame, checkpoint: str, sink: str | None = None,
         else:
             q = w.format("parquet").option("path", sink).start()
         q.awaitTermination()
+        progress = q.recentProgress
+        return {"rows": sum(p["numInputRows"] for p in progress),
+                "late_rows": sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])}
     finally:
         spark.conf.set(key, before)

@@ -71,3 +71,23 @@ def test_gap_sink_diverts_late_rows(spark, make_obs, tmp_path):
         (ts("2024-01-01 00:00:00"), ts("2024-01-01 10:00:00")),
         (ts("2024-01-01 11:00:00"), ts("2024-01-01 13:00:00"))]
     assert rows(spark.read.parquet(late), "time_utc") == [(ts("2024-01-01 04:00:00"),)]
+    # the late point cuts the gap that was emitted before it came
+    assert rows(st.settled_gaps(spark, gaps, late_path=late), "previous_time", "time_utc", "gap_seconds") == [
+        (ts("2024-01-01 00:00:00"), ts("2024-01-01 04:00:00"), 14400), (ts("2024-01-01 04:00:00"), ts("2024-01-01 10:00:00"), 21600),
+        (ts("2024-01-01 11:00:00"), ts("2024-01-01 13:00:00"), 7200)]
+
+
+def test_late_rows_are_kept_and_counted_by_default(spark, make_obs, tmp_path):
+    src, ckpt, gaps, state = (str(tmp_path / n) for n in ("src", "ckpt", "gaps", "state"))
+    first = [(f"2024-01-0{d} 00:00:00", "SE", "Z1", 1.0) for d in (1, 5)]
+    late = [(f"2024-01-0{d} 00:00:00", "SE", "Z1", 1.0) for d in (2, 3)] + [("2024-01-02 01:00:00", "SE", "Z1", 1.0)]
+    schema = make_obs(first).schema
+    for b in (first, late):
+        make_obs(b).write.mode("append").parquet(src)
+        seen = st.run_available_now(spark.readStream.schema(schema).parquet(src), ckpt,
+                                    foreach_batch=st.gap_detector_sink(spark, state, gaps))
+        assert seen == {"rows": len(b), "late_rows": 0}
+    assert st.late_rows(spark, gaps).count() == 3
+    from loadlens.operators import quality
+    assert rows(st.settled_gaps(spark, gaps), "previous_time", "time_utc") == rows(
+        quality.time_gaps(make_obs(first + late)), "previous_time", "time_utc")
