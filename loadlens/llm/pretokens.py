@@ -106,6 +106,16 @@ def pieces(part: str) -> list[str] | None:
     return PIECE.findall(part.lower())
 
 
+_KEPT: dict = {}
+
+
+def kept(kind: str, path: str, make: Callable) -> Callable:
+    """``make()``, once for each Python worker: what a task has learnt serves the next."""
+    if (kind, path) not in _KEPT:
+        _KEPT[kind, path] = make()
+    return _KEPT[kind, path]
+
+
 def counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable[[bytes], int]:
     """A function from a text's UTF-8 bytes to its number of tokens."""
     if not splits_words(path):
@@ -115,7 +125,7 @@ def counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable[[byte
     def merged(piece: str) -> int:
         return len(made.encode(piece, add_special_tokens=False).ids)
 
-    rest = Memo(merged)
+    rest = Memo(merged, 400_000)
 
     def part_count(part: bytes) -> int:
         text = part.decode()
@@ -140,7 +150,7 @@ def encoder(path: str, whole: dict[str, int]) -> Callable[[bytes], bytes]:
     def merged(piece: str) -> bytes:
         return packed(made.encode(piece, add_special_tokens=False).ids)
 
-    rest = Memo(merged)
+    rest = Memo(merged, 400_000)
     single = {t: packed([i]) for t, i in whole.items()}
 
     def part_ids(part: bytes) -> bytes:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.pretokens import counter, whole_tokens
+from loadlens.llm.pretokens import counter, kept, whole_tokens
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -28,7 +28,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     whole = docs.sparkSession.sparkContext.broadcast(frozenset(whole_tokens(path)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path, whole.value)
+        count = kept("count", path, lambda: counter(path, whole.value))
         for batch in batches:
             texts = batch.column(1)
             sizes = pa.array([len(t.as_py()) for t in texts], pa.int64())

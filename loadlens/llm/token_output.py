@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.llm.common import prefix_totals
-from loadlens.llm.pretokens import encoder, whole_tokens
+from loadlens.llm.pretokens import encoder, kept, whole_tokens
 
 #: Bits of a chunk, bits between two entries of a rank directory, tokens after which a block ends.
 CHUNK, STEP, BLOCK_TOKENS = 8, 512, 1 << 18
@@ -88,7 +88,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, whole.value)
+        encode = kept("ids", path, lambda: encoder(path, whole.value))
         part, before, names, ends, data, n = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -126,8 +126,8 @@ def open_tokens(spark: SparkSession, out: str) -> DataFrame:
     """The blocks of a set of files, with ``start``, the number of ids in all blocks before."""
     blocks = spark.read.schema(FILE_SCHEMA).parquet(out)
     sizes = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    parts = prefix_totals(sizes, "part", "n", "part_start").drop("n")  # a row for each file
-    return blocks.join(parts, "part").withColumn("start", F.col("part_start") + F.col("before")).drop("part_start")
+    parts = prefix_totals(sizes, "part", "n", "part_start").drop("n")  # a row for each range partition of the writer
+    return blocks.join(F.broadcast(parts), "part").withColumn("start", F.col("part_start") + F.col("before")).drop("part_start")
 
 
 def read_documents(spark: SparkSession, out: str) -> DataFrame:
