@@ -86,7 +86,7 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
     that exists and cannot be read fails the call before anything is written.
     """
     incoming = incoming.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
-    schema = incoming.drop(order_col).schema if order_col else incoming.schema
+    schema = incoming.schema
     # within each file, rows sorted by (zone keys, time): row-group statistics then
     # let later zone/time filters skip data (the reference's (zone, time) index)
     layout = [k for k in keys if k != time_col] + [time_col]

@@ -75,6 +75,15 @@ def q_clean_hourly(spark, sf):
     return clean_obs(spark, sf)
 
 
+@query("clean_hourly_labelled")
+def q_clean_hourly_labelled(spark, sf):
+    """G1 with a real, partly null source label (from the event's properties) and null zones."""
+    o = td.obs(spark, sf, with_order=True).withColumns({
+        "source": F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("src"), (F.col("event_id") % 7).cast("string"))),
+        "bidding_zone": F.when(F.col("event_id") % 11 != 0, F.col("bidding_zone"))}).drop("event_id")
+    return clean_ops.clean_series(o, HOURLY, "hour", exact_scale=EXACT)
+
+
 @query("daily_summary")
 def q_daily_summary(spark, sf):
     return analytics.daily_summary(clean_obs(spark, sf), exact_scale=EXACT)

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions.expr import mean
-from loadlens.operators import analytics, clean as clean_ops, quality
+from loadlens.operators import analytics, clean as clean_ops, quality, tables
 from loadlens.plans import ingest
+from loadlens.schema import HOURLY, STATE_SCHEMA
 from loadlens.plans.catalog import EXACT, _hour_halves, clean_obs, marks_from, query, _assertions
-from loadlens.session import scratch_path
+from loadlens.session import read_version, scratch_path, version_path
 from loadlens.sources import market_xml as mx
 from loadlens.sources import publish as pub
 from loadlens.sources import testdata as td
@@ -115,6 +116,15 @@ def q_quarter_chunks(spark, sf):
         "chunk_start_utc", "chunk_end_utc", "period_start", "period_end")
 
 
+@query("quarter_chunks_full")
+def q_quarter_chunks_full(spark, sf):
+    """I3 over the whole, unresumed range of every zone: many quarters each."""
+    windows = ingest.effective_window(ingest.request_window(ingest.default_requests(td.orders_obs(spark, sf))),
+                                      spark.createDataFrame([], STATE_SCHEMA))
+    return ingest.quarter_chunks(windows).select(
+        "country_code", "bidding_zone", "chunk_start_utc", "chunk_end_utc", "period_start", "period_end")
+
+
 # ------------------------------------------------------------------ publish
 
 @query("publish_select")
@@ -127,7 +137,7 @@ def q_publish_roundtrip(spark, sf):
     path = scratch_path(spark, "publish")
     daily = analytics.daily_summary(clean_obs(spark, sf), exact_scale=EXACT)
     pub.publish(daily, "daily_load_summary", path, sort_within=["country_code", "bidding_zone", "load_date"])
-    return pub.read_table(spark, path)
+    return pub.read_published(spark, path, "daily_load_summary")
 
 
 @query("export_ndjson")
@@ -174,7 +184,7 @@ def q_zone_metrics_published(spark, sf):
     """The zone-metrics job reading the published clean table through the connector path."""
     src, out = scratch_path(spark, "clean-pub"), scratch_path(spark, "zone-metrics")
     pub.publish(clean_obs(spark, sf), "energy_load_clean", src)
-    pub.zone_metrics_job(spark, src, out, exact_scale=EXACT)
+    pub.zone_metrics_job(spark, version_path(spark, src), out, exact_scale=EXACT)
     return pub.read_table(spark, out)
 
 
@@ -185,6 +195,19 @@ def q_reconciliation_by_zone(spark, sf):
                                   by_zone=True)
 
 
+def three_runs(spark: SparkSession, sf: str):
+    """The incremental ingest job run three times over landed XML: the first week per zone,
+    two weeks, then the whole range, each resuming by the marks and resolutions before."""
+    from loadlens.plans.pipeline import IngestPaths, ingest as ingest_job
+    root = scratch_path(spark, "ingest")
+    paths = IngestPaths(landing(spark, sf), f"{root}/raw", f"{root}/marks", f"{root}/ledger")
+    full = ingest.default_requests(td.obs(spark, sf)).drop("pipeline_name")
+    for day, days in enumerate((6, 13, None), start=1):
+        part = full if days is None else full.withColumn("end_date", F.date_format(F.date_add(F.to_date("start_date"), days), "yyyy-MM-dd"))
+        ingest_job(spark, part, paths, now=F.lit(f"2025-01-0{day} 00:00:00").cast("timestamp_ntz"))
+    return paths
+
+
 @query("ingest_incremental")
 def q_ingest_incremental(spark, sf):
     """The incremental ingest job run twice over landed XML: first two weeks per zone,
@@ -200,6 +223,48 @@ def q_ingest_incremental(spark, sf):
     return spark.read.parquet(paths.raw).drop("month")
 
 
+@query("ingest_ledger")
+def q_ingest_ledger(spark, sf):
+    """The ledger of three incremental ingest runs: windows, counts and resolutions of each."""
+    from loadlens.schema import RUN_EVENT_SCHEMA
+    events = spark.read.schema(RUN_EVENT_SCHEMA).parquet(three_runs(spark, sf).ledger)
+    return tables.ledger_latest(events).select(
+        "country_code", "bidding_zone", "started_at_utc", "status", "requested_start_utc", "requested_end_utc", "rows_seen",
+        "rows_inserted", "min_event_time_utc", "max_event_time_utc", "resolution_detected", "source_timeseries_count")
+
+
+@query("ingest_marks")
+def q_ingest_marks(spark, sf):
+    """The marks that three incremental ingest runs leave."""
+    return read_version(spark, three_runs(spark, sf).marks, STATE_SCHEMA)
+
+
+@query("ingest_first_writer")
+def q_ingest_first_writer(spark, sf):
+    """S3 in the job: two documents of each zone-day with other values; the first in order wins."""
+    from loadlens.plans.pipeline import IngestPaths, ingest as ingest_job
+    root = scratch_path(spark, "first-writer")
+    hourly = clean_obs(spark, sf).select("time_utc", "country_code", "bidding_zone", "load_mw").withColumn("resolution", F.lit("PT60M"))
+    for copy in (0, 1):  # the folder's name, hence the file's, gives the order
+        docs = mx.to_documents(hourly.withColumn("load_mw", F.col("load_mw") + 1000 * copy))
+        (docs.withColumn("copy", F.lit(copy)).write.mode("append").partitionBy(*mx.ZONE_KEYS, "copy").format("xml")
+         .option("rowTag", "TimeSeries").option("rootTag", mx.DOCUMENT_ROOT).save(f"{root}/landing"))
+    paths = IngestPaths(f"{root}/landing", f"{root}/raw", f"{root}/marks", f"{root}/ledger")
+    ingest_job(spark, ingest.default_requests(td.obs(spark, sf)).drop("pipeline_name"), paths,
+               now=F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))
+    return spark.read.parquet(paths.raw).select("time_utc", "country_code", "bidding_zone", "load_mw")
+
+
+@query("upsert_table_persisted")
+def q_upsert_table_persisted(spark, sf):
+    """S4 on files: both halves of the observations upserted by hour, keys repeated inside each batch."""
+    path = scratch_path(spark, "upsert")
+    rows = td.obs_hour(spark, sf, with_order=True)
+    for first in (True, False):
+        tables.upsert_table(spark, td.split_half(rows, spark, sf, first), path, HOURLY.key_time, order_col="event_id")
+    return spark.read.parquet(path).select(*HOURLY.key_time, "load_mw", "event_id")
+
+
 @query("published_objects")
 def q_published_objects(spark, sf):
     """S14 + S10: build every layer from the mapped tables, publish all 15 objects with
@@ -210,9 +275,9 @@ def q_published_objects(spark, sf):
     from loadlens.plans.pipeline import build_layers, publish_all
     from loadlens.schema import PUBLISH_SCHEMAS
     root = scratch_path(spark, "published")
-    layers = build_layers(td.obs(spark, sf), ledger(spark, sf), exact_scale=EXACT)
+    layers = build_layers(td.obs(spark, sf), ledger(spark, sf), exact_scale=EXACT, marks=marks_from(td.obs_hour(spark, sf)))
     publish_all(layers, root)
-    counts = [pub.read_table(spark, f"{root}/{name}").agg(F.count(F.lit(1)).alias("row_count"))
+    counts = [pub.read_published(spark, f"{root}/{name}", name).agg(F.count(F.lit(1)).alias("row_count"))
               .select(F.lit(name).alias("object_name"), "row_count") for name in PUBLISH_SCHEMAS]
     for df in layers.values():
         df.unpersist()

@@ -175,7 +175,7 @@ SQL["published_objects"] = with_(OBS, OBS_HOUR, CLEAN, BOUNDS.format(src="clean"
 SELECT 'energy_load_raw' AS object_name, COUNT(*) AS row_count FROM obs
 UNION ALL SELECT 'energy_load_clean', COUNT(*) FROM clean
 UNION ALL SELECT 'pipeline_runs', COUNT(*) FROM ledger
-UNION ALL SELECT 'pipeline_state', 0
+UNION ALL SELECT 'pipeline_state', COUNT(*) FROM (SELECT DISTINCT country_code, bidding_zone FROM obs_hour)
 UNION ALL SELECT 'dq_time_gaps', COUNT(*) FROM gaps
 UNION ALL SELECT 'dq_missing_hours', COUNT(*) FROM missing
 UNION ALL SELECT 'dq_invalid_loads', COUNT(*) FROM clean WHERE load_mw IS NULL OR load_mw < 0
@@ -189,3 +189,66 @@ UNION ALL SELECT 'daily_load_curve_profile', COUNT(*) FROM (SELECT DISTINCT coun
                                                                extract(hour FROM time_utc) FROM clean)
 UNION ALL SELECT 'mart_energy_system_metrics', COUNT(*) FROM wide
 UNION ALL SELECT 'mart_energy_system_metrics_long', 12 * COUNT(*) FROM wide"""
+
+# ------------------------------------------------------------------ three ingest runs, one after another
+
+SQL["quarter_chunks_full"] = with_(ORDERS_OBS) + """
+SELECT country_code, bidding_zone, greatest(q, lo) AS chunk_start_utc,
+       least(q + INTERVAL 3 MONTH, hi + INTERVAL 1 DAY) - INTERVAL 1 HOUR AS chunk_end_utc,
+       strftime(greatest(q, lo), '%Y%m%d%H%M') AS period_start,
+       strftime(least(q + INTERVAL 3 MONTH, hi + INTERVAL 1 DAY), '%Y%m%d%H%M') AS period_end
+FROM (SELECT country_code, bidding_zone, lo, hi, unnest(generate_series(date_trunc('quarter', lo), hi, INTERVAL 3 MONTH)) AS q
+      FROM (SELECT country_code, bidding_zone, date_trunc('day', min(time_utc)) AS lo, date_trunc('day', max(time_utc)) AS hi
+            FROM orders_obs GROUP BY ALL))"""
+
+ZONES = """zones AS (
+  SELECT country_code, bidding_zone, date_trunc('day', min(time_utc)) AS first_day, date_trunc('day', max(time_utc)) AS last_day
+  FROM obs GROUP BY ALL),
+m0 AS (SELECT country_code, bidding_zone, CAST(NULL AS TIMESTAMP) AS mark, INTERVAL 1 HOUR AS step FROM zones)"""
+
+
+def run_sql(k: int, end: str) -> str:
+    """Run ``k``: its window by the mark and step that run ``k - 1`` left, and what it asks for and gets."""
+    inside = ("x.country_code = w.country_code AND x.bidding_zone = w.bidding_zone AND w.s <= w.e "
+              "AND x.time_utc >= w.s AND x.time_utc < w.e + INTERVAL 1 HOUR")
+    near = ("x.country_code = w.country_code AND x.bidding_zone = w.bidding_zone AND w.s <= w.e "
+            "AND x.period_start + INTERVAL 1 DAY > w.s AND x.period_start < w.e + INTERVAL 1 HOUR")
+    return f"""w{k} AS (
+  SELECT z.country_code, z.bidding_zone, greatest(z.first_day, coalesce(m.mark + m.step, z.first_day)) AS s, {end} + INTERVAL 23 HOUR AS e
+  FROM zones z JOIN m{k - 1} m USING (country_code, bidding_zone)),
+r{k} AS (
+  SELECT w.*, TIMESTAMP '2025-01-0{k} 00:00:00' AS started, (SELECT count(*) FROM points x WHERE {inside}) AS n,
+         (SELECT min(x.time_utc) FROM points x WHERE {inside}) AS lo, (SELECT max(x.time_utc) FROM points x WHERE {inside}) AS hi,
+         (SELECT string_agg(DISTINCT x.resolution, ',' ORDER BY x.resolution) FROM periods x WHERE {near}) AS res,
+         (SELECT count(*) FROM periods x WHERE {near}) AS series
+  FROM w{k} w),
+m{k} AS (
+  SELECT r.country_code, r.bidding_zone, coalesce(r.hi, m.mark) AS mark,
+         CASE WHEN r.res LIKE '%PT15M%' THEN INTERVAL 15 MINUTE ELSE INTERVAL 1 HOUR END AS step
+  FROM r{k} r JOIN m{k - 1} m USING (country_code, bidding_zone))"""
+
+
+RUNS = [*LANDED, ZONES, run_sql(1, "z.first_day + INTERVAL 6 DAY"), run_sql(2, "z.first_day + INTERVAL 13 DAY"), run_sql(3, "z.last_day"),
+        "runs AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3)"]
+
+SQL["ingest_ledger"] = with_(*RUNS) + """
+SELECT country_code, bidding_zone, started AS started_at_utc, 'success' AS status, s AS requested_start_utc, e AS requested_end_utc,
+       CAST(n AS INTEGER) AS rows_seen, CAST(n AS INTEGER) AS rows_inserted, lo AS min_event_time_utc, hi AS max_event_time_utc,
+       res AS resolution_detected, CAST(series AS INTEGER) AS source_timeseries_count
+FROM runs"""
+
+SQL["ingest_marks"] = with_(*RUNS) + """
+SELECT 'load_batch_ingestion' AS pipeline_name, country_code, bidding_zone, max(hi) AS last_ingested_at_utc, max(started) AS updated_at_utc
+FROM runs WHERE n > 0 GROUP BY ALL"""
+
+SQL["ingest_first_writer"] = with_(OBS, CLEAN) + "SELECT time_utc, country_code, bidding_zone, load_mw FROM clean"
+
+SQL["upsert_table_persisted"] = with_(OBS, OBS_HOUR) + """
+SELECT time_utc, country_code, bidding_zone, arg_max(load_mw, event_id) AS load_mw, max(event_id) AS event_id
+FROM obs_hour GROUP BY ALL"""
+
+SQL["clean_hourly_labelled"] = with_(OBS) + f"""
+SELECT date_trunc('hour', time_utc) AS time_utc, country_code, if(event_id % 11 = 0, NULL, bidding_zone) AS bidding_zone,
+       {_avg('load_mw')} AS load_mw, coalesce(max('src' || (event_id % 7)) FILTER (WHERE event_id % 3 <> 0), 'ENTSO-E') AS source,
+       max(ingested_at) AS ingested_at
+FROM obs WHERE load_mw >= 0 GROUP BY 1, 2, 3"""

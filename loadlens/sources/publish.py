@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.schema import PUBLISH_ORDER, PUBLISH_SCHEMAS
+from loadlens.session import version_path, write_version
 
 
 def declared_select(df: DataFrame, object_name: str, order: bool = False) -> DataFrame:
@@ -28,16 +29,27 @@ def declared_select(df: DataFrame, object_name: str, order: bool = False) -> Dat
 
 def publish(df: DataFrame, object_name: str, path: str, fmt: str = "parquet",
             options: dict | None = None, sort_within: list[str] | None = None) -> None:
-    """Full refresh of one object with its declared schema.
-
-    An empty result still replaces the target with an empty, schema-bearing
-    table. ``sort_within`` lays rows out for row-group statistics without a
-    global sort.
+    """S10 + T4: full refresh of one object with its declared schema and order.
+
+    The new rows are written as the next version beside the current one, which
+    readers (:func:`read_published`) see until the write is complete: a failed
+    refresh leaves the object as it was. An empty result still replaces the
+    target with an empty, schema-bearing version. Objects with a declared order
+    are range-sorted by it; ``sort_within`` lays the rows of other objects out for
+    row-group statistics without a global sort.
     """
-    out = declared_select(df, object_name)
+    out = declared_select(df, object_name, order=not sort_within)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
-    out.write.mode("overwrite").format(fmt).options(**(options or {})).save(path)
+    write_version(out, path, fmt, options)
+
+
+def read_published(spark: SparkSession, path: str, object_name: str, fmt: str = "parquet",
+                   options: dict | None = None) -> DataFrame:
+    """The current version of a published object."""
+    schema = PUBLISH_SCHEMAS[object_name]
+    last = version_path(spark, path)
+    return spark.createDataFrame([], schema) if last is None else read_table(spark, last, fmt, options, schema)
 
 
 def iso_text(c: Column, dtype: T.DataType) -> Column:

@@ -29,12 +29,12 @@ def test_run_pipeline_publishes_all_objects(spark, tmp_path):
     layers = pipeline.run_pipeline(spark, raw_path, ledger_path, str(tmp_path / "clean"), publish_root=out)
     assert set(PUBLISH_SCHEMAS) <= set(layers)
     for name, schema in PUBLISH_SCHEMAS.items():
-        back = spark.read.parquet(f"{out}/{name}")
+        back = pub.read_published(spark, f"{out}/{name}", name)
         assert back.schema.fieldNames() == schema.fieldNames(), name
-    gaps = spark.read.parquet(f"{out}/dq_time_gaps").collect()
+    gaps = pub.read_published(spark, f"{out}/dq_time_gaps", "dq_time_gaps").collect()
     assert len(gaps) == 1 and gaps[0]["gap_interval"] == "03:00:00"
-    assert spark.read.parquet(f"{out}/dq_invalid_loads").count() == 0  # empty object still written
-    status = spark.read.parquet(f"{out}/dq_pipeline_status").first()
+    assert pub.read_published(spark, f"{out}/dq_invalid_loads", "dq_invalid_loads").count() == 0  # empty object still written
+    status = pub.read_published(spark, f"{out}/dq_pipeline_status", "dq_pipeline_status").first()
     assert status["pipeline_status"] == "HEALTHY" and status["missing_hours"] == 2
 
 
