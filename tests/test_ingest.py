@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loadlens.plans import ingest
 from loadlens.plans.pipeline import IngestPaths, ingest as ingest_job
 from loadlens.schema import STATE_SCHEMA
+from loadlens.session import read_version
 from loadlens.sources import market_xml as mx
 
 NS_DOC = """<?xml version="1.0" encoding="UTF-8"?>
@@ -200,3 +201,89 @@ def test_ingest_resumes_by_resolution_seen(spark, tmp_path):
                         paths, now=F.lit("2025-01-02 00:00:00").cast("timestamp_ntz")).first()
     assert second["requested_start_utc"] == ts("2024-03-02 00:00:00") and second["rows_inserted"] == 96
     assert spark.read.parquet(paths.raw).count() == 192
+
+
+def _run(spark, paths, zones, start, end, day=1):
+    schema = "country_code string, bidding_zone string, start_date string, end_date string"
+    req = spark.createDataFrame([("SE", z, start, end) for z in zones], schema)
+    return {r["bidding_zone"]: r for r in ingest_job(
+        spark, req, paths, now=F.lit(f"2025-01-0{day} 00:00:00").cast("timestamp_ntz")).collect()}
+
+
+def _paths(tmp_path):
+    return IngestPaths(*(str(tmp_path / n) for n in ("landing", "raw", "marks", "ledger")))
+
+
+def _series(day, res, n, value=1.0, name="s"):
+    pts = "".join(f"<Point><position>{p}</position><quantity>{value}</quantity></Point>" for p in range(1, n + 1))
+    return (f"<TimeSeries><mRID>{name}</mRID><Period><timeInterval><start>2024-03-0{day}T00:00Z</start>"
+            f"<end>2024-03-0{day + 1}T00:00Z</end></timeInterval><resolution>{res}</resolution>{pts}</Period></TimeSeries>")
+
+
+def test_one_bad_zone_fails_alone(spark, tmp_path):
+    paths = _paths(tmp_path)
+    good, bad = _series(1, "PT60M", 24), _series(1, "PT60M", 24).replace("<quantity>1.0", "<quantity>1x", 1)
+    _write(paths.landing, "country_code=SE/bidding_zone=Z1", "a.xml", NS_DOC.format(body=good))
+    _write(paths.landing, "country_code=SE/bidding_zone=Z2", "a.xml", NS_DOC.format(body=good)[:-60])
+    _write(paths.landing, "country_code=SE/bidding_zone=Z3", "a.xml", NS_DOC.format(body=bad))
+    _write(paths.landing, "country_code=SE/bidding_zone=Z4", "a.xml", NS_DOC.format(body=_series(1, "PT5M", 3)))
+    got = _run(spark, paths, ["Z1", "Z2", "Z3", "Z4", "Z5"], "2024-03-01", "2024-03-02")
+    assert {z: r["status"] for z, r in got.items()} == {"Z1": "success", "Z2": "failed", "Z3": "failed", "Z4": "failed", "Z5": "success"}
+    assert (got["Z1"]["rows_seen"], got["Z1"]["rows_inserted"], got["Z5"]["rows_seen"]) == (24, 24, 0)
+    assert (got["Z3"]["rows_seen"], got["Z3"]["rows_inserted"]) == (23, 0)
+    assert "malformed document: a.xml" in got["Z2"]["error_message"] and "1x" in got["Z3"]["error_message"]
+    assert "Unsupported resolution PT5M" in got["Z4"]["error_message"]
+    assert {r["bidding_zone"] for r in spark.read.parquet(paths.raw).collect()} == {"Z1"}
+    assert [r["bidding_zone"] for r in read_version(spark, paths.marks, STATE_SCHEMA).collect()] == ["Z1"]
+
+
+def test_window_decides_series_resolution_and_resume(spark, tmp_path):
+    paths = _paths(tmp_path)
+    for day, res, n in ((1, "PT15M", 96), (2, "PT60M", 24), (3, "PT60M", 24)):
+        _write(paths.landing, "country_code=SE/bidding_zone=Z1/quarter=2024Q1", f"{day}.xml", NS_DOC.format(body=_series(day, res, n)))
+    _write(paths.landing, "country_code=SE/bidding_zone=Z1/quarter=2024Q2", "bad.xml", "<broken")
+    got = [_run(spark, paths, ["Z1"], "2024-03-01", f"2024-03-0{d}", d)["Z1"] for d in (1, 2, 3)]
+    assert [(r["resolution_detected"], r["source_timeseries_count"], r["rows_inserted"]) for r in got] == [
+        ("PT15M", 1, 96), ("PT60M", 1, 24), ("PT60M", 1, 24)]
+    assert [r["requested_start_utc"] for r in got] == [ts(f"2024-03-0{d} 00:00:00") for d in (1, 2, 3)]
+
+
+def test_only_requested_quarters_are_listed(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    for q in ("2023Q4", "2024Q1", "2024Q2"):
+        _write(root, f"country_code=SE/bidding_zone=Z1/quarter={q}", "a.xml", NS_DOC.format(body=_series(1, "PT60M", 2)))
+    w = ingest.effective_window(ingest.request_window(_requests(spark, "2024-01-01", "2024-03-31")), _marks(spark, None))
+    folders = mx.requested_folders(spark, root, ingest.quarter_chunks(w))
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["quarter=2024Q1"]
+    assert mx.read_documents(spark, folders, strict=False, base_path=root).count() == 1
+
+
+def test_first_document_wins(spark, tmp_path):
+    paths = _paths(tmp_path)
+    for i in range(8):
+        _write(paths.landing, "country_code=SE/bidding_zone=Z1", f"{i}.xml", NS_DOC.format(body=_series(1, "PT60M", 24, value=float(i))))
+    conf = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assert _run(spark, paths, ["Z1"], "2024-03-01", "2024-03-01")["Z1"]["rows_inserted"] == 24
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["load_mw"] for r in spark.read.parquet(paths.raw).collect()} == {0.0}
+
+
+def test_unreadable_marks_fail_and_stay(spark, tmp_path):
+    paths = _paths(tmp_path)
+    _write(paths.landing, "country_code=SE/bidding_zone=Z1", "a.xml", NS_DOC.format(body=_series(1, "PT60M", 24)))
+    _run(spark, paths, ["Z1"], "2024-03-01", "2024-03-01")
+    [part] = [f for f in os.listdir(f"{paths.marks}/v=1") if f.endswith(".parquet")][:1]
+    healthy = open(f"{paths.marks}/v=1/{part}", "rb").read()
+    with open(f"{paths.marks}/v=1/{part}", "wb") as fh:
+        fh.write(b"not parquet")
+    with pytest.raises(Exception):
+        _run(spark, paths, ["Z1"], "2024-03-01", "2024-03-02", 2)
+    assert os.listdir(paths.marks) == ["v=1"] or "v=2" not in os.listdir(paths.marks)
+    with open(f"{paths.marks}/v=1/{part}", "wb") as fh:
+        fh.write(healthy)
