@@ -282,3 +282,18 @@ def q_published_objects(spark, sf):
     for df in layers.values():
         df.unpersist()
     return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@query("materialised_fact")
+def q_materialised_fact(spark, sf):
+    """The daily fact as a table in the catalog, read back by its name."""
+    daily = analytics.daily_summary(clean_obs(spark, sf), exact_scale=EXACT)
+    return pub.materialise(spark, daily, "loadlens_daily_fact", "table", path=scratch_path(spark, "fact"))
+
+
+@query("bootstrap_raw")
+def q_bootstrap_raw(spark, sf):
+    """The typed empty raw table, then all observations appended with the table's defaults."""
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    rows = tables.with_ingest_default(td.obs(spark, sf).drop("ingested_at", "source"), now)
+    return tables.bootstrap(spark)["energy_load_raw"].unionByName(rows)

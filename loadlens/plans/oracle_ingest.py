@@ -252,3 +252,7 @@ SELECT date_trunc('hour', time_utc) AS time_utc, country_code, if(event_id % 11
        {_avg('load_mw')} AS load_mw, coalesce(max('src' || (event_id % 7)) FILTER (WHERE event_id % 3 <> 0), 'ENTSO-E') AS source,
        max(ingested_at) AS ingested_at
 FROM obs WHERE load_mw >= 0 GROUP BY 1, 2, 3"""
+
+SQL["materialised_fact"] = SQL["daily_summary"]
+SQL["bootstrap_raw"] = with_(OBS) + """
+SELECT time_utc, country_code, bidding_zone, load_mw, source, TIMESTAMP '2025-01-01 00:00:00' AS ingested_at FROM obs"""

@@ -18,7 +18,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", 8, app_name="loadlens-tests")
+    s = build_session("local[*]", 8, app_name="loadlens-tests", extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()
 
