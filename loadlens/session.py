@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Scratch folders of this process that have not been released.
+_SCRATCH: list[str] = []
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -70,7 +72,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/loadlens-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/loadlens-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder handed out so far; results that still read one must be consumed before."""
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
 
 
 def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1,
@@ -154,6 +164,7 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         delete_path(spark, path)
+        _SCRATCH.remove(path)
 
 
 # ---------------------------------------------------------------- versioned tables

@@ -99,6 +99,17 @@ def test_staged_files_go(spark):
     assert read_or_empty(spark, path, spark.range(1).schema).count() == 0
 
 
+def test_released_scratch_is_gone(spark):
+    from loadlens import session
+    path = scratch_path(spark, "z")
+    spark.range(1).write.parquet(path)
+    others = session._SCRATCH[:-1]
+    session._SCRATCH[:] = [path]
+    session.release_scratch(spark)
+    session._SCRATCH[:] = others
+    assert not session.path_exists(spark, path)
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_large_loads_fail_instead_of_vanishing(spark, ansi):
     df = spark.createDataFrame([(1e13,), (2.0,)], "v double")
