@@ -164,7 +164,8 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         delete_path(spark, path)
-        _SCRATCH.remove(path)
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
 
 
 # ---------------------------------------------------------------- versioned tables
