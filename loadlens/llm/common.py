@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loadlens.session import scratch_path
+from loadlens.session import delete_path, scratch_path
 
 #: ASCII white space, the separator of the word-based contracts.
 SPACE = r"\x20\x09-\x0D"
@@ -18,7 +18,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Lineage ends at the files, so a lost executor never recomputes what came
     before, and both reads of a table that is used twice see the same rows.
     """
-    path = scratch_path(df.sparkSession, name)
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -53,10 +56,14 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = edges.select("a", "b").where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = stored(e, "edges")
+    spark = edges.sparkSession
+    path = scratch_path(spark, "edges")
+    e = _written(e, path)
     mark = _edge_mark(e)
     while True:
-        e = stored(_star(_star(e, large=True), large=False), "edges")
+        before, path = path, scratch_path(spark, "edges")
+        e = _written(_star(_star(e, large=True), large=False), path)
+        delete_path(spark, before)  # a round needs only the one before
         now = _edge_mark(e)
         if now == mark:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

@@ -37,7 +37,7 @@ from loadlens.llm.common import components, shuffle_width, stored
 
 SEED, BITS = 42, 64
 #: Most fingerprints of a key in one piece; pairs of nodes joined at once; a node pair of at most so many pairs is compared directly.
-PIECE, FRONTIER, LEAF = 4096, 1 << 18, 64
+PIECE, FRONTIER, LEAF = 4096, 1 << 15, 64
 
 
 # ------------------------------------------------------------------ fingerprints
