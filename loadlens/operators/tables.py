@@ -16,6 +16,7 @@ from loadlens.session import read_or_empty, staged
 from loadlens.schema import (CLEAN_SCHEMA, ERROR_MESSAGE_MAX, RAW_SCHEMA, RUN_EVENT_SCHEMA,
                              RUN_LEDGER_SCHEMA, RUN_STATUSES, STATE_SCHEMA)
 
+ZONE_PART = "zone_part"
 MARK_KEYS = ["pipeline_name", "country_code", "bidding_zone"]
 
 
@@ -76,16 +77,23 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
 
 def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
                  partition_col: str = "month", time_col: str = "time_utc",
-                 order_col: str | None = None) -> DataFrame:
+                 order_col: str | None = None, zone_parts: int = 0) -> DataFrame:
     """Persist an upsert into a Parquet table partitioned by month of ``time_col``.
 
     Only the months the batch touches are read and rewritten (dynamic partition
     overwrite): their bounds prune the scan as literals, and a semi-join selects
-    them. The merged rows are staged in the shared folder first, so the write
+    them. With ``zone_parts`` the months are further partitioned by a hash of the
+    other keys (column ``zone_part``, the same number on every call), so that a
+    small batch rewrites a part of a month and not the month of all zones. The merged rows are staged in the shared folder first, so the write
     never reads the files it replaces; the staged files go afterwards. A table
     that exists and cannot be read fails the call before anything is written.
     """
     incoming = incoming.withColumn(partition_col, F.date_format(time_col, "yyyy-MM"))
+    parts = [partition_col]
+    if zone_parts:
+        parts.append(ZONE_PART)
+        incoming = incoming.withColumn(ZONE_PART, F.pmod(
+            F.xxhash64(*[k for k in keys if k != time_col]), F.lit(zone_parts)).cast("int"))
     schema = incoming.schema
     # within each file, rows sorted by (zone keys, time): row-group statistics then
     # let later zone/time filters skip data (the reference's (zone, time) index)
@@ -94,14 +102,14 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
         lo, hi = batch.agg(F.min(partition_col), F.max(partition_col)).first()
         if lo is None:  # nothing to write but the table itself
             return read_or_empty(spark, path, schema)
-        touched = batch.select(partition_col).distinct()
+        touched = batch.select(*parts).distinct()
         existing = (read_or_empty(spark, path, schema)
                     .filter(F.col(partition_col).between(lo, hi))
-                    .join(touched, partition_col, "left_semi").select(*schema.fieldNames()))
+                    .join(touched, parts, "left_semi").select(*schema.fieldNames()))
         with staged(upsert(existing, batch, keys, order_col), "upsert-merged") as merged:
             (merged.sortWithinPartitions(*layout)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(partition_col).parquet(path))
+             .partitionBy(*parts).parquet(path))
     return spark.read.schema(schema).parquet(path)
 
 

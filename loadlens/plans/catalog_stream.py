@@ -73,7 +73,7 @@ def q_stream_clean_hourly(spark, sf):
                              state_partitions=_state_partitions(spark))
 
     _replay(spark, obs, "clean", _parquet_slice, run)
-    return spark.read.parquet(table).drop("month")
+    return spark.read.parquet(table).drop("month", "zone_part")
 
 
 @query("stream_time_gaps")

@@ -111,7 +111,8 @@ def publish_all(layers: dict[str, DataFrame], root: str, fmt: str = "parquet",
 def run_pipeline(spark: SparkSession, raw_path: str, ledger_path: str, clean_path: str,
                  publish_root: str | None = None, spec: SeriesSpec = HOURLY,
                  profile: quality.AssertionProfile = quality.TOLERANT,
-                 marks_path: str | None = None, months: list[str] | None = None) -> dict[str, DataFrame]:
+                 marks_path: str | None = None, months: list[str] | None = None,
+                 zone_parts: int = 16) -> dict[str, DataFrame]:
     """The flow: upsert clean from raw, build DQ/analytics/mart, gate, publish.
 
     ``months`` (yyyy-MM), if given, are those that the ingest run touched: only they
@@ -122,7 +123,7 @@ def run_pipeline(spark: SparkSession, raw_path: str, ledger_path: str, clean_pat
     ledger = tables.ledger_latest(spark.read.schema(RUN_EVENT_SCHEMA).parquet(ledger_path))
     changed = raw if months is None else raw.filter(F.date_format(spec.time, "yyyy-MM").isin(months))
     fresh = clean_ops.clean_series(changed, spec)
-    clean = tables.upsert_table(spark, fresh, clean_path, spec.key_time).drop("month")
+    clean = tables.upsert_table(spark, fresh, clean_path, spec.key_time, zone_parts=zone_parts).drop("month", tables.ZONE_PART)
     # clean is a table by now: nothing needs to be kept on the executors
     layers = build_layers(raw, ledger, clean=clean, spec=spec, profile=profile, persist=False, marks=marks)
     quality.dq_gate(layers["dq_assertions"])

@@ -111,14 +111,17 @@ def dedupe_sink(spark: SparkSession, state_path: str, out_path: str, spec: Serie
     return write
 
 
-def upsert_sink(spark: SparkSession, path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that upserts every micro-batch into a table."""
+def upsert_sink(spark: SparkSession, path: str, keys: list[str], zone_parts: int = 16) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that upserts every micro-batch into a table.
+
+    The table is partitioned by (month, zone part), so a batch rewrites only the parts it touches.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001
         # the upsert reads the batch more than once; keep one evaluation of it
         rows = batch.persist()
         try:
             if not rows.isEmpty():  # watermark-only (no-data) batches change nothing
-                tables.upsert_table(spark, rows, path, keys)
+                tables.upsert_table(spark, rows, path, keys, zone_parts=zone_parts)
         finally:
             rows.unpersist()
     return write

@@ -48,6 +48,16 @@ def test_untouched_months_are_neither_read_nor_rewritten(spark, make_obs, tmp_pa
     assert spark.read.parquet(f"{path}/month=2024-01").count() == 2 and spark.read.parquet(f"{path}/month=2024-03").count() == 2
 
 
+def test_only_touched_zone_parts_are_rewritten(spark, make_obs, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert_table(spark, make_obs([("2024-01-01 00:00:00", "SE", f"Z{i}", 1.0) for i in range(40)]), path, KEYS, zone_parts=8)
+    before = set(_parquet_files(path))
+    out = tables.upsert_table(spark, make_obs([("2024-01-01 00:00:00", "SE", "Z7", 9.0), ("2024-01-02 00:00:00", "SE", "Z7", 2.0)]), path, KEYS, zone_parts=8)
+    kept = before & set(_parquet_files(path))
+    assert len({f.split("/zone_part=")[1].split("/")[0] for f in before - kept}) == 1 and kept
+    assert out.count() == 41 and out.where("bidding_zone = 'Z7'").agg(F.sum("load_mw")).first()[0] == 11.0
+
+
 def test_first_write_and_batch_keep_one_row_per_key(spark, make_obs, tmp_path):
     path = str(tmp_path / "t")
     same = [("2024-01-01 00:00:00", "SE", "Z1", v) for v in (1.0, 3.0, 2.0)]
