@@ -44,7 +44,7 @@ BLOOM_BITS = 1 << 24
 
 NUMBER = re.compile(r"[$€£]?[+-]?\d+(?:[.,:/]\d+)*%?")
 MEASURED = re.compile(r"[$€£]?[+-]?\d+(?:[.,:/]\d+)*([^\W\d_]{1,3})")
-EDGE = re.compile(r"^[^\w$€£%+-]+|[^\w%]+$")
+HEAD, TAIL = re.compile(r"[\w$€£%+-]"), re.compile(r"[\w%]")
 UNITS = frozenset("""
     mm cm dm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t lb lbs oz ounce ounces pound pounds
     ton tons ml cl l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours
@@ -57,10 +57,21 @@ NAME, NUM, UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & ~15) for x in ("<name>"
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
+def bare(text: str) -> str:
+    """A part without the signs around its word (in time that grows with its length only)."""
+    first = HEAD.search(text)
+    if not first:
+        return ""
+    end = len(text)
+    while end > first.start() and not TAIL.match(text, end - 1):
+        end -= 1
+    return text[first.start():end]
+
+
 def _code(part: bytes) -> int:
     """Hash of a part's word (upper 60 bits) and what it is (lower 4); 0 if it has no word."""
     text = part.decode()
-    word = EDGE.sub("", text)
+    word = bare(text)
     if not word:
         return 0
     flags = STOP if text[-1] in ".!?:;" or text[-2:-1] in (".", "!", "?") else 0
@@ -118,7 +129,7 @@ def _slot_values(places: np.ndarray, slots: np.ndarray, parts: list[bytes]) -> l
     """For each window the values of its slots as ``offset=value``."""
     out = []
     for at in places.tolist():
-        out.append([f"{i}={EDGE.sub('', parts[at + i].decode())}" for i in range(min(WINDOW, len(parts) - at)) if slots[at + i]])
+        out.append([f"{i}={bare(parts[at + i].decode())}" for i in range(min(WINDOW, len(parts) - at)) if slots[at + i]])
     return out
 
 

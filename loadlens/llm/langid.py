@@ -84,9 +84,9 @@ def classifier(model: Model):
         pairs.append((lang, zstandard.ZstdCompressor(level=LEVEL, dict_data=words, write_checksum=False, write_content_size=False).compress))
 
     def best(text: str) -> tuple[str, float, float]:
-        data = letters(text)
-        if not pairs or not data:
+        if not pairs or not any(map(str.isalpha, text)):
             return "und", 0.0, 0.0
+        data = letters(text)
         parts = [data[at:at + PIECE] for at in range(0, len(data), PIECE)]
         sizes = sorted((sum(map(len, map(shrink, parts))), place) for place, (_, shrink) in enumerate(pairs))
         (least, place), gap = sizes[0], (sizes[1][0] - sizes[0][0] if len(sizes) > 1 else sizes[0][0])

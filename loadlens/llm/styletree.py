@@ -61,13 +61,17 @@ NOISE_NAMES = frozenset("""ad ads advert adverts advertisement advertising spons
     newsletter subscribe subscription signup login search form pagination pager toolbar skip""".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 
+#: Markup. No part crosses another "<" but a quoted value of at most 4,096 characters, so that
+#: unclosed tags cost no more than they are long.
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>|"
+    r"<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+')*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
 
 PLAIN, NOISE, MAIN = 0, 1, 2
+#: Elements nested deeper belong to the one at this depth.
+DEPTH = 500
 
 
 def host_of(url: str | None) -> str:
@@ -125,7 +129,7 @@ class Page:
             if close:
                 self._end(name)
             elif name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(text, at)
+                end = re.compile(rf"</{re.escape(name)}\b[^<>]*+>", re.I).search(text, at)
                 at = end.end() if end else len(text)
             elif name not in VOID:
                 self._begin(name, rest)
@@ -146,6 +150,8 @@ class Page:
             self.blocks.append((top[1], top[2], words))
 
     def _begin(self, name: str, rest: str) -> None:
+        if len(self.stack) > DEPTH:
+            return
         if name in CLOSES:
             self._close_open(CLOSES[name], LISTS if name != "body" else ())
         self._close_open({"p"}, LISTS | {"td", "th", "div", "section", "article"})

@@ -133,5 +133,6 @@ def test_smallest_wins_and_narrow_margins_are_rejected():
     model = langid.Model((("aa", b"tokoro memari sundol " * 50), ("bb", b"krevish planto ugdir " * 50)))
     best = langid.classifier(model)
     assert best("Memari TOKORO sundol tokoro")[0] == "aa" and best("ugdir planto krevish!")[0] == "bb"
+    assert best("½ ² 42 !?")[0] == "und"
     lang, score, margin = best("qqq")
     assert lang == "aa" and score == 0.5 and margin < langid.NARROW

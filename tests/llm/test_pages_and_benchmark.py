@@ -50,6 +50,23 @@ def test_markup(page, text):
     assert read(page) == text
 
 
+@pytest.mark.parametrize("page", ["<a" * 200_000, "<!" * 200_000, "<a '" * 100_000, "<x>" * 100_000, "<p>" + "<x>" * 50_000, "</script" * 100_000,
+                                  "<script>" + "</script" * 100_000, "<div " + "a=b " * 100_000, "&" * 300_000, "<p>" * 100_000])
+def test_markup_that_never_closes_takes_linear_time(page):
+    import time
+    start = time.process_time()
+    read(page)
+    assert time.process_time() - start < 20
+
+
+def test_long_runs_of_signs():
+    import time
+    start = time.process_time()
+    assert D.bare("((a" + "-" * 300_000 + "b))") == "a" + "-" * 300_000 + "b"
+    assert D.bare("!" * 300_000) == "" and D.bare("+5%.") == "+5%" and D.bare("a!") == "a" and D.bare("$") == ""
+    assert time.process_time() - start < 5
+
+
 def test_style_tree_removes_what_repeats_without_any_role(spark):
     rows = [(i, f"http://site{i % 2}.org/{i}", f"<html><body><div><div class='k'><p>Home</p><p>About {i % 2}</p></div><div class='z'>"
              + "".join(f"<p>word{i} text{j} {i * j}</p>" for j in range(1 + i % 4)) + "</div><div class='q'><p>same line</p></div></div>")
