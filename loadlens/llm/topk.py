@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 #: Most rows in one block of queries, and of candidates.
 QUERY_BLOCK, CANDIDATE_BLOCK, LEAST_BLOCK = 2048, 32768, 1024
 #: Most cells of a dense score array held at once.
-CELLS = 1 << 21
+CELLS = 1 << 15
 
 
 def integer_codes(vector: str, scale: float = 256.0) -> Column:
