@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from loadlens.llm.common import SPACE, SPACE_CHARS, prefix_totals, stored
 
 #: Documents of a bucket, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 8192
 
 
 def word_count(text: str | Column) -> Column:
