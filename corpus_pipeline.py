@@ -40,8 +40,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     marked = stored(near_duplicates(docs, words=3, limit=3, row_key=row_key()), "near-duplicates")
     grouped = marked.where("component_id IS NOT NULL")
-    first = grouped.where("doc_id = component_id").groupBy("component_id").agg(F.min("row_key").alias("first"))
-    gone = grouped.join(first, "component_id").where("row_key <> first").select("row_key").distinct()
+    first = grouped.where("doc_id = component_id").groupBy("component_id").agg(F.min("row_key").alias("row_key"))
+    gone = grouped.select("row_key").distinct().join(first, "row_key", "left_anti")  # by row, not by group: no key is hot
     repeated = stored(grouped.where("doc_id = component_id").groupBy("row_key").count().where("count > 1").select("row_key"), "repeated")
     left = docs.withColumn("row_key", row_key()).join(gone, "row_key", "left_anti")
     if not repeated.isEmpty():

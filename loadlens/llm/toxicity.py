@@ -35,7 +35,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm.common import stored
@@ -171,9 +171,10 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.select("doc_id", "text", "y").mapInArrow(run, f"doc_id {kind}, text string, y int, m0 long, m1 long, m2 long")
-    for m in ("m0", "m1", "m2"):
-        out = out.withColumn(f"first_{m}", F.min("doc_id").over(Window.partitionBy(m)))
-    return out.where("doc_id = first_m0 AND doc_id = first_m1 AND doc_id = first_m2").select("doc_id", "text", "y")
+    out = left = stored(out, "toxicity-minima")
+    for m in ("m0", "m1", "m2"):  # as many rows as the sample has at most, so a common copy needs no shuffle of texts
+        left = left.join(F.broadcast(out.groupBy(m).agg(F.min("doc_id").alias(f"first_{m}"))), m)
+    return left.where("doc_id = first_m0 AND doc_id = first_m1 AND doc_id = first_m2").select("doc_id", "text", "y")
 
 
 def _terms(text: str) -> set[str]:
