@@ -7,6 +7,11 @@ contaminated by an item if it holds at least ``SHARE`` of the item's windows and
 slots fit: within one alignment every value of the item (its names, numbers, units)
 always stands against the same value of the document. So a question with other
 names and numbers is found, and a text that only shares its template words is not.
+Capitals tell names only in sentences that have lower-case words too. Beside these
+typed windows there are literal ones, of the words themselves without regard to case:
+a document that holds at least ``SHARE`` of an item's literal windows is contaminated
+whatever its slots, so a copy in capitals or in lower case is found (its row then counts
+literal windows).
 
 Join: an item with n windows that may miss a fifth of them is sure to share one of
 any fifth of its windows plus one; that many of its rarest windows are its anchors.
@@ -52,8 +57,11 @@ UNITS = frozenset("""
     meter meters metre metres gram grams kilogram kilograms cent cents dollar dollars euro euros usd eur mph kmh
     kilometer kilometers kilometre kilometres stunde stunden tag tage jahr jahre heure heures jour jours hora horas
     """.split())
-CAPITAL, STOP, IS_NUMBER, IS_UNIT = 1, 2, 4, 8
-NAME, NUM, UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & ~15) for x in ("<name>", "<num>", "<unit>"))
+CAPITAL, LOWER, STOP, IS_NUMBER, IS_MEASURED, IS_UNIT, FLAGS = 1, 2, 4, 8, 16, 32, 63
+NAME, NUM, MEASURE, UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & ~FLAGS) for x in ("<name>", "<num>", "<num><unit>", "<unit>"))
+#: Tells literal windows from typed ones of the same words.
+LITERAL = np.uint64(0xA0761D6478BD642F)
+TYPED_KIND, LITERAL_KIND = 0, 1
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -69,21 +77,30 @@ def bare(text: str) -> str:
 
 
 def _code(part: bytes) -> int:
-    """Hash of a part's word (upper 60 bits) and what it is (lower 4); 0 if it has no word."""
+    """Hash of a part's word without regard to case (upper 58 bits) and what it is (lower 6); 0 if it has no word."""
     text = part.decode()
     word = bare(text)
     if not word:
         return 0
     flags = STOP if text[-1] in ".!?:;" or text[-2:-1] in (".", "!", "?") else 0
-    if NUMBER.fullmatch(word):
-        return int(NUM) | flags | IS_NUMBER
     measured = MEASURED.fullmatch(word)
-    low = word.lower()
-    if measured and measured[1].lower() in UNITS:
-        return (xxhash.xxh64_intdigest("<num><unit>") & ~15) | flags | IS_NUMBER
-    flags |= IS_UNIT if low in UNITS else 0
-    flags |= CAPITAL if word[0].isupper() else 0
-    return (xxhash.xxh64_intdigest(low) & ~15) | flags
+    if NUMBER.fullmatch(word):
+        flags |= IS_NUMBER
+    elif measured and measured[1].lower() in UNITS:
+        flags |= IS_MEASURED
+    else:
+        flags |= IS_UNIT if word.lower() in UNITS else 0
+        flags |= CAPITAL if word[0].isupper() else LOWER if word[0].islower() else 0
+    return (xxhash.xxh64_intdigest(word.casefold()) & ~FLAGS) | flags
+
+
+def _rolled(code: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` words."""
+    n = len(code) - length + 1
+    spread, hashes = code ^ (code >> np.uint64(29)), np.zeros(max(n, 0), np.uint64)
+    for i in range(length if n > 0 else 0):
+        hashes += spread[i:i + n] * MULTIPLIERS[i]
+    return hashes ^ (hashes >> np.uint64(31))
 
 
 class Templates:
@@ -92,37 +109,47 @@ class Templates:
     def __init__(self):
         self.codes = Memo(_code)
 
-    def windows(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """Hashes and places of the telling windows, which words are slots, and the words."""
+    def windows(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Hashes and places of the telling typed windows, which words are slots, the words, and their codes."""
         parts = data.split()
         found = np.fromiter(map(self.codes.__getitem__, parts), np.uint64, len(parts))
         if not found.all():
             keep = np.flatnonzero(found)
             found, parts = found[keep], [parts[i] for i in keep]
-        flags = (found & np.uint64(15)).astype(np.uint8)
-        code = found & ~np.uint64(15)
-        number = (flags & IS_NUMBER) > 0
+        if not len(found):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), parts, found
+        flags = (found & np.uint64(FLAGS)).astype(np.uint8)
+        plain = found & ~np.uint64(FLAGS)
+        measured = (flags & IS_MEASURED) > 0
+        number = measured | ((flags & IS_NUMBER) > 0)
         after_stop, after_number = np.ones(len(found), bool), np.zeros(len(found), bool)
         after_stop[1:], after_number[1:] = (flags[:-1] & STOP) > 0, number[:-1]
+        sentence = np.cumsum(after_stop) - 1
+        mixed = (np.bincount(sentence, (flags & LOWER) > 0) > 0)[sentence]
         unit = ((flags & IS_UNIT) > 0) & after_number
-        name = ((flags & CAPITAL) > 0) & ~after_stop & ~unit
-        code = np.where(unit, UNIT, np.where(name, NAME, code))
+        name = ((flags & CAPITAL) > 0) & ~after_stop & ~unit & mixed
+        code = np.where(measured, MEASURE, np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, plain))))
         slots = number | unit | name
-        if not len(code):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), slots, parts
         if len(code) < WINDOW:  # one window of all words, told from others by its length
             one = (code * MULTIPLIERS[:len(code)]).sum(dtype=np.uint64) ^ np.uint64(len(code))
-            hashes, literals = np.array([one], np.uint64), np.array([(~slots).sum()])
+            hashes, literals = np.array([one ^ (one >> np.uint64(31))], np.uint64), np.array([(~slots).sum()])
         else:
-            n = len(code) - WINDOW + 1
-            hashes = np.zeros(n, np.uint64)
-            for i in range(WINDOW):
-                hashes += (code[i:i + n] ^ (code[i:i + n] >> np.uint64(29))) * MULTIPLIERS[i]
+            hashes = _rolled(code, WINDOW)
             runs = np.concatenate([[0], np.cumsum(~slots)])
-            literals = runs[WINDOW:] - runs[:n]
-        hashes ^= hashes >> np.uint64(31)
+            literals = runs[WINDOW:] - runs[:len(hashes)]
         places = np.flatnonzero(literals >= min(LITERALS, len(code)))
-        return hashes[places], places, slots, parts
+        return hashes[places], places, slots, parts, found
+
+    @staticmethod
+    def literal(codes: np.ndarray) -> np.ndarray:
+        """Hashes of the literal windows; values are kept, so each of them tells."""
+        return _rolled((codes & ~np.uint64(FLAGS)) ^ LITERAL, WINDOW)
+
+
+def _item_literals(codes: np.ndarray) -> np.ndarray:
+    """The literal windows of an item; none if fewer than ``LITERALS`` of its words are not numbers."""
+    worded = ((codes & np.uint64(IS_NUMBER | IS_MEASURED)) == 0).sum()
+    return Templates.literal(codes) if worded >= LITERALS else np.zeros(0, np.uint64)
 
 
 def _slot_values(places: np.ndarray, slots: np.ndarray, parts: list[bytes]) -> list[list[str]]:
@@ -134,7 +161,7 @@ def _slot_values(places: np.ndarray, slots: np.ndarray, parts: list[bytes]) -> l
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id, item_row, n_windows, w, at, values`` for every telling window of every item.
+    """``item_id, item_row, kind, n_windows, w, at, values`` for every telling window of every item, typed or literal.
 
     ``item_row`` is xxhash64 of id and text, so that items of no or of one id stay apart.
     """
@@ -143,16 +170,20 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         for batch in batches:
             rows = []
             for item, key, cell in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                hashes, places, slots, parts = made.windows(cell)
-                rows += [{"item_id": item, "item_row": key, "n_windows": len(places), "w": w, "at": at, "values": v} for w, at, v in
+                hashes, places, slots, parts, codes = made.windows(cell)
+                literal = _item_literals(codes)
+                one = {"item_id": item, "item_row": key}
+                rows += [one | {"kind": TYPED_KIND, "n_windows": len(places), "w": w, "at": at, "values": v} for w, at, v in
                          zip(hashes.view(np.int64).tolist(), places.tolist(), _slot_values(places, slots, parts), strict=True)]
+                rows += [one | {"kind": LITERAL_KIND, "n_windows": len(literal), "w": w, "at": at, "values": []}
+                         for at, w in enumerate(literal.view(np.int64).tolist())]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("item_id", pa.int64()), ("item_row", pa.int64()), ("n_windows", pa.int32()), ("w", pa.int64()), ("at", pa.int32()),
-                ("values", pa.list_(pa.string()))]))
+                ("item_id", pa.int64()), ("item_row", pa.int64()), ("kind", pa.int32()), ("n_windows", pa.int32()), ("w", pa.int64()),
+                ("at", pa.int32()), ("values", pa.list_(pa.string()))]))
 
     plain = items.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).cast("binary").alias("t"))
-    return plain.mapInArrow(run, "item_id long, item_row long, n_windows int, w long, at int, values array<string>")
+    return plain.mapInArrow(run, "item_id long, item_row long, kind int, n_windows int, w long, at int, values array<string>")
 
 
 def _bloom(hashes: DataFrame) -> bytes:
@@ -171,10 +202,12 @@ def _place(i: int):
 
 
 def _passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(hashes), bool)
-    for i in range(3):
-        p = (hashes >> np.uint64(20 * i)) & np.uint64(BLOOM_BITS - 1)
-        ok &= (table[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) > 0
+    at = np.arange(len(hashes))
+    for i in range(3):  # few are left after the first test
+        p = (hashes[at] >> np.uint64(20 * i)) & np.uint64(BLOOM_BITS - 1)
+        at = at[(table[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) > 0]
+    ok = np.zeros(len(hashes), bool)
+    ok[at] = True
     return ok
 
 
@@ -183,13 +216,14 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     ``row_key, <id_col>, item_id, n_windows, n_found, containment, new_values``.
 
     ``new_values`` says that at least one slot has another value than in the item;
+    the counts are of typed windows, or of literal ones where the typed ones do not reach ``SHARE``;
     ``row_key`` is xxhash64 of id and text.
     """
     spark = docs.sparkSession
     windows = stored(item_windows(items), "benchmark-windows")
     spread = windows.groupBy("w").agg(F.count(F.lit(1)).alias("common"))
-    ranked = windows.join(spread, "w").groupBy("item_row", "n_windows").agg(
-        F.array_sort(F.collect_set(F.struct("common", "w"))).alias("ws"))  # the windows of one item
+    ranked = windows.join(spread, "w").groupBy("item_row", "kind", "n_windows").agg(
+        F.array_sort(F.collect_set(F.struct("common", "w"))).alias("ws"))  # the windows of one kind of one item
     missed = F.floor(F.col("n_windows") * F.lit(1 - SHARE) + F.lit(1e-9)).cast("int")
     anchors = stored(ranked.select("item_row", F.explode(F.slice("ws", F.lit(1), missed + 1)).alias("x")).select(
         "item_row", F.col("x.w").alias("w")), "benchmark-anchors")
@@ -201,33 +235,42 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         for batch in batches:
             rows = []
             for key, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                hashes, places, slots, parts = made.windows(cell.as_py())
-                lead_hits = hashes[_passes(lead, hashes)]
+                hashes, places, slots, parts, codes = made.windows(cell.as_py())
+                both = np.concatenate([hashes, made.literal(codes)])
+                lead_hits = both[_passes(lead, both)]
                 if len(lead_hits):
                     near = _passes(any_, hashes)
-                    at = places[near]
+                    at, literal = places[near], np.unique(both[len(hashes):])
                     rows.append({"row_key": key, "leads": np.unique(lead_hits).view(np.int64).tolist(),
-                                 "ws": hashes[near].view(np.int64).tolist(), "ats": at.tolist(), "values": _slot_values(at, slots, parts)})
+                                 "ws": hashes[near].view(np.int64).tolist(), "ats": at.tolist(), "values": _slot_values(at, slots, parts),
+                                 "literal": literal[_passes(any_, literal)].view(np.int64).tolist()})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
                 ("row_key", pa.int64()), ("leads", pa.list_(pa.int64())), ("ws", pa.list_(pa.int64())), ("ats", pa.list_(pa.int64())),
-                ("values", pa.list_(pa.list_(pa.string())))]))
+                ("values", pa.list_(pa.list_(pa.string()))), ("literal", pa.list_(pa.int64()))]))
 
     keyed = docs.select(F.xxhash64(id_col, text_col).alias("row_key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    hits = stored(keyed.mapInArrow(run, "row_key long, leads array<long>, ws array<long>, ats array<long>, values array<array<string>>")
+    hits = stored(keyed.mapInArrow(run, "row_key long, leads array<long>, ws array<long>, ats array<long>, values array<array<string>>, "
+                                    "literal array<long>")
                   .dropDuplicates(["row_key"]), "benchmark-hits")
     pairs = hits.select("row_key", F.explode("leads").alias("w")).join(anchors, "w").select("row_key", "item_row").distinct()
     whole = windows.groupBy("item_row").agg(
-        F.first("item_id").alias("item_id"), F.first("n_windows").alias("n_windows"), F.collect_set(F.struct("w", "at", "values")).alias("item"))  # one item's windows
+        F.first("item_id").alias("item_id"), F.collect_set(F.struct("kind", "w", "at", "values")).alias("item"))  # one item's windows
     both = pairs.join(hits.drop("leads"), "row_key").join(whole, "item_row")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                found, new = aligned([(x["w"], x["at"], x["values"]) for x in r["item"]], list(zip(r["ws"], r["ats"], r["values"], strict=True)))
-                if found >= SHARE * r["n_windows"] - 1e-9:
-                    rows.append({"row_key": r["row_key"], "item_id": r["item_id"], "n_windows": r["n_windows"], "n_found": found,
-                                 "containment": found / r["n_windows"], "new_values": new})
+                typed = [(x["w"], x["at"], x["values"]) for x in r["item"] if x["kind"] == TYPED_KIND]
+                found, new = aligned(typed, list(zip(r["ws"], r["ats"], r["values"], strict=True)))
+                n = len(typed)
+                if not typed or found < SHARE * n - 1e-9:
+                    held = set(r["literal"])
+                    literal = [x["w"] in held for x in r["item"] if x["kind"] == LITERAL_KIND]
+                    found, n = sum(literal), len(literal)
+                if n and found >= SHARE * n - 1e-9:
+                    rows.append({"row_key": r["row_key"], "item_id": r["item_id"], "n_windows": n, "n_found": found,
+                                 "containment": found / n, "new_values": new})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
                 ("row_key", pa.int64()), ("item_id", pa.int64()), ("n_windows", pa.int32()), ("n_found", pa.int32()),
                 ("containment", pa.float64()), ("new_values", pa.bool_())]))

@@ -113,6 +113,13 @@ def test_reparameterised_questions_with_consistent_slots(spark):
     assert found(spark, texts) == {(0, 1): False, (1, 1): True}
 
 
+def test_copies_in_any_case(spark):
+    texts = [f"Some words first. {ITEM.upper()} AND MORE.", f"in a lower-case text {ITEM.lower()} and more", f"mid-sentence {ITEM.title()} q r",
+             f"x y {ITEM.upper().replace('TRAIN', 'BUS').replace('LONG', 'FAR').replace('DENVER', 'LYON')} z"]
+    assert found(spark, texts) == {(0, 1): False, (1, 1): False, (2, 1): False}
+    assert set(found(spark, [f"a b {ITEM} c", ITEM], [(1, ITEM.upper()), (2, ITEM.title())])) == {(d, i) for d in (0, 1) for i in (1, 2)}
+
+
 def test_short_items_odd_items_and_empty_tables(spark, odd_docs, no_docs):
     items = [(1, "tiny item"), (2, None), (3, ""), (None, "no id on this item at all here"), (4, "10 20 30 40 50 60"), (1, "tiny item")]
     got = found(spark, ["tiny item", "a tiny item", "Tiny item!", "no id on this item at all here", "10 20 30 40 50 60"], items)
