@@ -3,9 +3,10 @@
 Texts become templates: words in lower case without the signs around them, numbers
 as ``<num>``, capitalised words inside a sentence as ``<name>``, unit words after a
 number as ``<unit>``. Windows of ``WINDOW`` template words are hashed. A document is
-contaminated by an item if it holds at least ``SHARE`` of the item's windows and the
-slots fit: within one alignment every value of the item (its names, numbers, units)
-always stands against the same value of the document. So a question with other
+contaminated by an item if it holds at least ``SHARE`` of the item's windows with
+slots that fit: within one alignment every value of the item (its names, numbers, units)
+stands for the value of the document that most windows set against it, and windows with
+another one do not count. So a question with other
 names and numbers is found, and a text that only shares its template words is not.
 Capitals tell names only in sentences that have lower-case words too. Beside these
 typed windows there are literal ones, of the words themselves without regard to case:
@@ -31,7 +32,7 @@ such; only ids and texts are read, so other columns may have any name.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -281,21 +282,27 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def aligned(item: list[tuple], doc: list[tuple]) -> tuple[int, bool]:
-    """Windows of an item that a document holds in alignments whose slots fit, and whether a value differs."""
+    """Windows of an item that a document holds in alignments and whose slots fit, and whether a value differs.
+
+    In an alignment each value of the item stands for its most frequent partner (of equally frequent
+    ones for itself, else for the least); a window that holds another partner does not fit.
+    """
     where: dict[int, list] = defaultdict(list)
     for w, at, values in item:
         where[w].append((at, values))
     shifts: dict[int, list] = defaultdict(list)
     for w, at, values in doc:
         for item_at, item_values in where.get(w, ()):
-            shifts[at - item_at].append((item_at, item_values, values))
+            shifts[at - item_at].append((item_at, [(a.partition("=")[2], b.partition("=")[2]) for a, b in zip(item_values, values, strict=True)]))
     found: set[int] = set()
     new = False
     for matches in shifts.values():
-        stands_for: dict[str, str] = {}
-        fits = all(stands_for.setdefault(a.partition("=")[2], b.partition("=")[2]) == b.partition("=")[2]
-                   for _, item_values, values in matches for a, b in zip(item_values, values, strict=True))
-        if fits:
-            found |= {at for at, _, _ in matches}
-            new |= any(a != b for a, b in stands_for.items())
+        partners: dict[str, Counter] = defaultdict(Counter)
+        for _, pairs in matches:
+            for a, b in pairs:
+                partners[a][b] += 1
+        stands_for = {a: min(seen, key=lambda b: (-seen[b], a != b, b)) for a, seen in partners.items()}
+        fits = {at for at, pairs in matches if all(stands_for[a] == b for a, b in pairs)}
+        found |= fits
+        new |= bool(fits) and any(a != b for a, seen in partners.items() for b in seen)
     return len(found), new

@@ -120,6 +120,16 @@ def test_copies_in_any_case(spark):
     assert set(found(spark, [f"a b {ITEM} c", ITEM], [(1, ITEM.upper()), (2, ITEM.title())])) == {(d, i) for d in (0, 1) for i in (1, 2)}
 
 
+def test_one_conflicting_slot_drops_its_windows_only(spark):
+    long = ITEM + " Count 7 stops at first, then add the short break that every driver takes after lunch, and after 7 stops once more say what you found"
+    edited = long[::-1].replace("7", "9", 1)[::-1]
+    other = edited.replace("Boston", "Paris").replace("Denver", "Lyon").replace("60", "90").replace("300", "12")
+    assert found(spark, [f"a b {edited} c", f"a b {other} c"], [(1, long)]) == {(0, 1): True, (1, 1): True}
+    item = [(w, w, [f"0={v}"]) for w, v in enumerate("xyxzx")]
+    assert D.aligned(item, [(w, w + 3, [f"0={v}"]) for w, v in enumerate("xyqzx")]) == (4, True)
+    assert D.aligned(item, [(w, w + 3, [f"0={v}"]) for w, v in enumerate("pyqzp")]) == (4, True)
+
+
 def test_short_items_odd_items_and_empty_tables(spark, odd_docs, no_docs):
     items = [(1, "tiny item"), (2, None), (3, ""), (None, "no id on this item at all here"), (4, "10 20 30 40 50 60"), (1, "tiny item")]
     got = found(spark, ["tiny item", "a tiny item", "Tiny item!", "no id on this item at all here", "10 20 30 40 50 60"], items)
