@@ -20,10 +20,13 @@ Documents pass two Bloom filters of fixed size (anchors, all windows) in the sca
 what passes the first is hash-joined with the anchors exactly, and only the pairs
 found are checked window by window. Nothing else of a document is shuffled.
 
-Cases: null and empty texts have no windows; an item of fewer than ``WINDOW`` words
-is one window of all its words, and only a document of exactly those words has it;
-windows with fewer than ``LITERALS`` words that are not placeholders say nothing and
-are left out (an item of none but such cannot be found); items without text are left out,
+Cases: null and empty texts have no windows; scripts without spaces are split by
+character; an item of fewer than ``WINDOW`` words is one typed window of all its words,
+and only a document of exactly those words has it, and, from ``ROLLED`` words on, one literal
+window of its length that is rolled over the documents; an item of fewer words is found in
+no longer document; typed windows with fewer than ``LITERALS`` words that are not placeholders say
+nothing and are left out (such items are found by their literal windows); items with fewer
+than ``LITERALS`` words that are not numbers have no literal windows; items without text are left out,
 items without id are returned as null, repeated item ids are checked each; repeated document rows give their pair once;
 without items, or on an empty table, there are no rows; a null doc_id is returned as
 such; only ids and texts are read, so other columns may have any name.
@@ -45,6 +48,8 @@ from loadlens.llm.common import stored
 from loadlens.llm.pretokens import Memo
 
 WINDOW, SHARE, LITERALS = 5, 0.8, 2
+#: Words of the shortest item that is looked for inside longer documents.
+ROLLED = 3
 #: Bits of each Bloom filter (2 MB), tested at three places.
 BLOOM_BITS = 1 << 24
 
@@ -58,7 +63,10 @@ UNITS = frozenset("""
     meter meters metre metres gram grams kilogram kilograms cent cents dollar dollars euro euros usd eur mph kmh
     kilometer kilometers kilometre kilometres stunde stunden tag tage jahr jahre heure heures jour jours hora horas
     """.split())
-CAPITAL, LOWER, STOP, IS_NUMBER, IS_MEASURED, IS_UNIT, FLAGS = 1, 2, 4, 8, 16, 32, 63
+#: Thai, Lao, Burmese, Khmer, kana and Han.
+SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]")
+CAPITAL, LOWER, STOP, IS_NUMBER, IS_MEASURED, IS_UNIT, IS_SPACELESS, FLAGS = 1, 2, 4, 8, 16, 32, 64, 127
 NAME, NUM, MEASURE, UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & ~FLAGS) for x in ("<name>", "<num>", "<num><unit>", "<unit>"))
 #: Tells literal windows from typed ones of the same words.
 LITERAL = np.uint64(0xA0761D6478BD642F)
@@ -78,8 +86,10 @@ def bare(text: str) -> str:
 
 
 def _code(part: bytes) -> int:
-    """Hash of a part's word without regard to case (upper 58 bits) and what it is (lower 6); 0 if it has no word."""
+    """Hash of a part's word without regard to case (upper 57 bits) and what it is (lower 7); 0 if it has no word."""
     text = part.decode()
+    if len(text) > 1 and SPACELESS.search(text):
+        return IS_SPACELESS  # for _split
     word = bare(text)
     if not word:
         return 0
@@ -95,6 +105,11 @@ def _code(part: bytes) -> int:
     return (xxhash.xxh64_intdigest(word.casefold()) & ~FLAGS) | flags
 
 
+def _split(parts: list[bytes]) -> list[bytes]:
+    """Parts with each character of a script without spaces on its own."""
+    return [x.encode() for part in parts for x in SPACELESS.sub(r" \g<0> ", part.decode()).split()]
+
+
 def _rolled(code: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all runs of ``length`` words."""
     n = len(code) - length + 1
@@ -114,6 +129,9 @@ class Templates:
         """Hashes and places of the telling typed windows, which words are slots, the words, and their codes."""
         parts = data.split()
         found = np.fromiter(map(self.codes.__getitem__, parts), np.uint64, len(parts))
+        if (found == IS_SPACELESS).any():
+            parts = _split(parts)
+            found = np.fromiter(map(self.codes.__getitem__, parts), np.uint64, len(parts))
         if not found.all():
             keep = np.flatnonzero(found)
             found, parts = found[keep], [parts[i] for i in keep]
@@ -142,15 +160,17 @@ class Templates:
         return hashes[places], places, slots, parts, found
 
     @staticmethod
-    def literal(codes: np.ndarray) -> np.ndarray:
-        """Hashes of the literal windows; values are kept, so each of them tells."""
-        return _rolled((codes & ~np.uint64(FLAGS)) ^ LITERAL, WINDOW)
+    def literal(codes: np.ndarray, length: int = WINDOW) -> np.ndarray:
+        """Hashes of the literal windows of a length; values are kept, so each of them tells."""
+        return _rolled((codes & ~np.uint64(FLAGS)) ^ LITERAL, length)
 
 
 def _item_literals(codes: np.ndarray) -> np.ndarray:
-    """The literal windows of an item; none if fewer than ``LITERALS`` of its words are not numbers."""
+    """The literal windows of an item; none if it has too few words, or too few that are not numbers."""
     worded = ((codes & np.uint64(IS_NUMBER | IS_MEASURED)) == 0).sum()
-    return Templates.literal(codes) if worded >= LITERALS else np.zeros(0, np.uint64)
+    if len(codes) < ROLLED or worded < LITERALS:
+        return np.zeros(0, np.uint64)
+    return Templates.literal(codes, min(WINDOW, len(codes)))
 
 
 def _slot_values(places: np.ndarray, slots: np.ndarray, parts: list[bytes]) -> list[list[str]]:
@@ -162,7 +182,9 @@ def _slot_values(places: np.ndarray, slots: np.ndarray, parts: list[bytes]) -> l
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id, item_row, kind, n_windows, w, at, values`` for every telling window of every item, typed or literal.
+    """``item_id, item_row, kind, n_windows, w, at, values, length`` for every telling window of every item, typed or literal.
+
+    ``length`` is the number of words of a literal window.
 
     ``item_row`` is xxhash64 of id and text, so that items of no or of one id stay apart.
     """
@@ -174,17 +196,17 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                 hashes, places, slots, parts, codes = made.windows(cell)
                 literal = _item_literals(codes)
                 one = {"item_id": item, "item_row": key}
-                rows += [one | {"kind": TYPED_KIND, "n_windows": len(places), "w": w, "at": at, "values": v} for w, at, v in
+                rows += [one | {"kind": TYPED_KIND, "n_windows": len(places), "w": w, "at": at, "values": v, "length": WINDOW} for w, at, v in
                          zip(hashes.view(np.int64).tolist(), places.tolist(), _slot_values(places, slots, parts), strict=True)]
-                rows += [one | {"kind": LITERAL_KIND, "n_windows": len(literal), "w": w, "at": at, "values": []}
+                rows += [one | {"kind": LITERAL_KIND, "n_windows": len(literal), "w": w, "at": at, "values": [], "length": min(WINDOW, len(codes))}
                          for at, w in enumerate(literal.view(np.int64).tolist())]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
                 ("item_id", pa.int64()), ("item_row", pa.int64()), ("kind", pa.int32()), ("n_windows", pa.int32()), ("w", pa.int64()),
-                ("at", pa.int32()), ("values", pa.list_(pa.string()))]))
+                ("at", pa.int32()), ("values", pa.list_(pa.string())), ("length", pa.int32())]))
 
     plain = items.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).cast("binary").alias("t"))
-    return plain.mapInArrow(run, "item_id long, item_row long, kind int, n_windows int, w long, at int, values array<string>")
+    return plain.mapInArrow(run, "item_id long, item_row long, kind int, n_windows int, w long, at int, values array<string>, length int")
 
 
 def _bloom(hashes: DataFrame) -> bytes:
@@ -230,6 +252,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         "item_row", F.col("x.w").alias("w")), "benchmark-anchors")
     first, every = (spark.sparkContext.broadcast(_bloom(x.select("w").distinct())) for x in (anchors, windows))
 
+    short = sorted(r["length"] for r in windows.where(F.col("length") < WINDOW).select("length").distinct().collect())
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Templates()
         lead, any_ = np.frombuffer(first.value, np.uint64), np.frombuffer(every.value, np.uint64)
@@ -237,7 +261,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             rows = []
             for key, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 hashes, places, slots, parts, codes = made.windows(cell.as_py())
-                both = np.concatenate([hashes, made.literal(codes)])
+                both = np.concatenate([hashes, made.literal(codes), *(made.literal(codes, n) for n in short)])
                 lead_hits = both[_passes(lead, both)]
                 if len(lead_hits):
                     near = _passes(any_, hashes)

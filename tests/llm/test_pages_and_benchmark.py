@@ -130,6 +130,14 @@ def test_one_conflicting_slot_drops_its_windows_only(spark):
     assert D.aligned(item, [(w, w + 3, [f"0={v}"]) for w, v in enumerate("pyqzp")]) == (4, True)
 
 
+def test_verbatim_copies_of_items_with_few_typed_windows(spark):
+    items = ["The Great Gatsby Meets Moby Dick On Mars", "WHICH RIVER IS LONGEST", "name three primes", "Alice has two red apples left",
+             "地球から月までの距離は何キロですか", "月はどこ", "Sum these: 10 20 30 40 50 60 70"]
+    texts = [f"some text in front 12 times {x} and some text after it" for x in items[:4]] + [
+        f"これは前の文です{items[4]}そして後の文です", f"さて{items[5]}ですか", f"We had {items[6]} at last", "name three cities of primes"]
+    assert set(found(spark, texts, list(enumerate(items)))) == {(i, i) for i in range(7)}
+
+
 def test_short_items_odd_items_and_empty_tables(spark, odd_docs, no_docs):
     items = [(1, "tiny item"), (2, None), (3, ""), (None, "no id on this item at all here"), (4, "10 20 30 40 50 60"), (1, "tiny item")]
     got = found(spark, ["tiny item", "a tiny item", "Tiny item!", "no id on this item at all here", "10 20 30 40 50 60"], items)
