@@ -12,7 +12,10 @@ a host shows a node seldom, the tree of all hosts decides; else the lower of the
 Roles are importances known beforehand: elements and class names for menus, headers,
 footers, side bars, notices, adverts, forms, comments and invisible parts are 0 with
 all below them; the article or main element is 1, and so is what is below it but for
-the former. Entropy decides about all else, and about all of a page without roles.
+the former. A name counts as a whole class or id, or as a part of one made of such names
+only (``nav-menu``, not ``has-sidebar``), never on html and body. What is 0 but holds a main element, or is a form that
+holds an article, is a wrapper and loses its role; so does what holds an article
+on a page with no other main or article. Entropy decides about all else, and about all of a page without roles.
 
 Text: character references decoded, white space inside a block one space, blocks in
 page order joined by a newline.
@@ -30,7 +33,7 @@ import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -79,6 +82,17 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def _named_noise(names: str) -> bool:
+    """Whether classes and ids name noise; a name of main content cancels that."""
+    noise, main = set(), set()
+    for token in names.split():
+        words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
+        main |= words & MAIN_NAMES
+        if words <= NOISE_NAMES | MAIN_NAMES:
+            noise |= words & NOISE_NAMES
+    return bool(noise) and not main
+
+
 def _role(tag_and_rest: tuple[str, str]) -> tuple[str, int]:
     """Key and role of an element from its tag and attributes."""
     tag, rest = tag_and_rest
@@ -93,8 +107,7 @@ def _role(tag_and_rest: tuple[str, str]) -> tuple[str, int]:
             hidden |= value in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
-    words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(names)).lower()))
-    noise = tag in NOISE_TAGS or hidden or bool(words & NOISE_NAMES and not words & MAIN_NAMES)
+    noise = tag in NOISE_TAGS or hidden or tag not in ("html", "body") and _named_noise(" ".join(names))
     return ".".join([tag, *names]), NOISE if noise and not main else MAIN if main else PLAIN
 
 
@@ -108,7 +121,8 @@ class Page:
         """Blocks ``(path, role, text)`` in page order; ``nodes`` gets (path, parent, role, layout, content) of each element."""
         self.blocks: list[tuple[int, int, str]] = []
         self.nodes: list[tuple[int, int, int, int, int]] = []
-        self.stack = [["", 0, PLAIN, [], []]]  # tag, path, role, children, own text
+        self.elements: list[list] = []  # of each element in page order: tag, its own role, element above, whether it holds a main, an article
+        self.stack = [["", 0, -1, [], []]]  # tag, path, element, children, own text
         buffer: list[str] = []
         at = 0
         while True:
@@ -138,8 +152,30 @@ class Page:
         self._flush(buffer)
         while len(self.stack) > 1:
             self._pop()
+        roles = self._settled()
+        self.blocks = [(path, roles[element], words) for path, element, words in self.blocks]
+        self.nodes = [(path, parent, roles[element], layout, content) for path, parent, element, layout, content in self.nodes]
         return self.blocks
 
+    def _settled(self) -> list[int]:
+        """Role of each element, now that all is read; the last is that of the page, for element -1."""
+        free = self._roles(lambda tag, holds_main, holds_article: False)
+        if MAIN not in free and any(x[1] == MAIN for x in self.elements):
+            return self._roles(lambda tag, holds_main, holds_article: holds_main or holds_article)
+        if any(x[1] == NOISE and (x[3] or x[4] and x[0] == "form") for x in self.elements):
+            return self._roles(lambda tag, holds_main, holds_article: holds_main or holds_article and tag == "form")
+        return free
+
+    def _roles(self, wraps: Callable[[str, bool, bool], bool]) -> list[int]:
+        roles = [PLAIN] * (len(self.elements) + 1)
+        for i, (tag, own, up, holds_main, holds_article) in enumerate(self.elements):
+            above = roles[up]
+            if own == NOISE and tag not in RAW and wraps(tag, holds_main, holds_article):
+                own = PLAIN
+            roles[i] = (NOISE if above == NOISE or own == NOISE and not (above == MAIN and tag == "header")
+                        else MAIN if MAIN in (above, own) else PLAIN)
+        return roles
+
     def _flush(self, buffer: list[str]) -> None:
         raw = "".join(buffer)
         buffer.clear()
@@ -160,8 +196,14 @@ class Page:
         path = self.paths[parent, key]
         if not children or children[-1] != path:
             children.append(path)
-        inside = NOISE if above == NOISE or role == NOISE and not (above == MAIN and name == "header") else MAIN if MAIN in (above, role) else PLAIN
-        self.stack.append([name, path, inside, [], []])
+        element, i = len(self.elements), above
+        self.elements.append([name, role, above, False, False])
+        if role == MAIN:
+            held = 4 if name == "article" else 3
+            while i >= 0 and not self.elements[i][held]:
+                self.elements[i][held] = True
+                i = self.elements[i][2]
+        self.stack.append([name, path, element, [], []])
 
     def _close_open(self, names: set[str], bounds: Iterable[str]) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
@@ -178,10 +220,10 @@ class Page:
                 pass
 
     def _pop(self) -> str:
-        name, path, role, children, own = self.stack.pop()
+        name, path, element, children, own = self.stack.pop()
         layout = xxhash.xxh64_intdigest(repr(children), 1) >> 1
         content = xxhash.xxh64_intdigest("\n".join(own), 2) >> 1 if own else 0
-        self.nodes.append((path, self.stack[-1][1], role, layout, content))
+        self.nodes.append((path, self.stack[-1][1], element, layout, content))
         return name
 
 

@@ -50,6 +50,17 @@ def test_markup(page, text):
     assert read(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body><form id=aspnetForm><nav>n</nav><article><p>a</p></article><footer>f</footer></form>", "a"),
+    ("<body class='has-sidebar'><article>a</article>", "a"), ("<div class='no-sidebar'><p>a</p></div><div class='sidebar'>s</div>", "a"),
+    ("<div id='page' class='header-fixed'><p>a</p></div><div class='nav-menu'>n</div>", "a"), ("<body class='sidebar'><p>a</p>", "a"),
+    ("<div class='sidebar'><main><p>a</p></main></div>", "a"), ("<div class='modal'><div role=main>a</div></div>", "a"),
+    ("<article>a</article><aside><article>teaser</article></aside>", "a"), ("<form><p>f</p></form><article>a</article>", "a"),
+    ("<main>a<div class=comments><article>c</article></div></main>", "a"), ("<article>a</article><form><article>b</article></form>", "a\nb")])
+def test_wrappers_that_look_like_noise(page, text):
+    assert read(page) == text
+
+
 @pytest.mark.parametrize("page", ["<a" * 200_000, "<!" * 200_000, "<a '" * 100_000, "<x>" * 100_000, "<p>" + "<x>" * 50_000, "</script" * 100_000,
                                   "<script>" + "</script" * 100_000, "<div " + "a=b " * 100_000, "&" * 300_000, "<p>" * 100_000])
 def test_markup_that_never_closes_takes_linear_time(page):
