@@ -32,7 +32,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -49,14 +49,19 @@ LEAST, GAMMA, SUPPORT = 0.5, 0.9, 20
 BROADCAST_NODES, SALTS = 200_000, 32
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math".split())
-INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp
+#: Nothing in them is markup; the second kind only where they are closed.
+RAW, RAW_IF_CLOSED = frozenset(["script", "style"]), frozenset(["textarea", "title", "iframe"])
+#: Noise whatever it holds.
+INERT = RAW | RAW_IF_CLOSED | {"svg", "template"}
+CELLS = frozenset("br mtr mtd mspace".split())
+INLINE = frozenset("""math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mmultiscripts mtable
+    mtr mtd mspace mpadded mphantom menclose merror semantics annotation annotation-xml a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp
     small span strike strong sub sup time tt u var wbr""".split())
 #: Elements that close an open one of the second set when they begin.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "body": {"head"}}
 LISTS = frozenset("ul ol dl table select".split())
-NOISE_TAGS = frozenset("nav footer aside form head header menu dialog button select option object canvas figcaption".split()) | RAW
+NOISE_TAGS = frozenset("nav footer aside form head header menu dialog button select option object canvas".split()) | INERT
 MAIN_TAGS = frozenset(["article", "main"])
 NOISE_NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation
     menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside rail widget notice notices cookie cookies consent gdpr alert
@@ -64,16 +69,17 @@ NOISE_NAMES = frozenset("""ad ads advert adverts advertisement advertising spons
     newsletter subscribe subscription signup login search form pagination pager toolbar skip""".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 
-#: Markup. No part crosses another "<" but a quoted value of at most 4,096 characters, so that
-#: unclosed tags cost no more than they are long.
+#: Markup. No part of a tag crosses another "<" here, so that unclosed tags cost no more than they are long;
+#: where the last form is found, Page._tag_end looks for the end past quoted values.
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>|"
-    r"<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+')*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>", re.S)
+    r"<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>|<(/?)([a-zA-Z][^\s/<>]*+)", re.S)
+UNQUOTED, UNTIL_SIGN = re.compile(r"[^<>\"']*+"), re.compile(r"[^<>]*+>")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
 
 PLAIN, NOISE, MAIN = 0, 1, 2
-#: Elements nested deeper belong to the one at this depth.
+#: Elements nested deeper have no style node of their own, but that at this depth.
 DEPTH = 500
 
 
@@ -123,32 +129,44 @@ class Page:
         self.nodes: list[tuple[int, int, int, int, int]] = []
         self.elements: list[list] = []  # of each element in page order: tag, its own role, element above, whether it holds a main, an article
         self.stack = [["", 0, -1, [], []]]  # tag, path, element, children, own text
+        self.open: dict[str, list[int]] = defaultdict(list)  # places in the stack by tag
+        self.ends: dict[int, int] = {}  # of tags, by the place of a quote in them
         buffer: list[str] = []
-        at = 0
+        at = done = 0
         while True:
             tag = TAG.search(text, at)
-            buffer.append(text[at:tag.start() if tag else len(text)])
             if not tag:
                 break
-            at = tag.end()
-            close, name, rest = (tag[1], tag[2], tag[3]) if tag[2] else (tag[4], tag[5], tag[6])
+            start, at = tag.start(), tag.end()
+            close, name, rest = tag[1], tag[2], tag[3]
+            if tag[5]:
+                end = self._tag_end(text, at)
+                if end < 0:
+                    continue  # no tag, but text
+                close, name, rest, at = tag[4], tag[5], text[at:end], end + 1
+            buffer.append(text[done:start])
+            done = at
             if not name:
                 continue
             name = name.lower()
             if name in INLINE:
-                if name == "br":
+                if name in CELLS:
                     buffer.append(" ")
                 continue
             self._flush(buffer)
             if close:
                 self._end(name)
-            elif name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\b[^<>]*+>", re.I).search(text, at)
-                at = end.end() if end else len(text)
-            elif name not in VOID:
+                continue
+            if name in RAW or name in RAW_IF_CLOSED:
+                end = re.compile(rf"</{name}\b[^<>]*+>" if name in RAW else rf"<(/?){name}\b[^<>]*+>", re.I).search(text, at)
+                if name in RAW or end and end[1]:
+                    done = at = end.end() if end else len(text)
+                    continue
+            if name not in VOID:
                 self._begin(name, rest)
                 if rest.endswith("/") and name not in ("p", "div", "li", "td", "section", "article"):
                     self._end(name)
+        buffer.append(text[done:])
         self._flush(buffer)
         while len(self.stack) > 1:
             self._pop()
@@ -157,6 +175,29 @@ class Page:
         self.nodes = [(path, parent, roles[element], layout, content) for path, parent, element, layout, content in self.nodes]
         return self.blocks
 
+    def _tag_end(self, text: str, at: int) -> int:
+        """Place of the ">" of a tag whose name ends at ``at``: past quoted values, else the next before another "<"; -1 if none."""
+        begin, passed, found = at, [], -1
+        while True:
+            at = UNQUOTED.match(text, at).end()
+            sign = text[at:at + 1]
+            if sign == ">":
+                found = at
+            if sign in ("", "<", ">"):
+                break
+            if at in self.ends:  # each quote is followed once, so the time is linear
+                found = self.ends[at]
+                break
+            passed.append(at)
+            at = text.find(sign, at + 1) + 1
+            if not at:
+                break
+        self.ends.update(dict.fromkeys(passed, found))
+        if found < 0:
+            plain = UNTIL_SIGN.match(text, begin)
+            found = plain.end() - 1 if plain else -1
+        return found
+
     def _settled(self) -> list[int]:
         """Role of each element, now that all is read; the last is that of the page, for element -1."""
         free = self._roles(lambda tag, holds_main, holds_article: False)
@@ -170,7 +211,7 @@ class Page:
         roles = [PLAIN] * (len(self.elements) + 1)
         for i, (tag, own, up, holds_main, holds_article) in enumerate(self.elements):
             above = roles[up]
-            if own == NOISE and tag not in RAW and wraps(tag, holds_main, holds_article):
+            if own == NOISE and tag not in INERT and wraps(tag, holds_main, holds_article):
                 own = PLAIN
             roles[i] = (NOISE if above == NOISE or own == NOISE and not (above == MAIN and tag == "header")
                         else MAIN if MAIN in (above, own) else PLAIN)
@@ -186,15 +227,14 @@ class Page:
             self.blocks.append((top[1], top[2], words))
 
     def _begin(self, name: str, rest: str) -> None:
-        if len(self.stack) > DEPTH:
-            return
         if name in CLOSES:
             self._close_open(CLOSES[name], LISTS if name != "body" else ())
         self._close_open({"p"}, LISTS | {"td", "th", "div", "section", "article"})
         key, role = self.roles[name, rest]
-        _, parent, above, children, _ = self.stack[-1]
-        path = self.paths[parent, key]
-        if not children or children[-1] != path:
+        _, parent, above, children, own = self.stack[-1]
+        deep = len(self.stack) > DEPTH
+        path = parent if deep else self.paths[parent, key]
+        if not deep and (not children or children[-1] != path):
             children.append(path)
         element, i = len(self.elements), above
         self.elements.append([name, role, above, False, False])
@@ -203,24 +243,25 @@ class Page:
             while i >= 0 and not self.elements[i][held]:
                 self.elements[i][held] = True
                 i = self.elements[i][2]
-        self.stack.append([name, path, element, [], []])
+        self.open[name].append(len(self.stack))
+        self.stack.append([name, path, element, children, own] if deep else [name, path, element, [], []])
 
     def _close_open(self, names: set[str], bounds: Iterable[str]) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth][0] in names:
-                while len(self.stack) > depth:
-                    self._pop()
-                return
-            if self.stack[depth][0] in bounds:
-                return
+        at = max((self.open[n][-1] for n in names if self.open[n]), default=0)
+        if at and at > max((self.open[n][-1] for n in bounds if self.open[n]), default=0):
+            while len(self.stack) > at:
+                self._pop()
 
     def _end(self, name: str) -> None:
-        if any(x[0] == name for x in self.stack[1:]):
+        if self.open[name]:
             while self._pop() != name:
                 pass
 
     def _pop(self) -> str:
         name, path, element, children, own = self.stack.pop()
+        self.open[name].pop()
+        if own is self.stack[-1][4]:  # deeper than DEPTH
+            return name
         layout = xxhash.xxh64_intdigest(repr(children), 1) >> 1
         content = xxhash.xxh64_intdigest("\n".join(own), 2) >> 1 if own else 0
         self.nodes.append((path, self.stack[-1][1], element, layout, content))

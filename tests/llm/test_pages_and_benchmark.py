@@ -61,6 +61,27 @@ def test_wrappers_that_look_like_noise(page, text):
     assert read(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><figure><img><figcaption>cap</figcaption></figure><noscript>n</noscript><p>x <math><mi>a</mi><mo>=</mo><mn>1</mn></math> y", "cap\nn\nx a=1 y"),
+    ("<article><svg class='icon'/><p>a</p><math/>b<svg><text>no</text></svg>c</article>", "a\nb\nc"),
+    ("<article><div><svg><path></div><p>a</p><div><template>t</div><p>b</p></article>", "a\nb"),
+    ("<head><title>t<body><p>a</p><div><iframe></div><p>b</p><div><textarea>t</div><iframe>x</iframe>c", "a\nb\nc"),
+    ("<div>" * 600 + "<nav>n</nav><article><p>a</p></article></div><p>b</p><footer>f</footer>", "a\nb"),
+    ("<main>" + "<section>" * 600 + "a" + "</section>" * 600 + "b</main><footer>f</footer>", "a\nb"),
+    (f"<p>a</p><div title='{'<b> ' * 2_000}'>x</div>", "a\nx"), (f"<div data-x=\"{'>' * 9_000}\" class='sidebar'>x</div>y", "y")])
+def test_article_content_and_parser_caps(page, text):
+    assert read(page) == text
+
+
+@pytest.mark.parametrize("page", ["<b\" \"" * 80_000, "<a \"<b' " * 60_000, "<li><ul>" + "<x>" * 50_000 + "<li></li>" * 20_000, "<title>" * 60_000,
+                                  "<svg><iframe>" * 50_000, "<x>" * 50_000 + "</y>" * 50_000])
+def test_hostile_quotes_and_nesting_take_linear_time(page):
+    import time
+    start = time.process_time()
+    read(page)
+    assert time.process_time() - start < 20
+
+
 @pytest.mark.parametrize("page", ["<a" * 200_000, "<!" * 200_000, "<a '" * 100_000, "<x>" * 100_000, "<p>" + "<x>" * 50_000, "</script" * 100_000,
                                   "<script>" + "</script" * 100_000, "<div " + "a=b " * 100_000, "&" * 300_000, "<p>" * 100_000])
 def test_markup_that_never_closes_takes_linear_time(page):
