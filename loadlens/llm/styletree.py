@@ -12,7 +12,7 @@ a host shows a node seldom, the tree of all hosts decides; else the lower of the
 Roles are importances known beforehand: elements and class names for menus, headers,
 footers, side bars, notices, adverts, forms, comments and invisible parts are 0 with
 all below them; the article or main element is 1, and so is what is below it but for
-the former. A name counts as a whole class or id, or as a part of one made of such names
+the former (entropy there loses text, README). A name counts as a whole class or id, or as a part of one made of such names
 only (``nav-menu``, not ``has-sidebar``), never on html and body. What is 0 but holds a main element, or is a form that
 holds an article, is a wrapper and loses its role; so does what holds an article
 on a page with no other main or article. Entropy decides about all else, and about all of a page without roles.
@@ -67,6 +67,8 @@ NOISE_NAMES = frozenset("""ad ads advert adverts advertisement advertising spons
     menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside rail widget notice notices cookie cookies consent gdpr alert
     popup modal overlay comment comments disqus reply replies respond share sharing social related recommended recommendations
     newsletter subscribe subscription signup login search form pagination pager toolbar skip""".split())
+#: Not cancelled by a name of main content.
+STRONG_NAMES = frozenset("comment comments disqus reply replies respond sidebar footer nav navbar navigation menu".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 
 #: Markup. No part of a tag crosses another "<" here, so that unclosed tags cost no more than they are long;
@@ -89,14 +91,14 @@ def host_of(url: str | None) -> str:
 
 
 def _named_noise(names: str) -> bool:
-    """Whether classes and ids name noise; a name of main content cancels that."""
+    """Whether classes and ids name noise; a name of main content cancels the weaker ones."""
     noise, main = set(), set()
     for token in names.split():
         words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
         main |= words & MAIN_NAMES
         if words <= NOISE_NAMES | MAIN_NAMES:
             noise |= words & NOISE_NAMES
-    return bool(noise) and not main
+    return bool(noise) and (not main or bool(noise & STRONG_NAMES))
 
 
 def _role(tag_and_rest: tuple[str, str]) -> tuple[str, int]:

@@ -108,6 +108,11 @@ def test_style_tree_removes_what_repeats_without_any_role(spark):
     assert got == {i: "\n".join(f"word{i} text{j} {i * j}" for j in range(1 + i % 4)) for i in range(200)}
 
 
+@pytest.mark.parametrize("name", ["post-comments", "entry-comments", "comment-content", "content-sidebar", "entry-footer", "post comments"])
+def test_names_of_main_content_do_not_cancel_noise(name):
+    assert read(f"<article><p>a</p><div class='{name}'>x</div></article>") == "a"
+
+
 def test_branch_importance_mixes_own_and_children():
     nodes = {1: (0, 1.0, None), 2: (1, 0.0, 0.2), 3: (1, 1.0, 1.0)}
     got, low = S.branch_importance(nodes)
