@@ -1,7 +1,8 @@
 """Main text of web pages by a site style tree.
 
 The block elements of all pages of a host are merged into one tree: a style node is
-a path of element keys (tag, class and id with digits folded). For every style node
+a path of element keys (tag, class and id with digits folded; no ids of headings, sections,
+paragraphs and the like, which are often made from titles). For every style node
 Spark counts the layouts (sequences of children) and the contents (own text) of its
 occurrences, per host and over all hosts. The entropy of these counts, over the
 largest it could have, is the node's presentation or content importance: what always
@@ -34,6 +35,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -80,6 +82,9 @@ UNQUOTED, UNTIL_SIGN = re.compile(r"[^<>\"']*+"), re.compile(r"[^<>]*+>")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
 
+#: Their ids are no part of the key.
+UNNAMED = frozenset("h1 h2 h3 h4 h5 h6 section p li dt dd tr td th figure blockquote pre".split())
+
 PLAIN, NOISE, MAIN = 0, 1, 2
 #: Elements nested deeper have no style node of their own, but that at this depth.
 DEPTH = 500
@@ -104,19 +109,21 @@ def _named_noise(names: str) -> bool:
 def _role(tag_and_rest: tuple[str, str]) -> tuple[str, int]:
     """Key and role of an element from its tag and attributes."""
     tag, rest = tag_and_rest
-    names, hidden, main = [], False, tag in MAIN_TAGS
+    names, keys, hidden, main = [], [], False, tag in MAIN_TAGS
     for name, *values in ATTRIBUTE.findall(rest) if rest.strip(" /") else ():
         value = next((v for v in values if v), "")
         name = name.lower()
         if name in ("class", "id"):
             names.append(re.sub(r"\d+", "0", value))
+            if name == "class" or tag not in UNNAMED:
+                keys.append(names[-1])
         elif name == "role":
             main |= value == "main"
             hidden |= value in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
     noise = tag in NOISE_TAGS or hidden or tag not in ("html", "body") and _named_noise(" ".join(names))
-    return ".".join([tag, *names]), NOISE if noise and not main else MAIN if main else PLAIN
+    return ".".join([tag, *keys]), NOISE if noise and not main else MAIN if main else PLAIN
 
 
 class Page:
@@ -126,7 +133,7 @@ class Page:
         self.roles, self.paths = roles, paths
 
     def read(self, text: str) -> list[tuple[int, int, str]]:
-        """Blocks ``(path, role, text)`` in page order; ``nodes`` gets (path, parent, role, layout, content) of each element."""
+        """Blocks ``(path, role, text)`` in page order; ``nodes`` gets (path, parent, depth, layout, content) of each element."""
         self.blocks: list[tuple[int, int, str]] = []
         self.nodes: list[tuple[int, int, int, int, int]] = []
         self.elements: list[list] = []  # of each element in page order: tag, its own role, element above, whether it holds a main, an article
@@ -174,7 +181,6 @@ class Page:
             self._pop()
         roles = self._settled()
         self.blocks = [(path, roles[element], words) for path, element, words in self.blocks]
-        self.nodes = [(path, parent, roles[element], layout, content) for path, parent, element, layout, content in self.nodes]
         return self.blocks
 
     def _tag_end(self, text: str, at: int) -> int:
@@ -266,7 +272,7 @@ class Page:
             return name
         layout = xxhash.xxh64_intdigest(repr(children), 1) >> 1
         content = xxhash.xxh64_intdigest("\n".join(own), 2) >> 1 if own else 0
-        self.nodes.append((path, self.stack[-1][1], element, layout, content))
+        self.nodes.append((path, self.stack[-1][1], len(self.stack), layout, content))
         return name
 
 
@@ -277,7 +283,7 @@ def _reader() -> Page:
 # ------------------------------------------------------------------ the tree
 
 def style_counts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """``host, path, parent, kind, feature, n``: occurrences of each layout (kind 0) and content (kind 1).
+    """``host, path, parent, depth, kind, feature, n``: occurrences of each layout (kind 0) and content (kind 1).
 
     Each task adds up first.
     """
@@ -288,23 +294,23 @@ def style_counts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
             for url, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page.read(cell.as_py())
                 host = host_of(url)
-                for path, parent, _, layout, content in page.nodes:
-                    counts[host, path, parent, 0, layout] += 1
+                for path, parent, depth, layout, content in page.nodes:
+                    counts[host, path, parent, depth, 0, layout] += 1
                     if content:
-                        counts[host, path, parent, 1, content] += 1
-            keys = list(zip(*counts)) or [[]] * 5
+                        counts[host, path, parent, depth, 1, content] += 1
+            keys = list(zip(*counts)) or [[]] * 6
             yield pa.record_batch([pa.array(keys[0], pa.string()), pa.array(keys[1], pa.int64()), pa.array(keys[2], pa.int64()),
-                                   pa.array(keys[3], pa.int32()), pa.array(keys[4], pa.int64()),
-                                   pa.array(list(counts.values()), pa.int64())], ["host", "path", "parent", "kind", "feature", "n"])
+                                   pa.array(keys[3], pa.int32()), pa.array(keys[4], pa.int32()), pa.array(keys[5], pa.int64()),
+                                   pa.array(list(counts.values()), pa.int64())], ["host", "path", "parent", "depth", "kind", "feature", "n"])
 
     plain = pages.select(F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("t"))
-    made = plain.mapInArrow(run, "host string, path long, parent long, kind int, feature long, n long")
-    return made.groupBy("host", "path", "parent", "kind", "feature").agg(F.sum("n").alias("n"))
+    made = plain.mapInArrow(run, "host string, path long, parent long, depth int, kind int, feature long, n long")
+    return made.groupBy("host", "path", "parent", "depth", "kind", "feature").agg(F.sum("n").alias("n"))
 
 
 def importances(counts: DataFrame, by_host: bool) -> DataFrame:
-    """``[host,] path, parent, n, presentation, content``: entropy over the largest possible, 1 for a single occurrence."""
-    keys = ["host", "path", "parent"] if by_host else ["path", "parent"]
+    """``[host, depth,] path, parent, n, presentation, content``: entropy over the largest possible, 1 for a single occurrence."""
+    keys = ["host", "path", "parent", "depth"] if by_host else ["path", "parent"]
     c = counts if by_host else counts.groupBy("path", "parent", "kind", "feature").agg(F.sum("n").alias("n"))
     total, part = F.sum("n"), F.sum(F.col("n") * F.log("n"))
     one = c.groupBy(*keys, "kind").agg(total.alias("n"), part.alias("part"))
@@ -339,6 +345,31 @@ def branch_importance(nodes: dict[int, tuple[int, float, float | None]]) -> tupl
     return out, low
 
 
+def low_nodes(judged: DataFrame) -> DataFrame:
+    """``host, path`` of what branch_importance removes from ``host, path, parent, depth, presentation, content``.
+
+    Level by level from below: children are added up by (host, parent), so no task holds a host's tree.
+    Below the deepest node with a value under 1 every importance is 1.
+    """
+    deepest = judged.where("presentation < 1 OR content < 1").agg(F.max("depth")).first()[0] or 0
+    below = judged.where(F.col("depth") == deepest + 1).groupBy("host", F.col("parent").alias("path")).agg(
+        F.count(F.lit(1)).alias("children"), F.count(F.lit(1)).cast("double").alias("total"), F.lit(False).alias("all_low"))
+    own = F.col("content").isNotNull().cast("long")
+    parts = F.coalesce("children", F.lit(0)) + own
+    weight = F.pow(F.lit(GAMMA), parts)
+    mean = (F.coalesce("total", F.lit(0.0)) + F.coalesce("content", F.lit(0.0))) / F.greatest(parts, F.lit(1))
+    importance = F.when(parts > 0, (1 - weight) * F.col("presentation") + weight * mean).otherwise(F.col("presentation"))
+    levels = []
+    for depth in range(deepest, 0, -1):
+        level = stored(judged.where(F.col("depth") == depth).join(below, ["host", "path"], "left").select(
+            "host", "path", "parent", importance.alias("importance"),
+            ((importance < LEAST) & F.coalesce("all_low", F.lit(True))).alias("low")), "style-level")
+        levels.append(level.where("low").select("host", "path"))
+        below = level.groupBy("host", F.col("parent").alias("path")).agg(
+            F.count(F.lit(1)).alias("children"), F.sum("importance").alias("total"), F.min("low").alias("all_low"))
+    return reduce(DataFrame.unionByName, levels, judged.select("host", "path").limit(0))
+
+
 def removed_nodes(counts: DataFrame) -> DataFrame:
     """``host, removed``: style nodes of low importance, host by host."""
     own = importances(counts, by_host=True)
@@ -348,19 +379,9 @@ def removed_nodes(counts: DataFrame) -> DataFrame:
         return F.when(F.col("n") >= SUPPORT, F.least(own_value, all_value)).when(F.col("all_n") >= SUPPORT, F.col(all_value)).otherwise(1.0)
 
     judged = own.join(every, ["path", "parent"]).select(
-        "host", "path", "parent", at_least("presentation", "all_p").alias("presentation"),
+        "host", "path", "parent", "depth", at_least("presentation", "all_p").alias("presentation"),
         F.when(F.col("content").isNotNull(), at_least("content", "all_c")).alias("content"))
-    trees = judged.groupBy("host").agg(F.collect_list(F.struct("path", "parent", "presentation", "content")).alias("nodes"))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for host, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                tree = {n["path"]: (n["parent"], n["presentation"], n["content"]) for n in nodes}
-                rows.append(sorted(branch_importance(tree)[1]))
-            yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["host", "removed"])
-
-    return trees.mapInArrow(run, "host string, removed array<long>").where(F.size("removed") > 0)
+    return low_nodes(stored(judged, "style-judged")).groupBy("host").agg(F.collect_list("path").alias("removed"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

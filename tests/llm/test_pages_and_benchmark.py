@@ -121,6 +121,21 @@ def test_branch_importance_mixes_own_and_children():
     assert got[1] == pytest.approx((1 - 0.81) * 1.0 + 0.81 * (got[2] + got[3]) / 2)
 
 
+def test_low_nodes_level_by_level_equal_the_tree(spark):
+    import random
+    rng, rows = random.Random(3), []
+    for host in "ab":
+        depth = {0: 0}
+        for path in range(1, 120):
+            parent = rng.choice([p for p in depth if depth[p] < 7])
+            depth[path] = depth[parent] + 1
+            rows.append((host, path, parent, depth[path], rng.choice([0.0, 0.1, 0.3, 1.0]), rng.choice([None, 0.0, 0.2, 1.0])))
+    judged = spark.createDataFrame(rows, "host string, path long, parent long, depth int, presentation double, content double")
+    got = {(r["host"], r["path"]) for r in S.low_nodes(judged).collect()}
+    assert got == {(h, p) for h in "ab" for p in S.branch_importance({r[1]: (r[2], r[4], r[5]) for r in rows if r[0] == h})[1]} and got
+    assert S._role(("h2", " id='my-section'"))[0] == "h2" and S._role(("div", " id='menu'"))[0] == "div.menu"
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None, "x"), (1, None, None, "x"), (None, "no host", "<p>a</p>", None), (2, "http://u:p@Host.org:80/x", "", "y"),
             (3, "http://h.org", "<p>" + "long " * 200_000 + "</p>", "z")]
