@@ -36,13 +36,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of 3 or fewer differing bits connect: the smallest doc_id.
 
-    Of rows that repeat that id one stays. A group without any id has no smallest and is kept.
+    Of rows that repeat that id, or of a group without any id, the one of least row key stays.
     """
     marked = stored(near_duplicates(docs, words=3, limit=3, row_key=row_key()), "near-duplicates")
-    grouped = marked.where("component_id IS NOT NULL")
-    first = grouped.where("doc_id = component_id").groupBy("component_id").agg(F.min("row_key").alias("row_key"))
-    gone = grouped.select("row_key").distinct().join(first, "row_key", "left_anti")  # by row, not by group: no key is hot
-    repeated = stored(grouped.where("doc_id = component_id").groupBy("row_key").count().where("count > 1").select("row_key"), "repeated")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    first = marked.groupBy("root").agg(F.min(order).alias("least")).select("least.row_key")
+    gone = marked.select("row_key").distinct().join(first, "row_key", "left_anti")  # by row, not by group: no key is hot
+    repeated = stored(marked.groupBy("row_key").count().where("count > 1").select("row_key"), "repeated")
     left = docs.withColumn("row_key", row_key()).join(gone, "row_key", "left_anti")
     if not repeated.isEmpty():
         left = left.join(repeated, "row_key", "left_anti").unionByName(left.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"]))

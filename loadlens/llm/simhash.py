@@ -232,7 +232,9 @@ def _find_some(parent: np.ndarray, *places: np.ndarray) -> None:
 
 def near_duplicates(docs: DataFrame, words: int = 3, limit: int = 3, id_col: str = "doc_id", text_col: str = "text",
                     row_key: Column | None = None) -> DataFrame:
-    """``<id_col>, row_key, fp, component_id`` of every row; component_id is the smallest id reachable over links.
+    """``<id_col>, row_key, fp, root, component_id`` of every row; component_id is the smallest id reachable over links.
+
+    ``root`` is the component's least fingerprint, which stands for it also where no row has an id.
 
     ``row_key``, a long, comes along as it is (0 if not given).
     """
@@ -241,7 +243,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, limit: int = 3, id_col: str
     roots = components(links(first.select("fp"), limit)).withColumnsRenamed({"node": "fp"})
     rooted = first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "row_key", "fp", "component_id")
+    return marked.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp").select(
+        id_col, "row_key", "fp", "root", "component_id")
 
 
 def hex_digits(fp: str = "fp") -> Column:

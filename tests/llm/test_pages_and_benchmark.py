@@ -268,6 +268,15 @@ def test_stages_take_odd_and_empty_documents(spark, odd_docs, no_docs):
     assert sorted(r["doc_id"] for r in left if r["doc_id"] in (1, 2, 4, 5, 6)) == [1, 4]
 
 
+def test_near_dedup_keeps_one_of_a_group_without_ids(spark):
+    same = "The quick brown fox jumps over the lazy dog near the river bank today."
+    other = "Entirely different words about mountains, sailing boats and old clocks in the town."
+    rows = [(None, same), (None, same), (None, same), (None, other), (7, other), (7, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.STAGES[1][1](spark, docs, SF_TINY).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left) == [("7", other), ("None", same)]
+
+
 def test_registration():
     import __spark_entry__ as E
     assert {"pipeline", *QUERIES} <= set(E.queries()) and [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
