@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loadlens.llm import langid
 from loadlens.llm.common import crc_fold
 from loadlens.llm.decontaminate import contaminated
+from loadlens.llm.ledger import POLICIES, rejected, with_policy, write_ledger
 from loadlens.llm.mixing import mix
 from loadlens.llm.sharding import read_shards, record_size, write_shards
 from loadlens.llm.simhash import hex_digits, near_duplicates
@@ -129,6 +130,17 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measurements and verdict, from a written ledger of rule bits."""
+    out = scratch_path(spark, "ledger")
+    write_ledger(table(spark, sf_dir, "documents"), out)
+    base = rejected(POLICIES["base", 1])
+    return with_policy(spark.read.parquet(out), POLICIES["clean", 1]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), "kept", "failed", "n_lines", "n_capital_words", "n_marks", "n_letter_words", "n_echo_words")
+
+
 SQL["op2_exact_topk"] = """
 WITH codes AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
@@ -173,3 +185,46 @@ SELECT q.doc_id, CAST(q.size AS BIGINT) AS size, CAST(q.source_size AS BIGINT) A
        CAST(q.size * coalesce(k.copies, 0) AS BIGINT) AS taken, coalesce(k.copies, 0) AS copies
 FROM q LEFT JOIN k ON q.key = k.key AND q.source_size = k.source_size AND q.words = k.words AND q.size = k.size AND q.size > 0
 """
+
+SQL["op11_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS (
+  SELECT r, doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         length(regexp_replace(t, '[^!?]+', '', 'g')) AS n_marks,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d),
+u AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM m),
+win AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c, x, e) AS n
+  FROM (SELECT r, i, word AS a, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS x,
+               lead(word, 4) OVER o AS e
+        FROM u WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE e IS NOT NULL),
+rep AS (
+  SELECT r, count(DISTINCT i + k) AS n_repeat_words
+  FROM win, (SELECT unnest(range(5)) AS k) WHERE n >= 2 GROUP BY r),
+f AS (
+  SELECT m.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+         coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_letter_words,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Z].*[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_capital_words,
+         n_symbols, n_marks, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echo_words
+  FROM m LEFT JOIN rep USING (r)),
+j AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END + CASE WHEN n_dup_lines > 2 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) THEN 16 ELSE 0 END
+    + CASE WHEN 100 * n_capital_words > 50 * n_words THEN 32 ELSE 0 END + CASE WHEN 100 * n_marks > 50 * n_words THEN 64 ELSE 0 END
+    + CASE WHEN 100 * n_letter_words < 50 * n_words THEN 128 ELSE 0 END
+    + CASE WHEN longest_word > 1000 THEN 256 ELSE 0 END + CASE WHEN 100 * n_echo_words > 30 * n_words THEN 512 ELSE 0 END AS failed
+  FROM f)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       failed & 751 = 0 AS kept, failed::BIGINT AS failed, n_lines::BIGINT AS n_lines,
+       n_capital_words::BIGINT AS n_capital_words, n_marks::BIGINT AS n_marks, n_letter_words::BIGINT AS n_letter_words,
+       n_echo_words::BIGINT AS n_echo_words
+FROM j
+"""
