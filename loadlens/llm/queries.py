@@ -14,6 +14,7 @@ from loadlens.llm.ledger import POLICIES, rejected, with_policy, write_ledger
 from loadlens.llm.mixing import mix
 from loadlens.llm.sharding import read_shards, record_size, write_shards
 from loadlens.llm.simhash import hex_digits, near_duplicates
+from loadlens.llm.spelling import text_variants
 from loadlens.llm.styletree import main_text
 from loadlens.llm.token_count import token_counts
 from loadlens.llm.token_output import read_documents, write_tokens
@@ -141,6 +142,12 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.alias("base_failed"), "kept", "failed", "n_lines", "n_capital_words", "n_marks", "n_letter_words", "n_echo_words")
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their near words, written forms and roots."""
+    return text_variants(table(spark, sf_dir, "documents"))
+
+
 SQL["op2_exact_topk"] = """
 WITH codes AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
@@ -228,3 +235,38 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_echo_words::BIGINT AS n_echo_words
 FROM j
 """
+
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents),
+once AS (SELECT id, run, count(*) AS k, hex(id || ':' || run) AS x FROM runs WHERE length(run) >= 5 GROUP BY id, run),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i:
+             (strpos('0123456789ABCDEF', x[i]) * 16 + strpos('0123456789ABCDEF', x[i + 1]) - 17)::BIGINT)),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS h
+  FROM once, tab),
+v AS (
+  SELECT word, sum(k)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+gap AS (SELECT word, n, i, left(word, i) AS a, substr(word, i + 2) AS b FROM (SELECT *, unnest(range(length(word))) AS i FROM v)),
+pairs AS (
+  SELECT x.word, y.word AS near, y.n AS near_n FROM gap x JOIN gap y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT g.word, v.word, v.n FROM gap g JOIN v ON v.word = g.a || g.b
+  UNION SELECT v.word, g.word, g.n FROM gap g JOIN v ON v.word = g.a || g.b),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS m, arg_min(near, (-near_n, near)) AS near FROM pairs GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * v.n THEN near END AS form, CASE WHEN m >= 2 * v.n THEN m END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk(word, spot) AS (
+  SELECT word, word FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.spot WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.spot AS root FROM walk JOIN f ON f.word = walk.spot WHERE f.form IS NULL)
+SELECT f.word, f.form, ends.root, f.n, f.n_near, f.form_n FROM f JOIN ends ON ends.word = f.word
+"""
