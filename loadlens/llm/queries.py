@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.llm import langid
+from loadlens.llm.alignment import aligned_corpus
 from loadlens.llm.common import crc_fold
 from loadlens.llm.decontaminate import contaminated
 from loadlens.llm.ledger import POLICIES, rejected, with_policy, write_ledger
@@ -36,9 +37,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def token_digest(spark: SparkSession, out: str) -> DataFrame:
@@ -142,6 +143,14 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.alias("base_failed"), "kept", "failed", "n_lines", "n_capital_words", "n_marks", "n_letter_words", "n_echo_words")
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers over every document."""
+    done = aligned_corpus(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return done.select(F.col("id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                       "groups_sha256")
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words of all documents with their near words, written forms and roots."""
