@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -40,7 +41,9 @@ from loadlens.llm.pretokens import kept
 from loadlens.llm.texts import byte_table, cut_by_bytes, flat
 
 #: Tokens of one side that are aligned at once; distinct pairs that a counting task collects before it adds them up.
-STRETCH, PENDING = 1 << 20, 1 << 21
+STRETCH, PENDING = 1 << 19, 1 << 20
+#: Bytes of the encoded parts that a worker remembers (it holds up to twice as much).
+MEMO_BYTES = 64 << 20
 PRINTABLE = byte_table("".join(map(chr, range(0x21, 0x7F))))
 #: First bytes of two-byte characters none of which is white space (U+00C0 to U+07FF).
 TWO_BYTES = (np.arange(256) >= 0xC3) & (np.arange(256) < 0xE0)
@@ -111,8 +114,16 @@ def linkable_pairs(path_a: str, path_b: str) -> int:
 
 
 def splits_at_spaces(path: str) -> bool:
-    """Whether no token goes on over a space after another character: then parts that begin with a space encode alone."""
-    return not any(b" " in t.lstrip(b" ") for t in token_bytes(path))
+    """Whether parts that begin with a single space encode alone (see ``part_starts``).
+
+    Byte-level: the usual pattern splits the text as it is. Pieces: none goes on over a
+    space after another character, so no merge crosses the start of a part.
+    """
+    if path.endswith(".model"):
+        return not any(b" " in t.lstrip(b" ") for t in token_bytes(path))
+    made = json.loads(byte_level(path).to_str())
+    step = made["pre_tokenizer"] or {}
+    return made["normalizer"] is None and step.get("type") == "ByteLevel" and step["use_regex"] and not step["add_prefix_space"]
 
 
 # ---------------------------------------------------------------- encoding
@@ -121,15 +132,17 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the texts (each after a space) can be cut: at their starts, and at single spaces
     between two characters that are surely no white space.
 
-    B never merges over such a space (``splits_at_spaces``), and A's pattern begins a
-    match there: all its alternatives take white space only at their start, and a
-    run of white space is one part with what is around it.
+    B never merges over such a space, and A's pattern begins a match there: its
+    alternatives take white space only at their start, and a run of white space is one
+    part with what is around it.
     """
     at = np.flatnonzero(data == 32)
     at = at[(at >= 2) & (at < len(data) - 1)]
     before = PRINTABLE[data[at - 1]] | (TWO_BYTES[data[at - 2]] & ((data[at - 1] & 0xC0) == 0x80))
     after = PRINTABLE[data[at + 1]] | TWO_BYTES[data[at + 1]]
-    return np.union1d(at[before & after], offsets[:-1][offsets[1:] > offsets[:-1]])
+    first = np.zeros(len(data), bool)
+    first[at[before & after]] = first[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    return np.flatnonzero(first)
 
 
 class Encoder:
@@ -139,7 +152,7 @@ class Encoder:
         self.a, self.b = byte_level(path_a), pieces_model(path_b)
         self.bytes_a, self.bytes_b = token_bytes(path_a), token_bytes(path_b)
         self.whole = not (splits_at_spaces(path_a) and splits_at_spaces(path_b))
-        self.memo = ByteMemo(self.solve, weight=lambda v: len(v[0]) + len(v[1]) + 200)
+        self.memo = ByteMemo(self.solve, MEMO_BYTES, lambda v: len(v[0]) + len(v[1]) + 200)
 
     def solve(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes, bool]]:
         for some in by_bytes(parts):
@@ -148,7 +161,7 @@ class Encoder:
             by_b = self.b.encode([t[1:] for t in texts], num_threads=1)  # B adds the space itself
             for part, a, b in zip(some, by_a, by_b, strict=True):
                 good = (b"".join([self.bytes_a[i] for i in a]) == part) and (b"".join([self.bytes_b[i] for i in b]) == part)
-                yield np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), good
+                yield array("I", a).tobytes(), array("I", b).tobytes(), good
 
     def parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
         starts = offsets[:-1][offsets[1:] > offsets[:-1]] if self.whole else part_starts(data, offsets)
@@ -196,28 +209,26 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     Both arrays rise strictly and end with the same number.
     """
     one, two = ends_a.tolist(), ends_b.tolist()
-    bytes_a, bytes_b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
+    wide_a, wide_b = ends_a.astype(np.int64).tobytes(), ends_b.astype(np.int64).tobytes()
     n, i, j = len(one), 0, 0
     from_a, from_b, lengths = [], [], []
-
-    def equal(step: int) -> bool:
-        """Whether the next ``step`` ends agree at the current shift."""
-        return i + step <= n and bytes_a[8 * i:8 * (i + step)] == bytes_b[8 * j:8 * (j + step)]
-
     while i < n:
         x, y = one[i], two[j]
         if x == y:
             from_a.append(i)
             from_b.append(j)
-            first, step = i, 1
+            first, step = i, 4
             i, j = i + 1, j + 1
-            if i < n and one[i] == two[j]:  # a run: probe doubling stretches, then halve to its end
-                while equal(step):
+            if i < n and one[i] == two[j]:  # a run: probe doubling stretches at this shift
+                i, j = i + 1, j + 1
+                while i + step <= n and wide_a[8 * i:8 * (i + step)] == wide_b[8 * j:8 * (j + step)]:
                     i, j, step = i + step, j + step, 2 * step
-                while step > 1:
+                while step > 4:  # it ends within the next stretch: halve
                     step //= 2
-                    if equal(step):
+                    if i + step <= n and wide_a[8 * i:8 * (i + step)] == wide_b[8 * j:8 * (j + step)]:
                         i, j = i + step, j + step
+                while i < n and one[i] == two[j]:
+                    i, j = i + 1, j + 1
             lengths.append(i - first)
         else:
             while x != y:

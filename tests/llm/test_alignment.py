@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -92,11 +93,16 @@ def test_diagonal_runs_equal_the_common_ends(a, b, run_a, run_b):
     assert one[found[0] - 1].tolist() == two[found[1] - 1].tolist() == common.tolist()
 
 
+@lru_cache
+def kept_encoder():
+    return A.Encoder(BYTES, PIECES)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.characters(codec="utf-8"), max_size=60) | st.text("ab Àé'’s\t\n ▁　数019_!?.<|endoftext|></s><0x41>", max_size=60))
 def test_parts_encode_as_whole_texts(text):
     import pyarrow as pa
-    encoder = A.Encoder(BYTES, PIECES)
+    encoder = kept_encoder()
     data, offsets = A.flat(pa.array([(" " + text).encode() if text else b""], pa.binary()))
     ids_a, ids_b, _, _ = encoder.encode(data, offsets)
     assert (ids_a.tolist(), ids_b.tolist()) == tuple(map(list, plain_ids(text)))
