@@ -2,9 +2,9 @@
 
 A word tokenizer (one whose pre-tokenizer keeps only matches of a pattern that
 holds no white space) gives a text the ids of its white-space-separated parts,
-one after another. So parts can be remembered: each distinct part is encoded
-once by the library, and a text costs a split and a lookup for each part. For
-other tokenizers every text goes through the library as a whole.
+one after another. So the distinct parts of an Arrow batch are looked up or encoded
+once, and the ids of its texts are gathered by number. What is remembered is bounded by
+bytes. For other tokenizers every text goes through the library as a whole.
 
 ``whole_tokens`` is the proof step, run once on the driver: the vocabulary
 strings that the library, asked for each of them alone, encodes as that one token.
@@ -14,9 +14,19 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+
+from loadlens.llm.memo import ByteMemo, by_bytes
+from loadlens.llm.texts import SPACES, coded, flat, runs, spans
+
+#: Bytes of the parts that a worker remembers (it holds up to twice as much).
+PART_BYTES = 48 << 20
+
 #: Characters on which Python and the tokenizer's own rules surely agree: printable
 #: ASCII and the composed Latin letters (but the dotted capital I).
 PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]*")
@@ -116,49 +126,99 @@ def kept(kind: str, path: str, make: Callable) -> Callable:
     return _KEPT[kind, path]
 
 
-def counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable[[bytes], int]:
-    """A function from a text's UTF-8 bytes to its number of tokens."""
-    if not splits_words(path):
-        return lambda data: len(library_ids(path, data.decode()))
-    made = load(path)
-
-    def merged(piece: str) -> int:
-        return len(made.encode(piece, add_special_tokens=False).ids)
-
-    rest = Memo(merged, 400_000)
+class Parts:
+    """Values of the white-space-separated parts of many texts; each distinct part of a batch is looked up once."""
 
-    def part_count(part: bytes) -> int:
-        text = part.decode()
-        found = pieces(text)
-        if found is None:
-            return len(made.encode(text, add_special_tokens=False).ids)
-        return sum(1 if p in whole else rest[p] for p in found)
+    def __init__(self, solve: Callable[[list[bytes]], Iterable], limit: int = PART_BYTES, weight: Callable = len):
+        self.memo = ByteMemo(solve, limit, weight)
 
-    known = Memo(part_count)
-    return lambda data: sum(map(known.__getitem__, data.split()))
+    def of(self, column: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+        """Distinct values, the number of each part's value, and the row of each part."""
+        data, offsets = flat(column)
+        starts, ends, owner = runs(~SPACES[data], offsets)
+        codes, distinct = coded(spans(data, starts, ends))
+        return self.memo.values(distinct.to_pylist()), codes, owner
 
 
-def encoder(path: str, whole: dict[str, int]) -> Callable[[bytes], bytes]:
-    """A function from a text's UTF-8 bytes to its ids as little-endian unsigned 32-bit integers."""
-    def packed(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+def batch_counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable[[pa.Array], np.ndarray]:
+    """A function from a column of UTF-8 bytes to each text's number of tokens."""
+    if not splits_words(path):
+        return lambda column: np.array([len(library_ids(path, t.as_py().decode())) for t in column], np.int64)
+    made = load(path)
 
+    def merged(some: list[bytes]) -> list[int]:
+        return [len(e.ids) for e in made.encode_batch_fast([x.decode() for x in some], add_special_tokens=False)]
+
+    def merge(keys: list[bytes]) -> list[int]:
+        return [n for some in by_bytes(keys) for n in merged(some)]
+
+    rest = ByteMemo(merge, PART_BYTES, lambda n: 8)
+
+    def solve(parts: list[bytes]) -> list[int]:
+        """Whole tokens are counted directly; the library merges the rest, all of a batch at once."""
+        counts, owner, left = [0] * len(parts), [], []
+        for i, part in enumerate(parts):
+            found = pieces(part.decode())
+            if found is None:
+                owner.append(i)
+                left.append(part)
+                continue
+            for p in found:
+                if p in whole:
+                    counts[i] += 1
+                else:
+                    owner.append(i)
+                    left.append(p.encode())
+        for i, n in zip(owner, rest.values(left), strict=True):
+            counts[i] += n
+        return counts
+
+    table = Parts(solve, weight=lambda n: 8)
+
+    def count(column: pa.Array) -> np.ndarray:
+        values, codes, owner = table.of(column)
+        each = np.array(values, np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
+        return np.bincount(owner, each, minlength=len(column)).astype(np.int64)
+
+    return count
+
+
+def batch_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """A function from a column of UTF-8 bytes to the ids of all its texts, and where each text's ids end."""
     if not splits_words(path):
-        return lambda data: packed(library_ids(path, data.decode()))
+        def each(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            ids = [library_ids(path, t.as_py().decode()) for t in column]
+            return np.array([i for x in ids for i in x], np.uint32), np.cumsum([len(x) for x in ids], dtype=np.int64)
+        return each
     made = load(path)
 
-    def merged(piece: str) -> bytes:
-        return packed(made.encode(piece, add_special_tokens=False).ids)
+    def solve(parts: list[bytes]) -> Iterator[bytes]:
+        for some in by_bytes(parts):
+            for e in made.encode_batch_fast([p.decode() for p in some], add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
+
+    table = Parts(solve)
+
+    def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        values, codes, owner = table.of(column)
+        if not len(codes):
+            return np.zeros(0, np.uint32), np.zeros(len(column), np.int64)
+        packed = pa.array(values, pa.binary())
+        sizes = np.diff(np.frombuffer(packed.buffers()[1], np.int32, len(values) + 1)) // 4
+        taken = packed.take(pa.array(codes)).buffers()[2]
+        ends = np.cumsum(np.bincount(owner, sizes[codes], minlength=len(column))).astype(np.int64)
+        return (np.frombuffer(taken, "<u4") if taken else np.zeros(0, np.uint32))[:ends[-1]], ends
 
-    rest = Memo(merged, 400_000)
-    single = {t: packed([i]) for t, i in whole.items()}
+    return encode
+
+
+def counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable[[bytes], int]:
+    """A function from one text's UTF-8 bytes to its number of tokens."""
+    count = batch_counter(path, whole)
+    return lambda data: int(count(pa.array([data], pa.binary()))[0])
 
-    def part_ids(part: bytes) -> bytes:
-        text = part.decode()
-        found = pieces(text)
-        if found is None:
-            return merged(text)
-        return b"".join([single.get(p) or rest[p] for p in found])
 
-    known = Memo(part_ids)
-    return lambda data: b"".join(map(known.__getitem__, data.split()))
+def encoder(path: str) -> Callable[[bytes], bytes]:
+    """A function from one text's UTF-8 bytes to its ids as little-endian unsigned 32-bit integers."""
+    encode = batch_encoder(path)
+    return lambda data: encode(pa.array([data], pa.binary()))[0].astype("<u4").tobytes()

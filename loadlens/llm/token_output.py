@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.llm.common import prefix_totals
-from loadlens.llm.pretokens import encoder, kept, whole_tokens
+from loadlens.llm.pretokens import batch_encoder, kept
+from loadlens.llm.texts import cut_by_bytes
 
 #: Bits of a chunk, bits between two entries of a rank directory, tokens after which a block ends.
 CHUNK, STEP, BLOCK_TOKENS = 8, 512, 1 << 18
@@ -82,31 +83,40 @@ def decode_levels(chunks: list[bytes], bitmaps: list[bytes]) -> np.ndarray:
     return value
 
 
+def with_ends(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts with ``end_id`` behind each text, and where each text then ends."""
+    upto = ends + np.arange(1, len(ends) + 1)
+    out, own = np.empty(upto[-1] if len(upto) else 0, np.uint32), np.ones(upto[-1] if len(upto) else 0, bool)
+    own[upto - 1] = False
+    out[own], out[~own] = ids, end_id
+    return out, upto
+
+
 def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text with the vocabulary file ``path``, add ``end_id``, write the files to ``out``."""
-    whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
-    end = int(end_id).to_bytes(4, "little")
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = kept("ids", path, lambda: encoder(path, whole.value))
+        encode = kept("ids", path, lambda: batch_encoder(path))
         part, before, names, ends, data, n = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def row() -> pa.RecordBatch:
-            chunks, bitmaps, ranks = encode_levels(np.frombuffer(b"".join(data), "<u4"))
+            chunks, bitmaps, ranks = encode_levels(np.concatenate(data))
             one = {"part": part, "before": before, "n_tokens": n, "doc_ids": names, "doc_ends": ends,
                    "chunks": chunks, "bitmaps": bitmaps, "ranks": ranks}
             return pa.RecordBatch.from_pylist([one], _arrow_schema())
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + end
-                n += len(ids) // 4
-                names.append(name)
-                ends.append(n)
-                data.append(ids)
-                if n >= BLOCK_TOKENS:
-                    yield row()
-                    before, names, ends, data, n = before + n, [], [], [], 0
+            for piece in cut_by_bytes(batch, 1):
+                ids, upto = with_ends(*encode(piece.column(1)), end_id)
+                keys, at, base = piece.column(0).to_pylist(), 0, 0
+                while at < len(keys):  # documents up to the one that fills the block
+                    to = min(int(np.searchsorted(upto, base + BLOCK_TOKENS - n)) + 1, len(keys))
+                    names += keys[at:to]
+                    ends += (upto[at:to] - base + n).tolist()
+                    data.append(ids[base:upto[to - 1]])
+                    n, at, base = ends[-1], to, int(upto[to - 1])
+                    if n >= BLOCK_TOKENS:
+                        yield row()
+                        before, names, ends, data, n = before + n, [], [], [], 0
         if names:
             yield row()
 
