@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from loadlens.llm.common import stored
 from loadlens.llm.memo import ByteMemo, by_bytes
 from loadlens.llm.pretokens import kept
-from loadlens.llm.texts import byte_table, cut_by_bytes, flat
+from loadlens.llm.texts import byte_list, byte_table, cut_by_bytes, flat
 
 #: Tokens of one side that are aligned at once; distinct pairs that a counting task collects before it adds them up.
 STRETCH, PENDING = 1 << 19, 1 << 20
@@ -177,7 +177,7 @@ class Encoder:
             return none, none, np.zeros(n, np.int64), np.zeros(n, np.int64)
         starts, coded = self.parts(data, offsets)
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        values = self.memo.values(coded.dictionary.to_pylist())
+        values = self.memo.values(byte_list(coded.dictionary))
         owner = np.searchsorted(offsets, starts, "right") - 1
         good = np.array([v[2] for v in values], bool)
         lost = [r for r in np.unique(owner[~good[codes]]).tolist() if not self.gives_back(

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.llm.common import stored
-from loadlens.llm.pretokens import Memo
+from loadlens.llm.texts import SPACES, byte_list, coded, cut_by_bytes, flat, runs, spans
 
 WINDOW, SHARE, LITERALS = 5, 0.8, 2
 #: Words of the shortest item that is looked for inside longer documents.
@@ -66,6 +66,8 @@ UNITS = frozenset("""
 #: Thai, Lao, Burmese, Khmer, kana and Han.
 SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
                        "\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]")
+#: Signs that may follow a word at once; below this character no script goes without spaces.
+SIGNS, FIRST_SPACELESS = frozenset(".,;:!?"), "\u0e00"
 CAPITAL, LOWER, STOP, IS_NUMBER, IS_MEASURED, IS_UNIT, IS_SPACELESS, FLAGS = 1, 2, 4, 8, 16, 32, 64, 127
 NAME, NUM, MEASURE, UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & ~FLAGS) for x in ("<name>", "<num>", "<num><unit>", "<unit>"))
 #: Tells literal windows from typed ones of the same words.
@@ -88,6 +90,12 @@ def bare(text: str) -> str:
 def _code(part: bytes) -> int:
     """Hash of a part's word without regard to case (upper 57 bits) and what it is (lower 7); 0 if it has no word."""
     text = part.decode()
+    word = text[:-1] if text[-1] in SIGNS else text
+    if word.isalpha() and (word.isascii() or max(word) < FIRST_SPACELESS):  # most parts: nothing but a word and a sign
+        flags = STOP if text[-1] in ".!?:;" else 0
+        flags |= CAPITAL if word[0].isupper() else LOWER if word[0].islower() else 0
+        folded = word.casefold()
+        return (xxhash.xxh64_intdigest(folded) & ~FLAGS) | flags | (IS_UNIT if word.lower() in UNITS else 0)
     if len(text) > 1 and SPACELESS.search(text):
         return IS_SPACELESS  # for _split
     word = bare(text)
@@ -110,6 +118,10 @@ def _split(parts: list[bytes]) -> list[bytes]:
     return [x.encode() for part in parts for x in SPACELESS.sub(r" \g<0> ", part.decode()).split()]
 
 
+def _codes(parts: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_code, parts), np.uint64, len(parts))
+
+
 def _rolled(code: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all runs of ``length`` words."""
     n = len(code) - length + 1
@@ -120,23 +132,35 @@ def _rolled(code: np.ndarray, length: int) -> np.ndarray:
 
 
 class Templates:
-    """Windows of texts; remembers a bounded number of parts."""
+    """Windows of texts."""
 
-    def __init__(self):
-        self.codes = Memo(_code)
+    @staticmethod
+    def codes(column: pa.Array) -> list[np.ndarray]:
+        """The code of every part of each text; a distinct part of the column is judged once."""
+        data, offsets = flat(column)
+        starts, ends, owner = runs(~SPACES[data], offsets)
+        which, distinct = coded(spans(data, starts, ends))
+        found = _codes(byte_list(distinct))[which]
+        upto = np.searchsorted(owner, np.arange(len(column)), "right").tolist()
+        return [found[a:b] for a, b in zip([0, *upto], upto, strict=False)]
 
-    def windows(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """Hashes and places of the telling typed windows, which words are slots, the words, and their codes."""
+    @staticmethod
+    def worded(data: bytes, found: np.ndarray) -> list[bytes]:
+        """The parts that have a word, spaceless scripts by character (as ``windows`` counts them)."""
         parts = data.split()
-        found = np.fromiter(map(self.codes.__getitem__, parts), np.uint64, len(parts))
         if (found == IS_SPACELESS).any():
             parts = _split(parts)
-            found = np.fromiter(map(self.codes.__getitem__, parts), np.uint64, len(parts))
-        if not found.all():
-            keep = np.flatnonzero(found)
-            found, parts = found[keep], [parts[i] for i in keep]
+            found = _codes(parts)
+        return parts if found.all() else [parts[i] for i in np.flatnonzero(found)]
+
+    @staticmethod
+    def windows(data: bytes, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes and places of the telling typed windows, which words are slots, and the words' codes."""
+        if (found == IS_SPACELESS).any():
+            found = _codes(_split(data.split()))
+        found = found[found > 0]
         if not len(found):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), parts, found
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), found
         flags = (found & np.uint64(FLAGS)).astype(np.uint8)
         plain = found & ~np.uint64(FLAGS)
         measured = (flags & IS_MEASURED) > 0
@@ -157,7 +181,7 @@ class Templates:
             runs = np.concatenate([[0], np.cumsum(~slots)])
             literals = runs[WINDOW:] - runs[:len(hashes)]
         places = np.flatnonzero(literals >= min(LITERALS, len(code)))
-        return hashes[places], places, slots, parts, found
+        return hashes[places], places, slots, found
 
     @staticmethod
     def literal(codes: np.ndarray, length: int = WINDOW) -> np.ndarray:
@@ -189,11 +213,12 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     ``item_row`` is xxhash64 of id and text, so that items of no or of one id stay apart.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Templates()
+        made = Templates
         for batch in batches:
             rows = []
-            for item, key, cell in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                hashes, places, slots, parts, codes = made.windows(cell)
+            for item, key, cell, found in zip(*(batch.column(i).to_pylist() for i in range(3)), made.codes(batch.column(2)), strict=True):
+                hashes, places, slots, codes = made.windows(cell, found)
+                parts = made.worded(cell, found)
                 literal = _item_literals(codes)
                 one = {"item_id": item, "item_row": key}
                 rows += [one | {"kind": TYPED_KIND, "n_windows": len(places), "w": w, "at": at, "values": v, "length": WINDOW} for w, at, v in
@@ -255,17 +280,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     short = sorted(r["length"] for r in windows.where(F.col("length") < WINDOW).select("length").distinct().collect())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Templates()
+        made = Templates
+
+        def texts(batch: pa.RecordBatch) -> Iterator[tuple]:
+            for piece in cut_by_bytes(batch, 1, 8 << 20):
+                yield from zip(piece.column(0).to_pylist(), piece.column(1), made.codes(piece.column(1)), strict=True)
+
         lead, any_ = np.frombuffer(first.value, np.uint64), np.frombuffer(every.value, np.uint64)
         for batch in batches:
             rows = []
-            for key, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                hashes, places, slots, parts, codes = made.windows(cell.as_py())
+            for key, cell, found in texts(batch):
+                hashes, places, slots, codes = made.windows(cell.as_py(), found)
                 both = np.concatenate([hashes, made.literal(codes), *(made.literal(codes, n) for n in short)])
                 lead_hits = both[_passes(lead, both)]
                 if len(lead_hits):
                     near = _passes(any_, hashes)
-                    at, literal = places[near], np.unique(both[len(hashes):])
+                    at, literal, parts = places[near], np.unique(both[len(hashes):]), made.worded(cell.as_py(), found)
                     rows.append({"row_key": key, "leads": np.unique(lead_hits).view(np.int64).tolist(),
                                  "ws": hashes[near].view(np.int64).tolist(), "ats": at.tolist(), "values": _slot_values(at, slots, parts),
                                  "literal": literal[_passes(any_, literal)].view(np.int64).tolist()})

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 
 from loadlens.llm.memo import ByteMemo, by_bytes
-from loadlens.llm.texts import SPACES, coded, flat, runs, spans
+from loadlens.llm.texts import SPACES, byte_list, coded, flat, runs, spans
 
 #: Bytes of the parts that a worker remembers (it holds up to twice as much).
 PART_BYTES = 48 << 20
@@ -137,7 +137,7 @@ class Parts:
         data, offsets = flat(column)
         starts, ends, owner = runs(~SPACES[data], offsets)
         codes, distinct = coded(spans(data, starts, ends))
-        return self.memo.values(distinct.to_pylist()), codes, owner
+        return self.memo.values(byte_list(distinct)), codes, owner
 
 
 def batch_counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable[[pa.Array], np.ndarray]:

@@ -83,3 +83,11 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """A number for each word, and the distinct words by number."""
     found = words.dictionary_encode()
     return found.indices.to_numpy(zero_copy_only=False), found.dictionary
+
+
+def byte_list(column: pa.BinaryArray) -> list[bytes]:
+    """The values of a binary array that begins at offset 0 and has no nulls."""
+    _, places, data = column.buffers()
+    ends = np.frombuffer(places, np.int32, len(column) + 1).tolist() if len(column) else []
+    whole = data.to_pybytes() if data is not None else b""
+    return [whole[a:b] for a, b in zip(ends, ends[1:], strict=False)]

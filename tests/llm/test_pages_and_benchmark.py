@@ -279,7 +279,7 @@ def test_near_dedup_keeps_one_of_a_group_without_ids(spark):
 
 def test_registration():
     import __spark_entry__ as E
-    assert {"pipeline", *QUERIES} <= set(E.queries()) and [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert {"pipeline", *QUERIES} <= set(E.queries()) and [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op2_exact_topk", "op5_mixing"])
