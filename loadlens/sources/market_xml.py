@@ -49,6 +49,70 @@ def read_documents(spark: SparkSession, path: str | list[str], strict: bool = Tr
     return out if strict else out.withColumns({FILE: F.input_file_name(), SEQ: F.monotonically_increasing_id()})
 
 
+#: Ends of text records: every start and end tag of a series without attributes ends with this.
+SEPARATOR = "TimeSeries>"
+_NAME = r"[A-Za-z_][\w.\-]*"
+#: A record that a series' end tag closed, one that a start tag closed, and what may follow the last series.
+_CLOSED, _OPENED, _TAIL = rf"</(?:{_NAME}:)?$", rf"<(?:{_NAME}:)?$", r"^\s*(?:</[^<>]+>\s*)*$"
+#: The start tag of a series with attributes or white space, and what a record may not hold.
+_TAGGED = rf"<(?:{_NAME}:)?TimeSeries\s(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>"
+_STRANGE = rf"<!--|-->|<!\[CDATA\[|\]\]>|<!DOCTYPE|</(?:{_NAME}:)?TimeSeries\s|<(?:{_NAME}:)?TimeSeries(?:\s(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)?/>"
+_ENCODED = r"(?i)^\s*<\?xml[^>]*encoding=[\"'](?!utf-8[\"'])"
+
+
+def _records(spark: SparkSession, path: str | list[str], base_path: str | None) -> DataFrame:
+    """The pieces of documents between separators, with zone keys and place: ``value, FILE, SEQ``.
+
+    Large files are split by bytes like any text; ``SEQ`` orders the pieces of a file
+    by the split they begin in and their turn there.
+    """
+    reader = spark.read.format("text").option("lineSep", SEPARATOR)
+    if base_path:
+        reader = reader.option("basePath", base_path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("turn"))
+    keys = [F.col(k).cast("string").alias(k) for k in ZONE_KEYS]
+    return reader.load(path).select("value", *keys, F.col("_metadata.file_path").alias(FILE), place.alias(SEQ))
+
+
+def unsplittable(spark: SparkSession, path: str | list[str], base_path: str | None = None) -> list[str]:
+    """Files whose series cannot be told by their tags alone.
+
+    Comments, CDATA, a document type, another encoding than UTF-8, empty or oddly
+    written tags of a series, elements whose name ends like it, and documents that
+    break off. A whole-file reader must read them.
+    """
+    v = F.col("value")
+    regular = v.rlike(_CLOSED) | v.rlike(_OPENED) | v.rlike(_TAIL) | ~v.contains("<")
+    strange = ~regular | v.rlike(_STRANGE) | v.rlike(_ENCODED) | (~v.contains("<") & (F.trim(v) != ""))
+    return [r[0] for r in _records(spark, path, base_path).where(strange).select(FILE).distinct().collect()]
+
+
+def read_documents_split(spark: SparkSession, path: str | list[str], base_path: str | None = None) -> DataFrame:
+    """S1 scan by byte ranges: one large document is read by many tasks.
+
+    Rows as ``read_documents`` gives them, with their place (``FILE``, ``SEQ``), so that
+    document order is kept. Series are text records that end with their end tag; each is
+    parsed by ``from_xml`` (FAILFAST). Files that ``unsplittable`` names are read whole.
+    """
+    odd = unsplittable(spark, path, base_path)
+    records = _records(spark, path, base_path)
+    if odd:
+        records = records.where(~F.col(FILE).isin(odd))
+    closed = records.where(F.col("value").rlike(_CLOSED))
+    inner = F.regexp_replace(F.regexp_replace("value", rf"(?s)^.*{_TAGGED}", ""), _CLOSED, "")
+    parsed = F.from_xml(F.concat(F.lit("<TimeSeries>"), inner, F.lit("</TimeSeries>")), TIMESERIES_SCHEMA,
+                        {"mode": "FAILFAST", "ignoreNamespace": "true"})
+    fields = [f.name for f in TIMESERIES_SCHEMA.fields]
+    out = closed.select(parsed.alias("s"), *ZONE_KEYS, FILE, SEQ).select(*[f"s.{f}" for f in fields], *ZONE_KEYS, FILE, SEQ)
+    if odd:
+        place = F.struct(F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("turn"))
+        # the zone keys of single files come from the folders above them
+        root = base_path or (path if isinstance(path, str) else None)
+        whole = read_documents(spark, odd, base_path=root).withColumns({FILE: F.input_file_name(), SEQ: place})
+        out = out.unionByName(whole.select(*out.columns))
+    return out
+
+
 def no_documents(spark: SparkSession) -> DataFrame:
     """What ``read_documents`` gives, not strict, if there is no document."""
     fields = [*TIMESERIES_SCHEMA.fields, *[T.StructField(k, T.StringType()) for k in (*ZONE_KEYS, BAD, FILE)],
