@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions.expr import mean
-from loadlens.operators import analytics, clean as clean_ops, quality, tables
+from loadlens.operators import analytics, clean as clean_ops, presence, quality, tables
 from loadlens.plans import ingest
 from loadlens.schema import HOURLY, STATE_SCHEMA
 from loadlens.plans.catalog import EXACT, _hour_halves, clean_obs, marks_from, query, _assertions
@@ -53,6 +53,14 @@ def q_ingest_xml_points(spark, sf):
     return mx.flatten_points(landed_series(spark, sf))
 
 
+@query("ingest_xml_split")
+def q_ingest_xml_split(spark, sf):
+    """One document for each zone and quarter, read by byte ranges."""
+    path = scratch_path(spark, "landing")
+    mx.write_documents(mx.to_documents(landing_points(spark, sf)).repartition(*mx.ZONE_KEYS), path)
+    return mx.flatten_points(mx.read_documents_split(spark, path)).drop("doc_order")
+
+
 @query("resolution_step")
 def q_resolution_step(spark, sf):
     return mx.periods(landed_series(spark, sf)).select(
@@ -297,3 +305,28 @@ def q_bootstrap_raw(spark, sf):
     now = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
     rows = tables.with_ingest_default(td.obs(spark, sf).drop("ingested_at", "source"), now)
     return tables.bootstrap(spark)["energy_load_raw"].unionByName(rows)
+
+
+# ------------------------------------------------------------------ presence bitmaps
+
+def _stored_presence(spark: SparkSession, sf: str) -> DataFrame:
+    """Bitmaps of clean written in two updates; the second folds in later rows and some that are stored already."""
+    clean, path = clean_obs(spark, sf), scratch_path(spark, "presence")
+    hour = F.hour("time_utc")
+    presence.update_presence(path, clean.where(hour < 14))
+    return presence.update_presence(path, clean.where(hour >= 10))
+
+
+@query("missing_hours_bitmaps")
+def q_missing_hours_bitmaps(spark, sf):
+    return presence.missing_from_presence(_stored_presence(spark, sf))
+
+
+@query("step_counts_bitmaps")
+def q_step_counts_bitmaps(spark, sf):
+    return presence.presence_counts(_stored_presence(spark, sf))
+
+
+@query("step_counts_bitmaps_by_zone")
+def q_step_counts_bitmaps_by_zone(spark, sf):
+    return presence.presence_counts(_stored_presence(spark, sf), by_zone=True)

@@ -256,3 +256,9 @@ FROM obs WHERE load_mw >= 0 GROUP BY 1, 2, 3"""
 SQL["materialised_fact"] = SQL["daily_summary"]
 SQL["bootstrap_raw"] = with_(OBS) + """
 SELECT time_utc, country_code, bidding_zone, load_mw, source, TIMESTAMP '2025-01-01 00:00:00' AS ingested_at FROM obs"""
+
+SQL["ingest_xml_split"] = SQL["ingest_xml_points"]
+SQL["missing_hours_bitmaps"] = SQL["missing_hours"]
+SQL["step_counts_bitmaps"] = f"SELECT expected_hours, actual_hours, missing_hours FROM ({SQL['reconciliation']}) r"
+SQL["step_counts_bitmaps_by_zone"] = f"""SELECT country_code, bidding_zone, expected_hours, actual_hours, missing_hours
+FROM ({SQL['reconciliation_by_zone']}) r"""
