@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions.expr import mean
-from loadlens.operators import analytics, clean as clean_ops, presence, quality, tables
+from loadlens.operators import analytics, cells, clean as clean_ops, presence, quality, tables
 from loadlens.plans import ingest
 from loadlens.schema import HOURLY, STATE_SCHEMA
 from loadlens.plans.catalog import EXACT, _hour_halves, clean_obs, marks_from, query, _assertions
@@ -330,3 +330,49 @@ def q_step_counts_bitmaps(spark, sf):
 @query("step_counts_bitmaps_by_zone")
 def q_step_counts_bitmaps_by_zone(spark, sf):
     return presence.presence_counts(_stored_presence(spark, sf), by_zone=True)
+
+
+# ------------------------------------------------------------------ incremental layers
+
+def _updated_cells(spark: SparkSession, sf: str) -> tuple[DataFrame, cells.Cells]:
+    """Clean in two upserts; the second corrects and adds rows of some months, and only their cells are made again."""
+    clean, path, stored = clean_obs(spark, sf), scratch_path(spark, "clean"), scratch_path(spark, "cells")
+    late = F.dayofmonth("time_utc") > 20
+    first = clean.where(~late | (F.hour("time_utc") < 6)).withColumn(
+        "load_mw", F.when(late, F.col("load_mw") * 3 + 1).otherwise(F.col("load_mw")))
+    table = tables.upsert_table(spark, first, path, HOURLY.key_time, zone_parts=4)
+    cells.update_cells(table, stored, exact_scale=EXACT)
+    second = clean.where(late)
+    table = tables.upsert_table(spark, second, path, HOURLY.key_time, zone_parts=4)
+    return table, cells.update_cells(table, stored, cells.touched_months(second), exact_scale=EXACT)
+
+
+@query("incremental_daily_summary")
+def q_incremental_daily_summary(spark, sf):
+    return cells.daily_summary(_updated_cells(spark, sf)[1])
+
+
+@query("incremental_curve_profile")
+def q_incremental_curve_profile(spark, sf):
+    return cells.curve_profile(_updated_cells(spark, sf)[1])
+
+
+@query("incremental_zone_metrics")
+def q_incremental_zone_metrics(spark, sf):
+    return cells.zone_metrics(_updated_cells(spark, sf)[1])
+
+
+@query("incremental_anomalies")
+def q_incremental_anomalies(spark, sf):
+    clean, made = _updated_cells(spark, sf)
+    return analytics.anomalies_vs_baseline(clean, cells.daily_baseline(made))
+
+
+@query("incremental_system_metrics")
+def q_incremental_system_metrics(spark, sf):
+    return cells.system_metrics(_updated_cells(spark, sf)[1])
+
+
+@query("incremental_system_metrics_by_zone")
+def q_incremental_system_metrics_by_zone(spark, sf):
+    return cells.system_metrics(_updated_cells(spark, sf)[1], by=["country_code", "bidding_zone"])

@@ -262,3 +262,6 @@ SQL["missing_hours_bitmaps"] = SQL["missing_hours"]
 SQL["step_counts_bitmaps"] = f"SELECT expected_hours, actual_hours, missing_hours FROM ({SQL['reconciliation']}) r"
 SQL["step_counts_bitmaps_by_zone"] = f"""SELECT country_code, bidding_zone, expected_hours, actual_hours, missing_hours
 FROM ({SQL['reconciliation_by_zone']}) r"""
+
+for _layer in ("daily_summary", "curve_profile", "zone_metrics", "anomalies", "system_metrics", "system_metrics_by_zone"):
+    SQL[f"incremental_{_layer}"] = SQL[_layer]
