@@ -42,8 +42,8 @@ from loadlens.llm.texts import byte_list, byte_table, cut_by_bytes, flat
 
 #: Tokens of one side that are aligned at once; distinct pairs that a counting task collects before it adds them up.
 STRETCH, PENDING = 1 << 19, 1 << 20
-#: Bytes of the encoded parts that a worker remembers (it holds up to twice as much).
-MEMO_BYTES = 64 << 20
+#: Bytes of the encoded parts that a worker remembers.
+MEMO_BYTES = 128 << 20
 PRINTABLE = byte_table("".join(map(chr, range(0x21, 0x7F))))
 #: First bytes of two-byte characters none of which is white space (U+00C0 to U+07FF).
 TWO_BYTES = (np.arange(256) >= 0xC3) & (np.arange(256) < 0xE0)

@@ -11,41 +11,38 @@ ENTRY = 200
 class ByteMemo:
     """Values of byte-string keys, solved many at a time.
 
-    Holds entries of ``limit`` to twice ``limit`` bytes: the latest, and those before
-    them. A key of more than ``limit // 1000`` bytes is solved each time it comes.
+    Entries of at most ``limit`` bytes together are kept; when new ones do not fit, all
+    go and it begins anew (what is frequent is back with the next call). A key of
+    more than ``limit // 1000`` bytes is solved each time it comes.
     """
 
-    def __init__(self, solve: Callable[[list[bytes]], Iterable], limit: int = 96 << 20, weight: Callable[[object], int] = len):
+    def __init__(self, solve: Callable[[list[bytes]], Iterable], limit: int = 128 << 20, weight: Callable[[object], int] = len):
         self.solve, self.limit, self.weight = solve, limit, weight
-        self.now: dict = {}
-        self.old: dict = {}
+        self.known: dict = {}
         self.used = 0
 
     def values(self, keys: list[bytes]) -> list:
         """The value of each key."""
-        found = list(map(self.now.get, keys))
-        new: dict[bytes, list[int]] = {}
-        for i, value in enumerate(found):
-            if value is None:
-                value = self.old.get(keys[i])
-                if value is None:
-                    new.setdefault(keys[i], []).append(i)
-                else:
-                    found[i] = value
-                    self._keep(keys[i], value)
-        for key, value in zip(new, self.solve(list(new)) if new else (), strict=True):
-            for i in new[key]:
-                found[i] = value
-            self._keep(key, value)
+        found = list(map(self.known.get, keys))
+        missing = [i for i, value in enumerate(found) if value is None]
+        if missing:
+            new = list(dict.fromkeys([keys[i] for i in missing]))
+            solved = dict(zip(new, self.solve(new), strict=True))
+            for i in missing:
+                found[i] = solved[keys[i]]
+            self._keep(solved)
         return found
 
-    def _keep(self, key: bytes, value: object) -> None:
-        if len(key) > self.limit // 1000:
-            return
-        self.now[key] = value
-        self.used += len(key) + self.weight(value) + ENTRY
-        if self.used > self.limit:
-            self.now, self.old, self.used = {}, self.now, 0
+    def _keep(self, solved: dict) -> None:
+        longest = self.limit // 1000
+        if max(map(len, solved)) > longest:
+            solved = {k: v for k, v in solved.items() if len(k) <= longest}
+        size = sum(map(len, solved)) + sum(map(self.weight, solved.values())) + ENTRY * len(solved)
+        if self.used + size > self.limit:
+            self.known, self.used = {}, 0
+        if size <= self.limit:
+            self.known.update(solved)
+            self.used += size
 
 
 def by_bytes(keys: list[bytes], limit: int = 1 << 20) -> Iterator[list[bytes]]:

@@ -21,11 +21,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from loadlens.llm.memo import ByteMemo, by_bytes
+from loadlens.llm.memo import ByteMemo
 from loadlens.llm.texts import SPACES, byte_list, coded, flat, runs, spans
 
-#: Bytes of the parts that a worker remembers (it holds up to twice as much).
-PART_BYTES = 48 << 20
+#: Bytes of the parts, and of their pieces, that a worker remembers.
+PART_BYTES = 96 << 20
 
 #: Characters on which Python and the tokenizer's own rules surely agree: printable
 #: ASCII and the composed Latin letters (but the dotted capital I).
@@ -126,6 +126,17 @@ def kept(kind: str, path: str, make: Callable) -> Callable:
     return _KEPT[kind, path]
 
 
+#: Python's Latin-1 characters as byte-level BPE writes them: printable ones as they are, the rest from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b >= 174)]
+BYTE_LEVEL = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+
+
+def merger(path: str) -> Callable[[bytes], list[int]]:
+    """A function from a plain pre-token (see ``pieces``) to its ids, by the library's model alone."""
+    model = load(path).model
+    return lambda piece: [t.id for t in model.tokenize(piece.decode("latin-1").translate(BYTE_LEVEL))]
+
+
 class Parts:
     """Values of the white-space-separated parts of many texts; each distinct part of a batch is looked up once."""
 
@@ -146,22 +157,16 @@ def batch_counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable
         return lambda column: np.array([len(library_ids(path, t.as_py().decode())) for t in column], np.int64)
     made = load(path)
 
-    def merged(some: list[bytes]) -> list[int]:
-        return [len(e.ids) for e in made.encode_batch_fast([x.decode() for x in some], add_special_tokens=False)]
-
-    def merge(keys: list[bytes]) -> list[int]:
-        return [n for some in by_bytes(keys) for n in merged(some)]
-
-    rest = ByteMemo(merge, PART_BYTES, lambda n: 8)
+    merge = merger(path)
+    rest = ByteMemo(lambda keys: [len(merge(k)) for k in keys], PART_BYTES, lambda n: 8)
 
     def solve(parts: list[bytes]) -> list[int]:
-        """Whole tokens are counted directly; the library merges the rest, all of a batch at once."""
+        """Whole tokens are counted directly; the library merges the rest, each distinct piece once."""
         counts, owner, left = [0] * len(parts), [], []
         for i, part in enumerate(parts):
             found = pieces(part.decode())
             if found is None:
-                owner.append(i)
-                left.append(part)
+                counts[i] = len(made.encode(part.decode(), add_special_tokens=False).ids)
                 continue
             for p in found:
                 if p in whole:
@@ -183,7 +188,7 @@ def batch_counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable
     return count
 
 
-def batch_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+def batch_encoder(path: str, whole: dict[str, int]) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """A function from a column of UTF-8 bytes to the ids of all its texts, and where each text's ids end."""
     if not splits_words(path):
         def each(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -191,11 +196,21 @@ def batch_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarra
             return np.array([i for x in ids for i in x], np.uint32), np.cumsum([len(x) for x in ids], dtype=np.int64)
         return each
     made = load(path)
+    single = {token: number.to_bytes(4, "little") for token, number in whole.items()}
+
+    merge = merger(path)
+    rest = ByteMemo(lambda keys: [array("I", merge(k)).tobytes() for k in keys], PART_BYTES)
 
     def solve(parts: list[bytes]) -> Iterator[bytes]:
-        for some in by_bytes(parts):
-            for e in made.encode_batch_fast([p.decode() for p in some], add_special_tokens=False):
-                yield array("I", e.ids).tobytes()
+        """Whole tokens have their id; the library merges the rest, each distinct piece once."""
+        found = [pieces(part.decode()) for part in parts]
+        left = dict.fromkeys(p for some in found if some is not None for p in some if p not in single)
+        known = dict(zip(left, rest.values([p.encode() for p in left]), strict=True))
+        for part, some in zip(parts, found, strict=True):
+            if some is None:
+                yield array("I", made.encode(part.decode(), add_special_tokens=False).ids).tobytes()
+            else:
+                yield b"".join([known.get(p) or single[p] for p in some])
 
     table = Parts(solve)
 
@@ -218,7 +233,7 @@ def counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable[[byte
     return lambda data: int(count(pa.array([data], pa.binary()))[0])
 
 
-def encoder(path: str) -> Callable[[bytes], bytes]:
+def encoder(path: str, whole: dict[str, int]) -> Callable[[bytes], bytes]:
     """A function from one text's UTF-8 bytes to its ids as little-endian unsigned 32-bit integers."""
-    encode = batch_encoder(path)
+    encode = batch_encoder(path, whole)
     return lambda data: encode(pa.array([data], pa.binary()))[0].astype("<u4").tobytes()

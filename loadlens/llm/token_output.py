@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.llm.common import prefix_totals
-from loadlens.llm.pretokens import batch_encoder, kept
+from loadlens.llm.pretokens import batch_encoder, kept, whole_tokens
 from loadlens.llm.texts import cut_by_bytes
 
 #: Bits of a chunk, bits between two entries of a rank directory, tokens after which a block ends.
@@ -94,8 +94,10 @@ def with_ends(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarra
 
 def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text with the vocabulary file ``path``, add ``end_id``, write the files to ``out``."""
+    whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = kept("ids", path, lambda: batch_encoder(path))
+        encode = kept("ids", path, lambda: batch_encoder(path, whole.value))
         part, before, names, ends, data, n = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -105,7 +107,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
             return pa.RecordBatch.from_pylist([one], _arrow_schema())
 
         for batch in batches:
-            for piece in cut_by_bytes(batch, 1):
+            for piece in cut_by_bytes(batch, 1, 8 << 20):
                 ids, upto = with_ends(*encode(piece.column(1)), end_id)
                 keys, at, base = piece.column(0).to_pylist(), 0, 0
                 while at < len(keys):  # documents up to the one that fills the block

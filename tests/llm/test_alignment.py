@@ -153,7 +153,7 @@ def test_memo_is_bounded_by_bytes_and_right():
     for _ in range(300):
         keys = [str(rnd.randrange(400)).encode() * rnd.choice([1, 1, 9]) for _ in range(40)]
         assert memo.values(keys) == [k * 2 for k in keys]
-        assert sum(len(k) + len(v) + ENTRY for part in (memo.now, memo.old) for k, v in part.items()) <= 201 * ENTRY
+        assert sum(len(k) + len(v) + ENTRY for k, v in memo.known.items()) == memo.used <= 100 * ENTRY
     assert sum(asked) < 300 * 40
     keys = [b"x" * n for n in (5, 0, 30, 7, 7)]
     assert [k for some in by_bytes(keys, 10) for k in some] == keys

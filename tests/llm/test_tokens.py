@@ -44,7 +44,7 @@ def test_any_text_encodes_as_by_the_library(text):
     data = text.encode()
     expected = library.encode(text, add_special_tokens=False).ids
     assert P.counter(WORD, frozenset(P.whole_tokens(WORD)))(data) == len(expected)
-    assert np.frombuffer(P.encoder(WORD)(data), "<u4").tolist() == expected
+    assert np.frombuffer(P.encoder(WORD, P.whole_tokens(WORD))(data), "<u4").tolist() == expected
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
@@ -66,7 +66,7 @@ def test_worker_memory_stays_bounded_on_unspaced_texts():
     import resource
 
     import pyarrow as pa
-    count, encode = P.batch_counter(WORD, frozenset(P.whole_tokens(WORD))), P.batch_encoder(WORD)
+    count, encode = P.batch_counter(WORD, frozenset(P.whole_tokens(WORD))), P.batch_encoder(WORD, P.whole_tokens(WORD))
     before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
     for start in range(0, 10_000, 100):
         texts = pa.array([("数字" * 1498 + f"{i:04d}").encode() for i in range(start, start + 100)], pa.binary())
