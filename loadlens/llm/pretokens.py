@@ -111,6 +111,11 @@ def whole_tokens(path: str) -> dict[str, int]:
 
 def pieces(part: str) -> list[str] | None:
     """The pre-tokens of a plain part; None if only the library can tell."""
+    if part.isascii():  # most parts: letters, perhaps with a sign behind them
+        if part.isalpha():
+            return [part.lower()]
+        if part[-1] in ".,;:!?" and part[:-1].isalpha():
+            return [part[:-1].lower(), part[-1]]
     if "<|" in part or not PLAIN.fullmatch(part):
         return None
     return PIECE.findall(part.lower())
