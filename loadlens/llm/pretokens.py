@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 
 from loadlens.llm.memo import ByteMemo
-from loadlens.llm.texts import SPACES, byte_list, coded, flat, runs, spans
+from loadlens.llm.texts import SPACES, byte_list, byte_table, coded, flat, runs, spans
 
 #: Bytes of the parts, and of their pieces, that a worker remembers.
 PART_BYTES = 96 << 20
@@ -139,11 +139,61 @@ BYTE_LEVEL = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 def merger(path: str) -> Callable[[bytes], list[int]]:
     """A function from a plain pre-token (see ``pieces``) to its ids, by the library's model alone."""
     model = load(path).model
-    return lambda piece: [t.id for t in model.tokenize(piece.decode("latin-1").translate(BYTE_LEVEL))]
+
+    def merge(piece: bytes) -> list[int]:
+        text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(BYTE_LEVEL)
+        return [t.id for t in model.tokenize(text)]
+
+    return merge
+
+
+#: ASCII letters, and ASCII signs behind which no special string and no contraction can hide.
+LETTERS = byte_table("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+SIGNS = byte_table("!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")
+#: First bytes of the two-byte letters of ``PLAIN``, and the three characters among them that are not in it.
+LEADS, NOT_PLAIN = (0xC3, 0xC5), ((0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0))
+
+
+def plain_letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters of ``PLAIN``."""
+    inside = LETTERS[data]
+    lead = (data >= LEADS[0]) & (data <= LEADS[1])
+    if lead.any():
+        at = np.flatnonzero(lead)
+        after = data[at + 1]
+        for first, second in NOT_PLAIN:
+            keep = (data[at] != first) | (after != second)
+            at, after = at[keep], after[keep]
+        inside[at] = inside[at + 1] = True
+    return inside
+
+
+def cut_signs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The bytes and the parts, with plain words in small ASCII letters and the signs behind a plain word as a part of their own.
+
+    The word and the signs are pre-tokens for themselves, so the ids stay the same; words
+    that differ by what stands behind them, or by capitals, are one distinct part.
+    """
+    letters = plain_letters(data)
+    letters_upto = np.concatenate([[0], np.cumsum(letters, dtype=np.int32)])
+    signs_upto = np.concatenate([[0], np.cumsum(SIGNS[data], dtype=np.int32)])
+    middle = starts + letters_upto[ends] - letters_upto[starts]
+    plain = (middle > starts) & (letters_upto[middle] - letters_upto[starts] == middle - starts) & (
+        signs_upto[ends] - signs_upto[middle] == ends - middle)
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[starts[plain]] = 1
+    edges[middle[plain]] -= 1
+    small = data + 32 * (np.cumsum(edges[:-1], dtype=np.int8).view(np.uint8) & (data >= 65) & (data <= 90))
+    cut = plain & (middle < ends)
+    place = np.arange(len(starts)) + np.cumsum(cut) - cut
+    begins, stops = np.empty(len(starts) + cut.sum(), np.int64), np.empty(len(starts) + cut.sum(), np.int64)
+    begins[place], stops[place + cut] = starts, ends
+    begins[place[cut] + 1] = stops[place[cut]] = middle[cut]
+    return small, begins, stops, np.repeat(owner, 1 + cut)
 
 
 class Parts:
-    """Values of the white-space-separated parts of many texts; each distinct part of a batch is looked up once."""
+    """Values of the white-space-separated parts of many texts (see ``cut_signs``); each distinct part of a batch is looked up once."""
 
     def __init__(self, solve: Callable[[list[bytes]], Iterable], limit: int = PART_BYTES, weight: Callable = len):
         self.memo = ByteMemo(solve, limit, weight)
@@ -151,7 +201,7 @@ class Parts:
     def of(self, column: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
         """Distinct values, the number of each part's value, and the row of each part."""
         data, offsets = flat(column)
-        starts, ends, owner = runs(~SPACES[data], offsets)
+        data, starts, ends, owner = cut_signs(data, *runs(~SPACES[data], offsets))
         codes, distinct = coded(spans(data, starts, ends))
         return self.memo.values(byte_list(distinct)), codes, owner
 
@@ -169,6 +219,10 @@ def batch_counter(path: str, whole: dict[str, int] | frozenset[str]) -> Callable
         """Whole tokens are counted directly; the library merges the rest, each distinct piece once."""
         counts, owner, left = [0] * len(parts), [], []
         for i, part in enumerate(parts):
+            if part.isalpha():  # ASCII: one piece, and remembered as a part
+                text = part.decode().lower()
+                counts[i] = 1 if text in whole else len(merge(text.encode()))
+                continue
             found = pieces(part.decode())
             if found is None:
                 counts[i] = len(made.encode(part.decode(), add_special_tokens=False).ids)
@@ -201,21 +255,31 @@ def batch_encoder(path: str, whole: dict[str, int]) -> Callable[[pa.Array], tupl
             return np.array([i for x in ids for i in x], np.uint32), np.cumsum([len(x) for x in ids], dtype=np.int64)
         return each
     made = load(path)
-    single = {token: number.to_bytes(4, "little") for token, number in whole.items()}
+    single = {token.encode(): number.to_bytes(4, "little") for token, number in whole.items()}
 
     merge = merger(path)
     rest = ByteMemo(lambda keys: [array("I", merge(k)).tobytes() for k in keys], PART_BYTES)
 
+    def mixed(part: bytes) -> bytes:
+        """The ids of a part that is not a plain word; its pieces come again in other parts."""
+        found = pieces(part.decode())
+        if found is None:
+            return array("I", made.encode(part.decode(), add_special_tokens=False).ids).tobytes()
+        some = [p.encode() for p in found]
+        if len(some) == 1:  # remembered as a part
+            return single.get(some[0]) or array("I", merge(some[0])).tobytes()
+        left = [p for p in some if p not in single]
+        known = dict(zip(left, rest.values(left), strict=True))
+        return b"".join([known.get(p) or single[p] for p in some])
+
     def solve(parts: list[bytes]) -> Iterator[bytes]:
-        """Whole tokens have their id; the library merges the rest, each distinct piece once."""
-        found = [pieces(part.decode()) for part in parts]
-        left = dict.fromkeys(p for some in found if some is not None for p in some if p not in single)
-        known = dict(zip(left, rest.values([p.encode() for p in left]), strict=True))
-        for part, some in zip(parts, found, strict=True):
-            if some is None:
-                yield array("I", made.encode(part.decode(), add_special_tokens=False).ids).tobytes()
+        """Whole tokens have their id; the library's model merges the rest."""
+        for part in parts:
+            if part.isalpha():  # ASCII: one piece, and remembered as a part
+                part = part.lower()
+                yield single.get(part) or array("I", merge(part)).tobytes()
             else:
-                yield b"".join([known.get(p) or single[p] for p in some])
+                yield mixed(part)
 
     table = Parts(solve)
 

@@ -47,6 +47,24 @@ def test_any_text_encodes_as_by_the_library(text):
     assert np.frombuffer(P.encoder(WORD, P.whole_tokens(WORD))(data), "<u4").tolist() == expected
 
 
+WORDS = st.lists(st.sampled_from(["Word", "WORD", "Ärger", "ſtraßé", "×mal", "a×b", "İl", "it's", "'S", "x'", "end.'s", "a<|endoftext|>", "<|ENDOFTEXT|>",
+                                  "fin!!", "a.b", "_a_", "a_", "...", "9", "a9.", "$x", "ñ&&&", "o\u0301.", "Ωmega,", "語。", "\xa0", " ", "\n", ","]),
+                 max_size=12)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(WORDS.map(" ".join) | WORDS.map("".join), max_size=6))
+def test_columns_of_words_with_signs_behind_them_encode_as_by_the_library(texts):
+    import pyarrow as pa
+    library, whole = P.load(WORD), P.whole_tokens(WORD)
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    found, ends = P.batch_encoder(WORD, whole)(column)
+    assert found.tolist() == [i for e in expected for i in e]
+    assert ends.tolist() == np.cumsum([len(e) for e in expected], dtype=np.int64).tolist()
+    assert P.batch_counter(WORD, whole)(column).tolist() == [len(e) for e in expected]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers_go_through_the_library(name):
     path = public_tokenizers.path(name)
