@@ -19,14 +19,15 @@ from loadlens.schema import HOURLY
 from loadlens.session import scratch_path
 from loadlens.sources import market_xml as mx
 from loadlens.sources import testdata as td
+from loadlens.streaming import late
 from loadlens.streaming import stream as st
 
 N_SLICES = 4
 
 
-def _slice_edges(spark: SparkSession, df: DataFrame) -> list:
+def _slice_edges(spark: SparkSession, df: DataFrame, by: str) -> list:
     """Day-aligned edges cutting the data's time range into N_SLICES pieces."""
-    lo, hi = df.agg(F.min(floor_to(F.col("time_utc"), "day")), F.max("time_utc")).first()
+    lo, hi = df.agg(F.min(floor_to(F.col(by), "day")), F.max(by)).first()
     if lo is None:
         return []
     days = (hi - lo).days + 1
@@ -37,13 +38,13 @@ def _slice_edges(spark: SparkSession, df: DataFrame) -> list:
 
 def _replay(spark: SparkSession, source: DataFrame, name: str,
             write_slice: Callable[[DataFrame, str], None],
-            start_query: Callable[[str, str], None]) -> str:
-    """Append each time slice to a source folder and run the stream once per slice."""
+            start_query: Callable[[str, str], None], by: str = "time_utc") -> str:
+    """Append each slice of the times ``by`` to a source folder and run the stream once per slice."""
     src = scratch_path(spark, f"{name}-src")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    edges = _slice_edges(spark, source)
+    edges = _slice_edges(spark, source, by)
     for a, b in zip(edges, edges[1:]):
-        t = F.col("time_utc")
+        t = F.col(by)
         lo, hi = (F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz") for x in (a, b))  # zone-free literals
         piece = source.filter((t >= lo) & (t < hi))
         write_slice(piece, src)
@@ -76,6 +77,23 @@ def q_stream_clean_hourly(spark, sf):
     return spark.read.parquet(table).drop("month", "zone_part")
 
 
+@query("stream_late_hours")
+def q_stream_late_hours(spark, sf):
+    """X2 with late rows: every fifth observation arrives three days after its time, far behind the watermark."""
+    obs = td.obs(spark, sf, with_order=True)
+    wait = F.when(F.col("event_id") % 5 == 0, F.lit(3)).otherwise(F.lit(0))
+    arriving = obs.withColumn("arrival_time", F.timestamp_add("DAY", wait, F.col("time_utc")))
+    root = scratch_path(spark, "stream-late")
+    schema = obs.drop("event_id").schema
+
+    def run(src: str, ckpt: str) -> None:  # noqa: ARG001 - the checkpoints lie under the root
+        late.downsample_run(spark.readStream.schema(schema).parquet(src), root, exact_scale=EXACT, zone_parts=1,
+                            state_partitions=_state_partitions(spark))
+
+    _replay(spark, arriving, "late", lambda piece, src: _parquet_slice(piece.drop("event_id", "arrival_time"), src), run, by="arrival_time")
+    return spark.read.parquet(f"{root}/clean").drop("month", "zone_part")
+
+
 @query("stream_time_gaps")
 def q_stream_time_gaps(spark, sf):
     """Online gap detection over raw observations."""

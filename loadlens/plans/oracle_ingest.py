@@ -111,6 +111,7 @@ SQL["stg_assertions"] = with_(*HOURLY_QUALITY, TOLERANT) + "SELECT * FROM assert
 # ------------------------------------------------------------------ streaming (batch equivalents)
 
 SQL["stream_clean_hourly"] = with_(OBS, CLEAN) + "SELECT * FROM clean"
+SQL["stream_late_hours"] = SQL["stream_clean_hourly"]
 SQL["stream_xml_points"] = SQL["ingest_xml_points"]
 SQL["stream_dedupe_keys"] = with_(OBS, OBS_HOUR) + \
     """SELECT time_utc, country_code, bidding_zone, arg_min(load_mw, event_id) AS load_mw, min(event_id) AS event_id

@@ -255,7 +255,21 @@ def run_available_now(df: DataFrame, checkpoint: str, sink: str | None = None,
                       state_partitions: int | None = None) -> dict[str, int]:
     """Process everything that has arrived, then stop (one incremental run).
 
-    Returns ``rows`` read and ``late_rows``, those that a watermark left out.
+    Returns ``rows`` read and ``late_rows``, those that a watermark left out
+    (``streaming.late`` brings them in). The other parameters are those of :func:`run_progress`.
+    """
+    progress = run_progress(df, checkpoint, sink, foreach_batch, mode, state_partitions)
+    return {"rows": sum(p["numInputRows"] for p in progress), "late_rows": late_count(progress)}
+
+
+def late_count(progress: list) -> int:
+    """Rows that a watermark left out."""
+    return sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])
+
+
+def run_progress(df: DataFrame, checkpoint: str, sink: str | None = None, foreach_batch: Callable | None = None,
+                 mode: str = "append", state_partitions: int | None = None) -> list:
+    """One incremental run; the progress reports of its micro-batches.
 
     ``state_partitions`` fixes the shuffle/state-store partition count a new
     query starts with (it is then kept in the checkpoint); size it to the
@@ -273,8 +287,6 @@ def run_available_now(df: DataFrame, checkpoint: str, sink: str | None = None,
         else:
             q = w.format("parquet").option("path", sink).start()
         q.awaitTermination()
-        progress = q.recentProgress
-        return {"rows": sum(p["numInputRows"] for p in progress),
-                "late_rows": sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])}
+        return q.recentProgress
     finally:
         spark.conf.set(key, before)
