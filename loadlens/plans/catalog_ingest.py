@@ -20,6 +20,7 @@ from loadlens.session import read_version, scratch_path, version_path
 from loadlens.sources import market_xml as mx
 from loadlens.sources import publish as pub
 from loadlens.sources import testdata as td
+from loadlens.sources import warehouse as wh
 
 # ------------------------------------------------------------------ landing documents
 
@@ -294,7 +295,7 @@ def q_published_objects(spark, sf):
 
 @query("materialised_fact")
 def q_materialised_fact(spark, sf):
-    """The daily fact as a table in the catalog, read back by its name."""
+    """The daily fact as a table in a folder, behind a view of its name."""
     daily = analytics.daily_summary(clean_obs(spark, sf), exact_scale=EXACT)
     return pub.materialise(spark, daily, "loadlens_daily_fact", "table", path=scratch_path(spark, "fact"))
 
@@ -307,6 +308,44 @@ def q_bootstrap_raw(spark, sf):
     return tables.bootstrap(spark)["energy_load_raw"].unionByName(rows)
 
 
+# ------------------------------------------------------------------ catalog tables
+
+def _database(spark: SparkSession) -> tuple[str, str]:
+    """A database of its own for one query: name and shared folder."""
+    path = scratch_path(spark, "warehouse")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    wh.create_database(spark, name, path)
+    return name, path
+
+
+@query("catalog_fact")
+def q_catalog_fact(spark, sf):
+    """The daily fact saved as a table of the catalog and read by its name."""
+    database, path = _database(spark)
+    wh.save_table(analytics.daily_summary(clean_obs(spark, sf), exact_scale=EXACT), f"{database}.daily_fact", f"{path}/daily_fact")
+    return spark.sql(f"SELECT * FROM {database}.daily_fact")
+
+
+@query("catalog_defaults")
+def q_catalog_defaults(spark, sf):
+    """The raw table by DDL, all observations inserted without the columns that have defaults or may be null."""
+    database, path = _database(spark)
+    raw = wh.create_tables(spark, database, path)["energy_load_raw"]
+    wh.insert_rows(spark, raw, td.obs(spark, sf).drop("ingested_at", "source"), wh.TABLES["energy_load_raw"])
+    return spark.table(raw).withColumn("ingested_at", F.col("ingested_at").isNotNull()).withColumnRenamed("ingested_at", "has_ingest_time")
+
+
+@query("bucketed_append")
+def q_bucketed_append(spark, sf):
+    """Both halves appended to a bucketed table, conflicts ignored; the stored side is not shuffled."""
+    database, path = _database(spark)
+    spec = wh.TABLES["energy_load_raw"]
+    raw = wh.create_tables(spark, database, path, buckets=8)["energy_load_raw"]
+    for half in _hour_halves(spark, sf):
+        wh.append_new(spark, raw, half, spec, "event_id")
+    return spark.table(raw)
+
+
 # ------------------------------------------------------------------ presence bitmaps
 
 def _stored_presence(spark: SparkSession, sf: str) -> DataFrame:

@@ -258,6 +258,15 @@ SQL["materialised_fact"] = SQL["daily_summary"]
 SQL["bootstrap_raw"] = with_(OBS) + """
 SELECT time_utc, country_code, bidding_zone, load_mw, source, TIMESTAMP '2025-01-01 00:00:00' AS ingested_at FROM obs"""
 
+SQL["catalog_fact"] = SQL["daily_summary"]
+SQL["catalog_defaults"] = with_(OBS) + """
+SELECT time_utc, country_code, bidding_zone, load_mw, source, TRUE AS has_ingest_time FROM obs"""
+# the first event of each key: ids of the first half are the smaller ones
+SQL["bucketed_append"] = with_(OBS, OBS_HOUR) + """
+SELECT time_utc, country_code, bidding_zone, arg_min(load_mw, event_id) AS load_mw, CAST(NULL AS VARCHAR) AS source,
+       arg_min(ingested_at, event_id) AS ingested_at
+FROM obs_hour GROUP BY time_utc, country_code, bidding_zone"""
+
 SQL["ingest_xml_split"] = SQL["ingest_xml_points"]
 SQL["missing_hours_bitmaps"] = SQL["missing_hours"]
 SQL["step_counts_bitmaps"] = f"SELECT expected_hours, actual_hours, missing_hours FROM ({SQL['reconciliation']}) r"
