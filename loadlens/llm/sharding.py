@@ -8,13 +8,15 @@ shards are equal runs of it, so their row counts differ by one at most and slots
 within a shard have no gaps.
 
 A bucket that many rows of one id overfill is cut into further buckets by row number,
-so no task holds an unbounded group. The seed and the number of buckets fix the
-result, not the number of tasks; only where an overfull bucket's rows go depends on
-how the input is split.
+so no task holds an unbounded group. The bytes of the table and ``bucket_bytes`` alone
+give the number of buckets, and every bucket is a partition of its own; so the seed
+fixes the result, not the cluster or the number of tasks. Only where an overfull
+bucket's rows go depends on how the input is split.
 
 Cases: a null text counts no bytes and crc32 0; null ids hash alike and are cut as
-any overfull bucket; repeated rows are placed each; an empty table gives empty files;
-all columns of the input are kept in a struct, so their names cannot clash.
+any overfull bucket; repeated rows are placed each, rows of one id in the order of
+their texts' hashes; an empty table gives empty files; all columns of the input, maps
+too, are kept in a struct that is never compared, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from loadlens.llm.common import stored
 
 #: Bytes of a bucket, and fixed bytes that each record counts beside its text.
-BUCKET_BYTES, RECORD_BYTES = 32 << 20, 8
+BUCKET_BYTES, RECORD_BYTES = 16 << 20, 8
 OVERFULL = 4
 RUN = 4096
 
@@ -37,10 +39,9 @@ def record_size(text: str) -> Column:
 def write_shards(docs: DataFrame, out: str, shards: int = 24, seed: int = 0, bucket_bytes: int = BUCKET_BYTES,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write whole records to ``out/shard=N``: struct ``row`` and ``slot``, its place in the shard."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), record_size(text_col).alias("size"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(F.col(id_col).alias("id"), record_size(text_col).alias("size"), F.xxhash64(text_col).alias("of_text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     total = rows.agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    buckets = max(-(-(total["b"] or 0) // bucket_bytes), min(total["n"], 4 * spark.sparkContext.defaultParallelism), 1)
+    buckets = max(-(-(total["b"] or 0) // bucket_bytes), 1)
     marked = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(buckets)).cast("int"))
     full = marked.groupBy("bucket").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).where(
         (F.col("bytes") > OVERFULL * bucket_bytes) & (F.col("n") > 1))
@@ -54,12 +55,14 @@ def write_shards(docs: DataFrame, out: str, shards: int = 24, seed: int = 0, buc
             F.coalesce(piece, F.lit(0)) > 0, F.col("first") + piece - 1).otherwise(F.col("bucket")).cast("int")).drop("pieces", "first")
     scattered = stored(marked.withColumn("key", F.xxhash64(F.lit(~seed), "id")), "shard-buckets")
     starts = _starts(scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    gathered = scattered.repartition(int(buckets + more), "bucket").groupBy("bucket").agg(
-        F.sort_array(F.collect_list(F.struct("key", "id", "row"))).alias("records"))
-    mixed = gathered.sortWithinPartitions("bucket").select("bucket", F.shuffle("records", seed).alias("records"))
-    placed = mixed.join(starts, "bucket").select("start", F.posexplode("records").alias("at", "record"))
+    gathered = scattered.repartitionById(int(buckets + more), "bucket").groupBy("bucket").agg(
+        F.collect_list(F.struct("key", "id", "of_text")).alias("keys"), F.collect_list("row").alias("rows"))
+    ordered = F.sort_array(F.transform("keys", lambda k, i: F.struct(k["key"], k["id"], k["of_text"], i.alias("at"))))
+    mixed = gathered.select("bucket", "rows", F.shuffle(ordered, seed).alias("order")).select(
+        "bucket", F.transform("order", lambda o: F.get("rows", o["at"])).alias("records"))
+    placed = mixed.join(starts, "bucket").select("start", F.posexplode("records").alias("at", "row"))
     n = max(1, total["n"])
-    done = placed.select(F.col("record.row").alias("row"), (F.col("start") + F.col("at")).alias("pos")).withColumn(
+    done = placed.select("row", (F.col("start") + F.col("at")).alias("pos")).withColumn(
         "shard", F.expr(f"cast((pos * {shards}L) div {n}L as int)")).withColumn(
         "slot", F.expr(f"pos - (shard * {n}L + {shards - 1}L) div {shards}L"))
     done.select("row", "slot", "shard").write.option("compression", "zstd").partitionBy("shard").parquet(out)

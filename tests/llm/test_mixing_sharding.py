@@ -136,3 +136,21 @@ def test_shards_of_odd_rows(spark, odd_docs, no_docs):
 def test_native_plans_hold_no_python(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_shards_do_not_depend_on_the_number_of_cores(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    placed = []
+    for cores in (2, 4, 8):
+        monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self, n=cores: n))
+        placed.append({r["row"]["doc_id"]: (r["shard"], r["slot"]) for r in shard_rows(spark, docs, bucket_bytes=1 << 18).collect()})
+    assert placed[0] == placed[1] == placed[2] and len(placed[0]) == docs.count()
+
+
+def test_shards_of_rows_with_a_map_column(spark):
+    docs = spark.range(500).select(F.lit(1).alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"),
+                                   F.create_map(F.lit("k"), F.col("id")).alias("extra"))
+    rows = shard_rows(spark, docs, shards=3, bucket_bytes=1 << 20).collect()
+    check_law(rows, 3, 500)
+    assert sorted(r["row"]["extra"]["k"] for r in rows) == list(range(500))
+    assert all(r["row"]["text"] == f"t{r['row']['extra']['k']}" for r in rows)
