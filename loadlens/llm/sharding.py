@@ -7,14 +7,14 @@ seed) and writes it. The buckets one after another are a random order of all rec
 shards are equal runs of it, so their row counts differ by one at most and slots
 within a shard have no gaps.
 
-A bucket that many rows of one id overfill is cut into further buckets by row number,
-so no task holds an unbounded group. The bytes of the table and ``bucket_bytes`` alone
+The rows of a bucket that one id overfills are scattered over all buckets by row
+number, so no task holds an unbounded group. The bytes of the table and ``bucket_bytes`` alone
 give the number of buckets, and every bucket is a partition of its own; so the seed
 fixes the result, not the cluster or the number of tasks. Only where an overfull
 bucket's rows go depends on how the input is split.
 
-Cases: a null text counts no bytes and crc32 0; null ids hash alike and are cut as
-any overfull bucket; repeated rows are placed each, rows of one id in the order of
+Cases: a null text counts no bytes and crc32 0; null ids hash alike and are
+scattered as any overfull bucket; repeated rows are placed each, rows of one id in the order of
 their texts' hashes; an empty table gives empty files; all columns of the input, maps
 too, are kept in a struct that is never compared, so their names cannot clash.
 """
@@ -39,23 +39,20 @@ def record_size(text: str) -> Column:
 def write_shards(docs: DataFrame, out: str, shards: int = 24, seed: int = 0, bucket_bytes: int = BUCKET_BYTES,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write whole records to ``out/shard=N``: struct ``row`` and ``slot``, its place in the shard."""
-    rows = docs.select(F.col(id_col).alias("id"), record_size(text_col).alias("size"), F.xxhash64(text_col).alias("of_text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(F.col(id_col).alias("id"), record_size(text_col).alias("size"), F.xxhash64(text_col).alias("of_text"),
+                       F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     total = rows.agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).first()
     buckets = max(-(-(total["b"] or 0) // bucket_bytes), 1)
     marked = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(buckets)).cast("int"))
-    full = marked.groupBy("bucket").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).where(
-        (F.col("bytes") > OVERFULL * bucket_bytes) & (F.col("n") > 1))
-    cuts = full.select("bucket", F.ceil(F.col("bytes") / bucket_bytes).cast("int").alias("pieces"))
-    cuts = stored(cuts.withColumn("first", F.lit(buckets) + F.coalesce(F.sum(F.col("pieces") - 1).over(
-        Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))), "shard-cuts")
-    more = cuts.agg(F.sum(F.col("pieces") - 1)).first()[0] or 0
-    if more:
-        piece = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.col("pieces"))
-        marked = marked.join(cuts, "bucket", "left").withColumn("bucket", F.when(
-            F.coalesce(piece, F.lit(0)) > 0, F.col("first") + piece - 1).otherwise(F.col("bucket")).cast("int")).drop("pieces", "first")
+    full = stored(marked.groupBy("bucket").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).where(
+        (F.col("bytes") > OVERFULL * bucket_bytes) & (F.col("n") > 1)).select("bucket", F.lit(True).alias("full")), "shard-full")
+    if not full.isEmpty():
+        anew = F.pmod(F.xxhash64(F.lit(seed), "id", F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
+        marked = marked.withColumn("anew", anew).join(full, "bucket", "left").withColumn(
+            "bucket", F.when(F.col("full"), F.col("anew")).otherwise(F.col("bucket"))).drop("anew", "full")
     scattered = stored(marked.withColumn("key", F.xxhash64(F.lit(~seed), "id")), "shard-buckets")
     starts = _starts(scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    gathered = scattered.repartitionById(int(buckets + more), "bucket").groupBy("bucket").agg(
+    gathered = scattered.repartitionById(int(buckets), "bucket").groupBy("bucket").agg(
         F.collect_list(F.struct("key", "id", "of_text")).alias("keys"), F.collect_list("row").alias("rows"))
     ordered = F.sort_array(F.transform("keys", lambda k, i: F.struct(k["key"], k["id"], k["of_text"], i.alias("at"))))
     mixed = gathered.select("bucket", "rows", F.shuffle(ordered, seed).alias("order")).select(
