@@ -4,11 +4,14 @@ Folding: compatibility forms, lower case, look-alike letters of other scripts to
 Latin ones, invisible characters away, and digits or signs inside a word to the
 letters they stand for. The automaton finds all lexicon entries in one pass over the
 folded text; an entry is a whole word, or a stem (any word that begins with it).
+A text with signs or letters of more than one reading (``1``, ``!`` or ``|`` as i or l,
+letters with accents, look-alikes of Greek, Cherokee and small capitals) is matched in
+each reading; readings are equally long, and what begins at one place counts once.
 A match inside an exception phrase does not count. The weights found, over the
 number of words, give a density, and a logistic curve turns it into a score.
 
-Learning: on a bounded sample of labelled rows (``SAMPLE_ROWS``, those of least hash;
-near copies of a text count once) every word and word stem is counted once per document in toxic and in clean rows.
+Learning: on a bounded sample of labelled rows (``SAMPLE_ROWS``, those of least hash of the
+id, then of the text; near copies of a text count once) every word and word stem is counted once per document in toxic and in clean rows.
 Entries are those that toxic rows hold far more often than chance allows (binomial
 tail, divided among all that were tried); the weight is the log odds, and an entry
 that a kept stem covers is left out. Phrases of an entry and a neighbour word that
@@ -18,7 +21,8 @@ the same sample, by Newton steps with a small ridge.
 Cases: null, empty and wordless texts have density 0 and the score of a text without
 matches; labels that are null or repeat (the largest counts) or belong to no row are
 left out; without a toxic or a clean label nothing is learned and all scores are 0;
-ties at the sample's border go to the smaller hash and id; an empty table gives no
+ties at the sample's border go to the smaller hash and id, rows of one id and text are
+one row of the sample, and an id on many texts does not enlarge it; an empty table gives no
 rows; only id and text are read, so other columns may have any name.
 """
 
@@ -55,24 +59,61 @@ SUBSTITUTE = re.compile(r"[0-9]|[@$](?=[^\W\d_])")
 TOKEN = re.compile(r"[\w@$]+")
 LATIN = re.compile("[\\t-~\\u00a0-\\u00ac\\u00ae-\\u024f]*")
 WORD = re.compile(r"[^\W\d_]+")
+#: Further readings: of 1, ! and | as i or l, and of letters by look or by base letter.
+READINGS = [str.maketrans("013457@$!|", f"o{one}eastas{one}{one}") for one in "il"]
+READ_SIGN = re.compile(r"1|[!|](?=[^\W\d_])")
+READ_TOKEN = re.compile(r"[\w@$!|]+")
+LOOKS = [dict(zip("ᎪᏴᏟᎠᎬᏀᎻᏆᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ".lower(), "abcdeghijklmprstvwz", strict=True)) | dict(zip("βγζημτ", greek, strict=True))
+         for greek in ("byzhmt", "byznut")]
+NAMED = re.compile("LATIN (?:LETTER SMALL CAPITAL|SMALL LETTER(?: DOTLESS| SCRIPT| BARRED| OPEN)?) ([A-Z])(?: WITH .*)?")
+
+
+def _base_letters() -> dict[str, str]:
+    """Small Latin letters beyond ASCII and the plain letter that the character's name gives."""
+    named = ((chr(c), NAMED.fullmatch(unicodedata.name(chr(c), ""))) for c in range(0x80, 0x2E80))
+    return {c: m[1].lower() for c, m in named if m}
+
+
+LETTERS = [str.maketrans(_base_letters() | looks) for looks in LOOKS]
+READ_LETTER = re.compile(f"[{''.join(map(chr, LETTERS[0]))}]")
+
+
+def readings(text: str) -> list[str]:
+    """The folded text, then its other readings, each as long as the first."""
+    plain = _plain(text)
+    out = [_substituted(plain)]
+    signs, letters = READ_SIGN.search(plain), not plain.isascii() and READ_LETTER.search(plain)
+    if signs or letters:
+        for stands, looks in zip(READINGS, LETTERS, strict=True):
+            other = plain.translate(looks) if letters else plain
+            other = READ_TOKEN.sub(lambda m, t=stands: _letters(m, t, "@$!|"), other) if signs else _substituted(other)
+            if other not in out:
+                out.append(other)
+    return out
 
 
 def fold(text: str) -> str:
     """The text in the form in which lexicon entries are written."""
+    return _substituted(_plain(text))
+
+
+def _plain(text: str) -> str:
     if not LATIN.fullmatch(text):
         text = INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower().translate(LOOKALIKES)
     else:
         text = text.lower()
-    if SUBSTITUTE.search(text):
-        text = TOKEN.sub(_letters, text)
     return text
 
 
-def _letters(match: re.Match) -> str:
+def _substituted(text: str) -> str:
+    return TOKEN.sub(_letters, text) if SUBSTITUTE.search(text) else text
+
+
+def _letters(match: re.Match, stands: dict = STANDS_FOR, signs: str = "@$") -> str:
     """Digits and signs of a word that has letters too, but for signs at its end."""
     token = match[0]
-    word = token.rstrip("@$")
-    return word.translate(STANDS_FOR) + token[len(word):] if WORD.search(word) else token
+    word = token.rstrip(signs)
+    return word.translate(stands) + token[len(word):] if WORD.search(word) else token
 
 
 @dataclass(frozen=True)
@@ -88,8 +129,11 @@ class Model:
         return 0.0 if x < -700 else 1 / (1 + math.exp(-x))
 
 
-def matcher(model: Model) -> Callable[[str], list[tuple[int, int, float]]]:
-    """A function that finds (begin, end, weight) of all counting matches in a folded text."""
+def matcher(model: Model) -> Callable[..., list[tuple[int, int, float]]]:
+    """A function that finds (begin, end, weight) of all counting matches in a folded text.
+
+    It takes the readings of one text. Of entries that begin at one place the heaviest counts.
+    """
     machine = ahocorasick.Automaton()
     entries: dict[str, list] = {}
     for entry, weight in model.weights.items():
@@ -100,23 +144,37 @@ def matcher(model: Model) -> Callable[[str], list[tuple[int, int, float]]]:
         machine.add_word(text, (len(text), word, stem, safe))
     machine.make_automaton()
 
-    def find(text: str) -> list[tuple[int, int, float]]:
-        hits, safe_spans = [], []
-        for last, (size, word, stem, safe) in machine.iter(text):
-            begin, end = last - size + 1, last + 1
-            if begin and text[begin - 1].isalpha():
-                continue
-            whole = end == len(text) or not text[end].isalpha()
-            weight = max((w for w, ok in ((word, whole), (stem, True)) if ok and w is not None), default=None)
-            if safe and whole:
-                safe_spans.append((begin, end))
-            if weight is not None:
-                if hits and hits[-1][0] == begin:  # of entries that begin at one place the heaviest counts
-                    weight = max(weight, hits.pop()[2])
-                hits.append((begin, end, weight))
-        return [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in safe_spans)]
-
-    return find if entries else lambda text: []
+    def find(*texts: str) -> list[tuple[int, int, float]]:
+        hits: dict[int, tuple[int, float]] = {}
+        safe_spans = []
+        for text in texts:
+            for last, (size, word, stem, safe) in machine.iter(text):
+                begin, end = last - size + 1, last + 1
+                if begin and text[begin - 1].isalpha():
+                    continue
+                whole = end == len(text) or not text[end].isalpha()
+                weight = max((w for w, ok in ((word, whole), (stem, True)) if ok and w is not None), default=None)
+                if safe and whole:
+                    safe_spans.append((begin, end))
+                if weight is not None:
+                    if begin in hits:
+                        end, weight = max(end, hits[begin][0]), max(weight, hits[begin][1])
+                    hits[begin] = (end, weight)
+        return _outside(sorted((begin, end, weight) for begin, (end, weight) in hits.items()), sorted(safe_spans))
+
+    return find if entries else lambda *texts: []
+
+
+def _outside(hits: list[tuple[int, int, float]], spans: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """Hits that lie in no span; both lists in order, one pass: of the spans begun so far the farthest end tells."""
+    out, at, reach = [], 0, -1
+    for hit in hits:
+        while at < len(spans) and spans[at][0] <= hit[0]:
+            reach = max(reach, spans[at][1])
+            at += 1
+        if hit[1] > reach:
+            out.append(hit)
+    return out
 
 
 def densities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,7 +187,7 @@ def densities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
             words, matches, dense, scores = [], [], [], []
             for cell in batch.column(1):
                 text = cell.as_py()
-                hits = find(fold(text))
+                hits = find(*readings(text))
                 n = len(text.split())
                 d = 100 * sum(h[2] for h in hits) / (n + 20)
                 words.append(n), matches.append(len(hits)), dense.append(d), scores.append(shared.value.score(d))
@@ -149,7 +207,11 @@ def sample(docs: DataFrame, labels: DataFrame, wanted: Column, label_col: str, r
     known = labels.where(wanted & F.col("doc_id").isNotNull() & F.col(label_col).isNotNull()).groupBy("doc_id").agg(
         F.max(F.col(label_col)).cast("int").alias("y"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(some), "doc_id")  # bounded by ``rows``
+    labelled = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(some), "doc_id")  # bounded by ``rows``
+    labelled = stored(labelled.withColumn("of_text", F.xxhash64("text")), "toxicity-labelled")
+    kept = labelled.select("doc_id", "of_text").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "of_text").limit(rows)
+    return labelled.join(F.broadcast(kept), ["doc_id", "of_text"]).groupBy("doc_id", "of_text", "y").agg(
+        F.min("text").alias("text")).select("doc_id", "text", "y")
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:

@@ -30,6 +30,36 @@ def test_matches_are_words_stems_and_no_exceptions(text, n):
     assert len(found) == n or text.startswith("an") and len(found) == 3
 
 
+@pytest.mark.parametrize("text", ["ÌDÌÒT", "ïdïöt", "!diot", "id|ot", "ɪdiot", "Ꮖdiot", "ıdiot", "wow!idiot", "IDІOT!", "1di0t"])
+def test_every_reading_of_a_disguised_word_is_matched(text):
+    assert [(w, e - b) for b, e, w in toxicity.matcher(M)(*toxicity.readings(text))] == [(4.0, 5)]
+
+
+@pytest.mark.parametrize("text", ["IDIÖT proof", "!diot proof", "elite 1|2", "Élan!", "a1! b|c", ""])
+def test_readings_are_equally_long_and_keep_exceptions(text):
+    read = toxicity.readings(text)
+    assert read[0] == toxicity.fold(text) and len({len(r) for r in read}) == 1
+    assert "proof" not in text or toxicity.matcher(M)(*read) == []
+
+
+def test_hostile_text_takes_linear_time():
+    import time
+    text = "idiot proof 1diot . " * 100_000
+    begun = time.perf_counter()
+    assert len(toxicity.matcher(M)(*toxicity.readings(text))) == 100_000
+    assert time.perf_counter() - begun < 5
+
+
+def test_sample_is_bounded_in_rows(spark):
+    docs = spark.range(30_000).select(F.when(F.col("id") < 20_000, 1).otherwise(F.col("id")).alias("doc_id"),
+                                      F.concat(F.lit("text "), (F.col("id") % 25_000).cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")).distinct()
+    got = toxicity.sample(docs, labels, F.lit(True), "toxic", rows=500).collect()
+    assert len(got) == 500 == len(set(got))
+    assert sorted(got) == sorted(toxicity.sample(docs.repartition(5), labels, F.lit(True), "toxic", rows=500).collect())
+    assert len(toxicity.sample(docs, labels.where("doc_id = 1"), F.lit(True), "toxic", rows=500).collect()) == 500
+
+
 def brute_matches(text: str, model: toxicity.Model) -> list[tuple[int, float]]:
     out = {}
     for entry, weight in model.weights.items():
