@@ -12,7 +12,7 @@ holds what came before. The cut is found the same way, over the range partitions
 
 Cases: a null or empty text has size 0 and is never taken; a null source is one
 source, last in order; a null id hashes as the empty text; rows that repeat an id
-queue one after another; if all sizes are 0 nothing is taken; an empty table gives
+queue one after another, by size and hash of the text, so reruns agree; if all sizes are 0 nothing is taken; an empty table gives
 no rows; other columns travel in one struct, so their names cannot clash.
 """
 
@@ -65,6 +65,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     sized = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), key.alias("key"),
+        F.xxhash64(text_col).alias("of_text"),
         *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if keep_rows else []))
     if not keep_rows:
         sized = stored(sized, "mix-sizes")
@@ -75,9 +76,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     placed = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"]).withColumn("bucket", part)
     totals = placed.groupBy("sid", "bucket").agg(F.sum("size").alias("in_bucket"))
     starts = prefix_totals(totals, "bucket", "in_bucket", "before", ["sid"]).drop("in_bucket")
-    queue = Window.partitionBy("sid", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    queue = Window.partitionBy("sid", "bucket").orderBy("key", "id", "size", "of_text").rowsBetween(Window.unboundedPreceding, 0)
     queued = placed.withColumn("inside", F.sum("size").over(queue)).join(starts, ["sid", "bucket"]).withColumn(
-        "words", F.col("before") + F.col("inside")).drop("before", "inside", "bucket", "n")
+        "words", F.col("before") + F.col("inside")).drop("before", "inside", "bucket", "n", "of_text")
     queued = stored(queued, "mix-queues")
     refused = _first_refused(queued, budget, cap)
 

@@ -75,6 +75,13 @@ def test_mix_of_odd_rows(spark, odd_docs, no_docs):
     assert {r["copies"] for r in mix(blank).collect()} == {0}
 
 
+def test_rows_of_one_id_and_size_are_taken_alike_in_reruns(spark):
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"),
+                                    F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
+    a, b = (sorted(r["text"] for r in mixed_documents(d, weights=(1, 9), share=0.5).collect()) for d in (docs, docs.repartition(5)))
+    assert a == b and len(a) == 1000
+
+
 def shard_rows(spark, docs, **options):
     out = scratch_path(spark, "shards")
     sharding.write_shards(docs, out, **options)
