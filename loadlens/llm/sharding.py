@@ -52,12 +52,15 @@ def write_shards(docs: DataFrame, out: str, shards: int = 24, seed: int = 0, buc
             "bucket", F.when(F.col("full"), F.col("anew")).otherwise(F.col("bucket"))).drop("anew", "full")
     scattered = stored(marked.withColumn("key", F.xxhash64(F.lit(~seed), "id")), "shard-buckets")
     starts = _starts(scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    gathered = scattered.repartitionById(int(buckets), "bucket").groupBy("bucket").agg(
-        F.collect_list(F.struct("key", "id", "of_text")).alias("keys"), F.collect_list("row").alias("rows"))
+    # the start of a bucket travels as one more row of it, so no join moves the records again
+    both = scattered.select("bucket", "key", "id", "of_text", "row").unionByName(starts, allowMissingColumns=True)
+    gathered = both.repartitionById(int(buckets), "bucket").groupBy("bucket").agg(
+        F.max("start").alias("start"), F.collect_list("row").alias("rows"),
+        F.collect_list(F.when(F.col("row").isNotNull(), F.struct("key", "id", "of_text"))).alias("keys"))
     ordered = F.sort_array(F.transform("keys", lambda k, i: F.struct(k["key"], k["id"], k["of_text"], i.alias("at"))))
-    mixed = gathered.select("bucket", "rows", F.shuffle(ordered, seed).alias("order")).select(
-        "bucket", F.transform("order", lambda o: F.get("rows", o["at"])).alias("records"))
-    placed = mixed.join(starts, "bucket").select("start", F.posexplode("records").alias("at", "row"))
+    mixed = gathered.select("start", "rows", F.shuffle(ordered, seed).alias("order")).select(
+        "start", F.transform("order", lambda o: F.get("rows", o["at"])).alias("records"))
+    placed = mixed.select("start", F.posexplode("records").alias("at", "row"))
     n = max(1, total["n"])
     done = placed.select("row", (F.col("start") + F.col("at")).alias("pos")).withColumn(
         "shard", F.expr(f"cast((pos * {shards}L) div {n}L as int)")).withColumn(
