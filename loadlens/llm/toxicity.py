@@ -61,8 +61,7 @@ LATIN = re.compile("[\\t-~\\u00a0-\\u00ac\\u00ae-\\u024f]*")
 WORD = re.compile(r"[^\W\d_]+")
 #: Further readings: of 1, ! and | as i or l, and of letters by look or by base letter.
 READINGS = [str.maketrans("013457@$!|", f"o{one}eastas{one}{one}") for one in "il"]
-READ_SIGN = re.compile(r"1|[!|](?=[^\W\d_])")
-READ_TOKEN = re.compile(r"[\w@$!|]+")
+READ_TOKEN = re.compile(r"(?<![\w@$!|])(?:[^\W1]|[@$])*+[1!|][\w@$!|]*+")
 LOOKS = [dict(zip("ᎪᏴᏟᎠᎬᏀᎻᏆᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ".lower(), "abcdeghijklmprstvwz", strict=True)) | dict(zip("βγζημτ", greek, strict=True))
          for greek in ("byzhmt", "byznut")]
 NAMED = re.compile("LATIN (?:LETTER SMALL CAPITAL|SMALL LETTER(?: DOTLESS| SCRIPT| BARRED| OPEN)?) ([A-Z])(?: WITH .*)?")
@@ -75,6 +74,7 @@ def _base_letters() -> dict[str, str]:
 
 
 LETTERS = [str.maketrans(_base_letters() | looks) for looks in LOOKS]
+GREEK = re.compile("[βγζημτ]")
 READ_LETTER = re.compile(f"[{''.join(map(chr, LETTERS[0]))}]")
 
 
@@ -82,13 +82,19 @@ def readings(text: str) -> list[str]:
     """The folded text, then its other readings, each as long as the first."""
     plain = _plain(text)
     out = [_substituted(plain)]
-    signs, letters = READ_SIGN.search(plain), not plain.isascii() and READ_LETTER.search(plain)
-    if signs or letters:
-        for stands, looks in zip(READINGS, LETTERS, strict=True):
-            other = plain.translate(looks) if letters else plain
-            other = READ_TOKEN.sub(lambda m, t=stands: _letters(m, t, "@$!|"), other) if signs else _substituted(other)
-            if other not in out:
-                out.append(other)
+    signs = READ_TOKEN.search(plain)
+    letters = not plain.isascii() and READ_LETTER.search(plain)
+    for stands, looks in zip(READINGS, LETTERS, strict=True):
+        other = READ_LETTER.sub(lambda m, to=looks: to[ord(m[0])], plain) if letters else plain
+        if signs:
+            other = READ_TOKEN.sub(lambda m, t=stands: _letters(m, t, "@$!|"), other)
+        if other == plain:
+            break  # no sign stands in a word: both readings are the first
+        other = _substituted(other)
+        if other not in out:
+            out.append(other)
+        if not signs and not GREEK.search(plain):
+            break  # both tables read these letters alike
     return out
 
 
